@@ -10,19 +10,339 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sqlfuncs
+from ..functions.subindex import epa_pm25_continuous, sub_index
 from ..operators import aqi as A
-from ..sources.adapter import hourly_readings
+from ..operators import clean as C
+from ..operators import daily as D
+from ..operators import features as FE
+from ..operators import profile as P
+from ..operators import rolling as R
+from ..operators import serving as S
+from ..sources.adapter import POLLUTANT_COLS, hourly_readings, hourly_weather
 
 HOURLY_OUT = ["province", "district", "region", "lat", "lon", "ep",
               "pm2_5", "pm10", "o3", "no2", "so2", "co", "nowcast_pm25", "nowcast_pm10",
               "aqi_o3", "aqi_co", "aqi_so2", "aqi_no2", "aqi_pm10", "aqi_pm25", "aqi_final",
               "aqi_category", "aqi_color", "health_advice"]
+KEY = ["province", "district"]
 
 
+def _r6(*cols):
+    return [F.round(c, 6).alias(c) for c in cols]
+
+
+def readings(spark, sf_dir) -> DataFrame:
+    return hourly_readings(spark, sf_dir)
+
+
+def hourly(spark, sf_dir) -> DataFrame:
+    return A.enrich(readings(spark, sf_dir))
+
+
+def latest(spark, sf_dir) -> DataFrame:
+    return S.latest_per_station(hourly(spark, sf_dir))
+
+
+# --- hourly index -----------------------------------------------------------
+
 def q_hourly_aqi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.enrich(hourly_readings(spark, sf_dir)).select(*HOURLY_OUT)
+    return hourly(spark, sf_dir).select(*HOURLY_OUT)
+
+
+def q_nowcast_pm25(spark, sf_dir):
+    df = R.nowcast_12h(readings(spark, sf_dir), {"pm2_5": "nowcast_pm25"})
+    return df.select(*KEY, "ep", "pm2_5", "nowcast_pm25",
+                     sub_index("nowcast_pm25", "pm25", "vn_stream").alias("aqi_pm25"))
+
+
+def q_nowcast_batch_variant(spark, sf_dir):
+    df = R.nowcast_batch(readings(spark, sf_dir), {"pm2_5": "nc_pm25", "pm10": "nc_pm10"})
+    return df.select(*KEY, "ep", *_r6("nc_pm25", "nc_pm10"))
+
+
+def q_aqi_epa_stepped(spark, sf_dir):
+    df = A.enrich_epa(readings(spark, sf_dir))
+    return df.select(*KEY, "ep", *A.EPA_INPUTS.keys(), "aqi_final", "aqi_category")
+
+
+def q_aqi_epa_pm25(spark, sf_dir):
+    return readings(spark, sf_dir).select(*KEY, "ep", "pm2_5",
+                                          F.round(epa_pm25_continuous("pm2_5"), 6).alias("aqi"))
+
+
+def q_aqi_vn_batch(spark, sf_dir):
+    """Hourly job of the vectorised batch: W5 NowCast for PM, raw gases,
+    ``vn_batch`` rule, hourly AQI = rounded row maximum."""
+    df = R.nowcast_batch(readings(spark, sf_dir), {"pm2_5": "nowcast_pm2_5", "pm10": "nowcast_pm10"})
+    subs = {"aqi_pm10": ("nowcast_pm10", "pm10"), "aqi_pm2_5": ("nowcast_pm2_5", "pm25"),
+            "aqi_carbon_monoxide": ("co", "co"), "aqi_nitrogen_dioxide": ("no2", "no2"),
+            "aqi_sulphur_dioxide": ("so2", "so2"), "aqi_ozone": ("o3", "o3_1h")}
+    df = df.select(*KEY, "ep", *[sub_index(s, t, "vn_batch").alias(o) for o, (s, t) in subs.items()])
+    return df.withColumn("aqi_h", F.bround(F.greatest(*subs.keys()), 0).cast("int"))
+
+
+def q_dominant_pollutant(spark, sf_dir):
+    return A.with_dominant(hourly(spark, sf_dir)).select(*KEY, "ep", "aqi_final", "dominant")
+
+
+def q_aqi_sql_functions(spark, sf_dir):
+    """The rules as SQL functions, called from Spark SQL (no Python)."""
+    sqlfuncs.register(spark)
+    readings(spark, sf_dir).createOrReplaceTempView("airq_readings")
+    return spark.sql("""
+        SELECT province, district, ep,
+               airq_vn_pm25(pm2_5) AS aqi_pm25, airq_vn_co(co) AS aqi_co,
+               airq_epa_pm25_cont(pm2_5) AS epa_pm25,
+               airq_vn_category(greatest(airq_vn_pm25(pm2_5), airq_vn_co(co))) AS category
+        FROM airq_readings""")
+
+
+# --- rolling ----------------------------------------------------------------
+
+AVG_COLS = ["avg_pm25_24h", "avg_pm10_24h", "avg_o3_1h", "avg_o3_8h", "avg_co_1h", "avg_so2_1h", "avg_no2_1h"]
+
+
+def q_rolling_means(spark, sf_dir):
+    return D.warehouse_averages(readings(spark, sf_dir)).select(*KEY, "ep", *_r6(*AVG_COLS))
+
+
+def q_ozone_8h(spark, sf_dir):
+    return R.ozone_8h(readings(spark, sf_dir)).select(*KEY, "ep", "o3", "o3_8h")
+
+
+# --- daily ------------------------------------------------------------------
+
+def q_daily_aqi(spark, sf_dir):
+    return D.daily_aqi(readings(spark, sf_dir))
+
+
+def q_daily_aqi_warehouse(spark, sf_dir):
+    df = D.daily_aqi_warehouse(readings(spark, sf_dir))
+    return df.select("day", *KEY, *_r6(*[o for _, _, o in D.WAREHOUSE_INPUTS], "AQI"))
+
+
+def q_aqi_bracket_join(spark, sf_dir):
+    df = D.bracket_join(spark, D.warehouse_averages(readings(spark, sf_dir)))
+    return df.select(*KEY, "ep", "pollutant", *_r6("c", "aqi"))
+
+
+def q_aqi_stats(spark, sf_dir):
+    df = D.daily_aqi_warehouse(readings(spark, sf_dir))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.min("AQI"), 6).alias("min_aqi"),
+                  F.round(F.max("AQI"), 6).alias("max_aqi"), F.round(F.avg("AQI"), 6).alias("avg_aqi"))
+
+
+# --- serving ----------------------------------------------------------------
+
+LATEST_OUT = ["province", "district", "region", "lat", "lon", "ep", "aqi_final", "aqi_category",
+              "aqi_color", "health_advice", "pm2_5", "pm10", "o3", "no2", "so2", "co",
+              "aqi_pm25", "aqi_pm10", "aqi_o3", "aqi_no2", "aqi_so2", "aqi_co"]
+
+
+def q_latest_per_station(spark, sf_dir):
+    return latest(spark, sf_dir).select(*LATEST_OUT)
+
+
+def q_province_summary(spark, sf_dir):
+    return S.province_summary(latest(spark, sf_dir))
+
+
+def q_top_polluted(spark, sf_dir):
+    return S.top_polluted(latest(spark, sf_dir)).select(
+        "province", "district", "region", "aqi_final", "aqi_category", "aqi_color", "health_advice", "ep")
+
+
+def q_top5_pm25(spark, sf_dir):
+    return S.top_pm25(latest(spark, sf_dir)).select("province", "district", "pm2_5", "pm10")
+
+
+def q_station_history(spark, sf_dir):
+    return S.station_history(hourly(spark, sf_dir), hours=24).select(
+        *KEY, "ep", "aqi_final", "aqi_category", *POLLUTANT_COLS)
+
+
+def q_station_list(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    parts = [r.filter(F.col("region") == g) for g in ("north", "central", "south")]
+    return S.station_list(S.union_all(parts))
+
+
+def q_last24(spark, sf_dir):
+    return S.last_n_per_station(hourly(spark, sf_dir), 24).select(*KEY, "ep", "aqi_final")
+
+
+# --- profiling --------------------------------------------------------------
+
+def q_station_counts(spark, sf_dir):
+    return P.station_counts(readings(spark, sf_dir))
+
+
+def q_null_profile(spark, sf_dir):
+    return P.null_profile(readings(spark, sf_dir))
+
+
+def q_numeric_stats(spark, sf_dir):
+    return P.numeric_stats(readings(spark, sf_dir))
+
+
+def q_mean_imputed(spark, sf_dir):
+    return P.mean_impute(readings(spark, sf_dir)).select(*KEY, "ep", *POLLUTANT_COLS)
+
+
+def aligned_join(spark, sf_dir) -> DataFrame:
+    air, wea = C.align_time_range(readings(spark, sf_dir), hourly_weather(spark, sf_dir))
+    return FE.join_air_weather(air, wea)
+
+
+def q_air_weather_join(spark, sf_dir):
+    return aligned_join(spark, sf_dir).select(
+        *KEY, "ep", "pm2_5", "pm10", "temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m")
+
+
+def q_single_station_join(spark, sf_dir):
+    """J2 + P9 + P11: join on time within each district, duplicate names
+    suffixed _x/_y, rows without both PMs dropped."""
+    a = readings(spark, sf_dir).withColumnsRenamed({"region": "region_x", "event_time": "event_time_x"})
+    w = hourly_weather(spark, sf_dir).withColumnsRenamed({"region": "region_y", "event_time": "event_time_y"})
+    j = a.join(w, [*KEY, "ep"]).dropna(subset=["pm2_5", "pm10"])
+    return j.select(*KEY, "ep", "region_x", "region_y", "pm2_5", "pm10", "temperature_2m")
+
+
+def q_factor_corr(spark, sf_dir):
+    return P.factor_corr(aligned_join(spark, sf_dir))
+
+
+def q_factor_bins(spark, sf_dir):
+    return P.factor_bins(aligned_join(spark, sf_dir))
+
+
+# --- ingestion / shaping ----------------------------------------------------
+
+def _messages(spark, sf_dir) -> DataFrame:
+    r = readings(spark, sf_dir).withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm"))
+    cols = [f.name for f in C.MESSAGE_SCHEMA.fields]
+    return C.encode_messages(r.select(*cols))
+
+
+def q_json_parse(spark, sf_dir):
+    """Encoded messages parsed back with the fixed schema."""
+    parsed = C.parse_event_time(C.parse_json(_messages(spark, sf_dir)))
+    return parsed.select(*KEY, "region", C.ntz_micros(F.col("event_time")).alias("event_us"),
+                         *POLLUTANT_COLS)
+
+
+def q_encode_messages(spark, sf_dir):
+    m = _messages(spark, sf_dir)
+    return m.select(F.col("key").cast("string").alias("key"),
+                    F.octet_length("value").cast("int").alias("value_bytes"),
+                    F.get_json_object(F.col("value").cast("string"), "$.pm2_5").try_cast("double").alias("pm2_5"))
+
+
+def payloads(spark, sf_dir) -> DataFrame:
+    """API-shaped payloads: one per station-day with parallel hourly arrays."""
+    r = readings(spark, sf_dir).withColumn("day", D.day_of())
+    fields = {"pm2_5": "pm2_5", "pm10": "pm10", "ozone": "o3", "nitrogen_dioxide": "no2",
+              "sulphur_dioxide": "so2", "carbon_monoxide": "co"}
+    row = F.struct(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                   *[F.col(src).alias(dst) for dst, src in fields.items()])
+    g = r.groupBy("province", "district", "day").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    def field(name):
+        return F.transform("rows", lambda x: x[name]).alias(name)
+    hourly_struct = F.struct(*[field(f) for f in ["time", *fields]])
+    units = F.create_map(*[x for f in fields for x in (F.lit(f), F.lit("μg/m³"))])
+    return g.select(F.col("province").alias("city_name"), "district", "day",
+                    units.alias("hourly_units"), hourly_struct.alias("hourly"))
+
+
+def q_payload_explode(spark, sf_dir):
+    e = C.explode_payload(payloads(spark, sf_dir))
+    return e.select("city_name", "district", "time", *C.PAYLOAD_FIELDS,
+                    F.col("hourly_units")["pm2_5"].alias("unit_pm2_5"))
+
+
+def q_current_hour_pick(spark, sf_dir):
+    p = payloads(spark, sf_dir)
+    now = F.date_format(readings(spark, sf_dir).agg(F.max("event_time")).scalar(), "yyyy-MM-dd'T'HH:mm")
+    return C.current_hour_pick(p, now, keep=("city_name", "district", "day"))
+
+
+def q_split_periods(spark, sf_dir):
+    span = readings(spark, sf_dir).groupBy(*KEY).agg(F.min("event_time").alias("start_ts"),
+                                                    F.max("event_time").alias("end_ts"))
+    return C.split_periods(span).select(*KEY, "piece", "begin_us", "finish_us")
+
+
+# --- features / forecast ----------------------------------------------------
+
+def features(spark, sf_dir) -> DataFrame:
+    air = P.mean_impute(readings(spark, sf_dir))
+    return FE.lag_features(FE.join_air_weather(air, hourly_weather(spark, sf_dir)))
+
+
+def q_lag_features(spark, sf_dir):
+    return features(spark, sf_dir).select(*KEY, "ep", *_r6(*FE.FEATURES, "aqi"))
+
+
+def q_scaled_features(spark, sf_dir):
+    df = FE.standardize(features(spark, sf_dir), [*FE.FEATURES, "aqi"], suffix="_z")
+    return df.select(*KEY, "ep", *_r6(*[f"{c}_z" for c in [*FE.FEATURES, "aqi"]]))
+
+
+def q_sequence_windows(spark, sf_dir):
+    df = FE.sequence_windows(FE.chronological_split(features(spark, sf_dir)))
+    return df.select(*KEY, "split", "i", F.size("x").alias("x_len"), F.size("y").alias("y_len"),
+                     F.round(F.col("x")[0]["pm10"], 6).alias("x0_pm10"),
+                     F.round(F.aggregate("y", F.lit(0.0), lambda a, b: a + b), 4).alias("y_sum"),
+                     F.round(F.element_at("y", -1), 6).alias("y_last"))
+
+
+def q_naive_forecast_error(spark, sf_dir):
+    return FE.persistence_errors(features(spark, sf_dir))
+
+
+def q_future_spine(spark, sf_dir):
+    return FE.future_spine(features(spark, sf_dir))
 
 
 CATALOG = {
     "hourly_aqi": q_hourly_aqi,
+    "nowcast_pm25": q_nowcast_pm25,
+    "nowcast_batch_variant": q_nowcast_batch_variant,
+    "aqi_epa_stepped": q_aqi_epa_stepped,
+    "aqi_epa_pm25": q_aqi_epa_pm25,
+    "aqi_vn_batch": q_aqi_vn_batch,
+    "dominant_pollutant": q_dominant_pollutant,
+    "aqi_sql_functions": q_aqi_sql_functions,
+    "rolling_means": q_rolling_means,
+    "ozone_8h": q_ozone_8h,
+    "daily_aqi": q_daily_aqi,
+    "daily_aqi_warehouse": q_daily_aqi_warehouse,
+    "aqi_bracket_join": q_aqi_bracket_join,
+    "aqi_stats": q_aqi_stats,
+    "latest_per_station": q_latest_per_station,
+    "province_summary": q_province_summary,
+    "top_polluted": q_top_polluted,
+    "top5_pm25": q_top5_pm25,
+    "station_history": q_station_history,
+    "station_list": q_station_list,
+    "last24": q_last24,
+    "station_counts": q_station_counts,
+    "null_profile": q_null_profile,
+    "numeric_stats": q_numeric_stats,
+    "mean_imputed": q_mean_imputed,
+    "air_weather_join": q_air_weather_join,
+    "single_station_join": q_single_station_join,
+    "factor_corr": q_factor_corr,
+    "factor_bins": q_factor_bins,
+    "json_parse": q_json_parse,
+    "encode_messages": q_encode_messages,
+    "payload_explode": q_payload_explode,
+    "current_hour_pick": q_current_hour_pick,
+    "split_periods": q_split_periods,
+    "lag_features": q_lag_features,
+    "scaled_features": q_scaled_features,
+    "sequence_windows": q_sequence_windows,
+    "naive_forecast_error": q_naive_forecast_error,
+    "future_spine": q_future_spine,
 }

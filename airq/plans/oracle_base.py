@@ -5,6 +5,8 @@ Views ``events customer nation region`` are pre-registered by the checker.
 
 from __future__ import annotations
 
+import re
+
 from ..functions.subindex import sub_index_sql
 from ..sources.adapter import CO_FACTOR, DIGITS, POLLUTANT_EVENTS
 
@@ -111,5 +113,44 @@ def nowcast_list_sql(src: str, key: str = "province, district", ep: str = "ep")
             f"lambda x: x IS NOT NULL), 'DESC')")
 
 
+def half_up_rounding(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` to round the shortest decimal text of the
+    double half-up, which is what Spark's ``round`` does (DuckDB's double
+    ``round`` scales in binary and can land on the other side of a tie)."""
+    out, i = [], 0
+    pat = re.compile(r"(?<![a-z_])round\(")
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        depth, j, comma = 1, m.end(), None
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = j
+            j += 1
+        inner = half_up_rounding(sql[m.end():comma])
+        digits = sql[comma + 1:j - 1].strip()
+        out.append(f"CAST(round(CAST(CAST({inner} AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)")
+        i = j
+
+
 def si(col: str, table: str, profile: str = "vn_stream") -> str:
     return sub_index_sql(col, table, profile, dialect="duckdb")
+
+
+def seq_window(agg: str, x: str, frame: str) -> str:
+    """Windowed sum/avg accumulated oldest-to-newest, as Spark's sliding
+    row frame does (DuckDB's segment tree adds in another order)."""
+    lst = (f"list_transform(list_sort(list_filter(list(CASE WHEN {x} IS NOT NULL THEN "
+           f"{{'e': ep, 'v': {x}::DOUBLE}} END) OVER ({frame}), lambda q: q IS NOT NULL)), lambda q: q.v)")
+    total = f"list_reduce({lst}, lambda a, b: a + b, 0.0::DOUBLE)"
+    if agg == "sum":
+        return f"CASE WHEN count({x}) OVER ({frame}) > 0 THEN {total} END"
+    return f"CASE WHEN count({x}) OVER ({frame}) > 0 THEN {total} / count({x}) OVER ({frame}) END"

@@ -43,13 +43,22 @@ STATION_KEY = ["province", "district"]
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def epoch_hour(ts_col: str) -> F.Column:
-    """Whole hours since 1970-01-01 of a TIMESTAMP_NTZ (no time-zone math)."""
-    return F.expr(f"timestampdiff(HOUR, {EPOCH_NTZ}, {ts_col})")
+def epoch_hour(ts) -> F.Column:
+    """Whole hours since 1970-01-01 of a TIMESTAMP_NTZ.
+
+    Day number * 24 + hour of day: both parts are read from the wall-clock
+    value, so the result does not depend on the session time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return (F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 24
+            + F.hour(ts))
 
 
 def hour_ts(ep_col: str = "ep") -> F.Column:
-    return F.expr(f"timestampadd(HOUR, {ep_col}, {EPOCH_NTZ})")
+    """Epoch hours -> TIMESTAMP_NTZ (inverse of ``epoch_hour``)."""
+    ep = F.col(ep_col)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ep / 24).cast("int"))
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                F.pmod(ep, F.lit(24)).cast("int"), F.lit(0), F.lit(0))
 
 
 def _safe_div(s, n):
@@ -116,7 +125,7 @@ def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     wind_speed_100m = max value / 8, wind_direction_10m = (sum k * 37) mod 360.
     """
     ev = _events(spark, sf_dir).withColumn(
-        "ep", F.expr(f"timestampdiff(HOUR, {EPOCH_NTZ}, ts + INTERVAL 30 MINUTES)"))
+        "ep", epoch_hour(F.col("ts") + F.expr("INTERVAL 30 MINUTES")))
     cells = ev.groupBy("user_id", "ep").agg(
         F.sum("value").alias("sv"), F.count("value").alias("nv"),
         F.sum("k").alias("sk"), F.count("k").alias("nk"),
