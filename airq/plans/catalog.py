@@ -305,6 +305,88 @@ def q_future_spine(spark, sf_dir):
     return FE.future_spine(features(spark, sf_dir))
 
 
+# --- streaming and sinks (write, then read the written files back) ----------
+
+def _message_files(spark, sf_dir, copies: int = 1) -> str:
+    """Replay the readings as JSON messages (the stream source's shape)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "messages")
+    r = readings(spark, sf_dir).withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm"))
+    cols = [f.name for f in C.MESSAGE_SCHEMA.fields]
+    msg = r.select(F.to_json(F.struct(*cols)).alias("value"))
+    for i in range(copies):  # copies > 1 replays every message again (duplicates)
+        msg.write.mode("append").text(path)
+    return path
+
+
+STREAM_OUT = [*KEY, "ep", *POLLUTANT_COLS, "nowcast_pm25", "nowcast_pm10", "aqi_o3", "aqi_co", "aqi_so2",
+              "aqi_no2", "aqi_pm10", "aqi_pm25", "aqi_final", "aqi_category"]
+
+
+def q_stream_enrich(spark, sf_dir):
+    """File stream -> enrich -> one foreachBatch, two sinks."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src = _message_files(spark, sf_dir)
+    out, serving, ckpt = (scratch_path(spark, n) for n in ("history", "serving", "ckpt"))
+    q = SP.run_enrich(spark, src, out, serving, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(serving).select(*STREAM_OUT)
+
+
+def q_stream_dedup(spark, sf_dir):
+    """Every message delivered twice; the watermark dedup keeps one."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src = _message_files(spark, sf_dir, copies=2)
+    out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
+    q = (SP.dedup_stream(SP.read_messages(spark, "files", path=src)).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*KEY, C.ntz_micros(F.col("event_time")).alias("event_us"),
+                                          *POLLUTANT_COLS)
+
+
+def q_stream_latest(spark, sf_dir):
+    """Latest row per station kept as streaming state (complete mode)."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src = _message_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
+
+    def put(batch, epoch_id):
+        batch.write.mode("overwrite").parquet(out)
+    latest_q = SP.latest_stream(SP.enrich_stream(SP.read_messages(spark, "files", path=src)))
+    q = (latest_q.writeStream.outputMode("complete").foreachBatch(put)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*KEY, "ep", "aqi_final", "aqi_category", "pm2_5")
+
+
+def q_stream_nowcast(spark, sf_dir):
+    """Sliding-window NowCast with a watermark (append mode); windows
+    still open under the watermark at the end of the replay are not emitted."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src = _message_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "nowcast"), scratch_path(spark, "ckpt")
+    q = (SP.nowcast_stream(SP.read_messages(spark, "files", path=src)).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    # a window anchored on an hour that has a reading equals the batch W3 row
+    return (spark.read.parquet(out).filter(F.col("newest") == F.col("ep"))
+            .select(*KEY, "ep", F.col("nowcast").alias("nowcast_pm25")))
+
+
+def q_partitioned_sink(spark, sf_dir):
+    """Enriched rows written as region/year/month/day Parquet, read back."""
+    from ..session import scratch_path
+    from ..sources import files as FS
+    path = scratch_path(spark, "history")
+    FS.write_partitioned(hourly(spark, sf_dir), path)
+    return FS.read_history(spark, path).select(*KEY, "region", "year", "month", "day", "ep", "aqi_final")
+
+
 CATALOG = {
     "hourly_aqi": q_hourly_aqi,
     "nowcast_pm25": q_nowcast_pm25,
@@ -345,4 +427,9 @@ CATALOG = {
     "sequence_windows": q_sequence_windows,
     "naive_forecast_error": q_naive_forecast_error,
     "future_spine": q_future_spine,
+    "stream_enrich": q_stream_enrich,
+    "stream_dedup": q_stream_dedup,
+    "stream_latest": q_stream_latest,
+    "stream_nowcast": q_stream_nowcast,
+    "partitioned_sink": q_partitioned_sink,
 }

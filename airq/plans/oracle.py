@@ -387,4 +387,35 @@ ORACLE.update({
       FROM v""",
 })
 
+STREAM_CTES = f"""
+{READINGS_CTES.strip()},
+sp AS (SELECT *, coalesce(pm2_5, 0.0) AS nowcast_pm25, coalesce(pm10, 0.0) AS nowcast_pm10
+       FROM readings WHERE pm2_5 IS NOT NULL OR pm10 IS NOT NULL),
+ss AS (
+  SELECT *, {si('o3', 'o3_1h')} AS aqi_o3, {si('co', 'co')} AS aqi_co, {si('so2', 'so2')} AS aqi_so2,
+         {si('no2', 'no2')} AS aqi_no2, {si('nowcast_pm10', 'pm10')} AS aqi_pm10,
+         {si('nowcast_pm25', 'pm25')} AS aqi_pm25
+  FROM sp
+),
+sf AS (SELECT *, greatest(aqi_o3, aqi_co, aqi_so2, aqi_no2, aqi_pm10, aqi_pm25) AS aqi_final FROM ss),
+senr AS (SELECT *, {vn_category_sql('aqi_final')} AS aqi_category FROM sf)"""
+
+ORACLE.update({
+    "stream_enrich": f"""WITH {STREAM_CTES}
+      SELECT {KEYS}, ep, {", ".join(POLS)}, nowcast_pm25, nowcast_pm10, aqi_o3, aqi_co, aqi_so2, aqi_no2,
+             aqi_pm10, aqi_pm25, aqi_final, aqi_category FROM senr""",
+    "stream_dedup": f"""WITH {READINGS_CTES.strip()}
+      SELECT {KEYS}, epoch_us(event_time) AS event_us, {", ".join(POLS)} FROM readings""",
+    "stream_latest": f"""WITH {STREAM_CTES}
+      SELECT {KEYS}, ep, aqi_final, aqi_category, pm2_5 FROM (
+        SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY ep DESC) AS rn FROM senr) WHERE rn = 1""",
+    "stream_nowcast": f"""WITH {READINGS_CTES.strip()},
+      l AS (SELECT *, {nowcast_list_sql('pm2_5')} AS __l_pm2_5 FROM readings),
+      n AS (SELECT *, {nowcast_sql('pm2_5')} AS nowcast_pm25 FROM l)
+      SELECT {KEYS}, ep, nowcast_pm25 FROM n WHERE ep <= (SELECT max(ep) FROM readings) - 3""",
+    "partitioned_sink": f"""WITH {HOURLY_CTES}
+      SELECT {KEYS}, region, year(event_time)::INT AS year, month(event_time)::INT AS month,
+             day(event_time)::INT AS day, ep, aqi_final FROM enriched""",
+})
+
 ORACLE = {k: half_up_rounding(v) for k, v in ORACLE.items()}
