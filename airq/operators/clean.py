@@ -82,8 +82,9 @@ def align_time_range(a: DataFrame, b: DataFrame, ts: str = "ep"):
     """P10: cut both tables to [max of the minima, min of the maxima].
 
     The bounds are scalar subqueries: no join and no collect to the driver."""
-    lo = F.greatest(a.agg(F.min(ts)).scalar(), b.agg(F.min(ts)).scalar())
-    hi = F.least(a.agg(F.max(ts)).scalar(), b.agg(F.max(ts)).scalar())
+    sa = a.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
+    sb = b.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
+    lo, hi = F.greatest(sa["lo"], sb["lo"]), F.least(sa["hi"], sb["hi"])
     return a.filter(F.col(ts).between(lo, hi)), b.filter(F.col(ts).between(lo, hi))
 
 

@@ -34,16 +34,16 @@ def lag_features(joined: DataFrame, key=STATION_KEY, ep: str = "ep") -> DataFram
 
 
 def standardize(df: DataFrame, cols, suffix: str = "") -> DataFrame:
-    """(x - mean) / population std, stats as scalar subqueries that the
-    optimizer merges into one aggregate (no join, no driver round trip)."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                   *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
-    out = {}
-    for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out[f"{c}{suffix}"] = F.try_divide(F.col(c) - m, s)
-    return df.withColumns(out)
+    """(x - mean) / population std.
+
+    All statistics come from ONE aggregate, used as a single scalar subquery
+    returning a struct: one extra pass over the input, no join, nothing
+    collected to the driver."""
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                            *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).alias("st")).scalar()
+    st = F.col("__st")
+    out = {f"{c}{suffix}": F.try_divide(F.col(c) - st[f"m_{c}"], st[f"s_{c}"]) for c in cols}
+    return df.withColumn("__st", stats).withColumns(out).drop("__st")
 
 
 def chronological_split(df: DataFrame, frac: float = 0.8, key=STATION_KEY, ep: str = "ep") -> DataFrame:

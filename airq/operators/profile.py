@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ..sources.adapter import POLLUTANT_COLS, STATION_KEY
 
 
+def exact_avg(c: str, digits: int = 6):
+    """Mean of 6-decimal readings summed as DECIMAL: exact, so the result
+    does not depend on how rows were split across tasks, then rounded."""
+    return F.round(F.avg(F.col(c).cast("decimal(24,6)")), digits).cast("double")
+
+
 def station_counts(df: DataFrame, key=STATION_KEY) -> DataFrame:
     """Distinct stations per region plus a total row (ROLLUP)."""
     st = F.concat_ws("|", *key)
@@ -34,7 +40,7 @@ def numeric_stats(df: DataFrame, cols=POLLUTANT_COLS, by: str = "region") -> Dat
     a small explode to long form."""
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+        aggs += [exact_avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
     wide = df.groupBy(by).agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m_{c}").alias("mean"),
                                F.col(f"s_{c}").alias("std")) for c in cols])
@@ -47,7 +53,7 @@ def mean_impute(df: DataFrame, cols=POLLUTANT_COLS, by: str = "region", digits:
 
     The means are one aggregate row per group; the join back is left to AQE,
     which broadcasts the aggregate when its measured size allows it."""
-    means = df.groupBy(by).agg(*[F.round(F.avg(c), digits).alias(f"__m_{c}") for c in cols])
+    means = df.groupBy(by).agg(*[exact_avg(c, digits).alias(f"__m_{c}") for c in cols])
     j = df.join(means, by, "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in cols}).drop(
         *[f"__m_{c}" for c in cols])
@@ -57,10 +63,18 @@ FACTORS = ["temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m",
            "wind_speed_100m", "wind_direction_10m"]
 
 
+def safe_corr(x: str, y: str):
+    """Pearson r = cov_pop / (sd_x * sd_y); NULL (not an error) when one
+    side is constant in the group (plain ``corr`` divides by zero under ANSI)."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    xx, yy = F.when(both, F.col(x)), F.when(both, F.col(y))
+    return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
+
+
 def factor_corr(joined: DataFrame, target: str = "pm2_5", factors=FACTORS) -> DataFrame:
     """Pearson correlation of the target with each weather factor,
     overall and per station (GROUPING SETS)."""
-    aggs = [F.count(target).alias("n")] + [F.round(F.corr(target, f), 6).alias(f"corr_{f}") for f in factors]
+    aggs = [F.count(target).alias("n")] + [F.round(safe_corr(target, f), 6).alias(f"corr_{f}") for f in factors]
     g = joined.cube("province", "district").agg(*aggs, F.grouping_id().alias("gid"))
     return g.filter("gid = 0 OR gid = 3").drop("gid")
 
@@ -78,4 +92,4 @@ def factor_bins(joined: DataFrame, target: str = "pm2_5") -> DataFrame:
     long = joined.filter(F.col(target).isNotNull()).select(target, F.inline(bands))
     return long.groupBy("factor", "bin").agg(
         F.count(target).alias("n"), F.round(F.min(target), 6).alias("min"),
-        F.round(F.avg(target), 6).alias("avg"), F.round(F.max(target), 6).alias("max"))
+        exact_avg(target).alias("avg"), F.round(F.max(target), 6).alias("max"))

@@ -192,7 +192,7 @@ FACTORS = ["temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m", "
            "wind_direction_10m"]
 
 IMPUTE_CTE = f"""
-rmeans AS (SELECT region, {", ".join(f"round(avg({c}), 6) AS m_{c}" for c in POLS)} FROM readings GROUP BY region),
+rmeans AS (SELECT region, {", ".join(f"round(avg({c}::DECIMAL(24,6)), 6) AS m_{c}" for c in POLS)} FROM readings GROUP BY region),
 imputed AS (
   SELECT r.* REPLACE ({", ".join(f"coalesce(r.{c}, m.m_{c}) AS {c}" for c in POLS)})
   FROM readings r LEFT JOIN rmeans m USING (region)
@@ -296,7 +296,7 @@ ORACLE.update({
              row_number() OVER (PARTITION BY region ORDER BY n_null DESC, "column") <= 3 AS top3
       FROM l""",
     "numeric_stats": f"""WITH {READINGS_CTES.strip()}
-      {" UNION ALL ".join(f"SELECT region, '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM readings GROUP BY region" for c in POLS)}""",
+      {" UNION ALL ".join(f"SELECT region, '{c}' AS \"column\", round(avg({c}::DECIMAL(24,6)), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM readings GROUP BY region" for c in POLS)}""",
     "mean_imputed": f"""WITH {READINGS_CTES.strip()}, {IMPUTE_CTE.strip()}
       SELECT {KEYS}, ep, {", ".join(POLS)} FROM imputed""",
     "air_weather_join": f"""WITH {READINGS_CTES.strip()}, {ALIGN_CTES.strip()}
@@ -307,7 +307,7 @@ ORACLE.update({
       FROM readings a JOIN weather w USING (province, district, ep)
       WHERE a.pm2_5 IS NOT NULL AND a.pm10 IS NOT NULL""",
     "factor_corr": f"""WITH {READINGS_CTES.strip()}, {ALIGN_CTES.strip()}
-      SELECT {KEYS}, count(pm2_5) AS n, {", ".join(f"round(corr(pm2_5, {f}), 6) AS corr_{f}" for f in FACTORS)}
+      SELECT {KEYS}, count(pm2_5) AS n, {", ".join(f"round(CASE WHEN stddev_pop(CASE WHEN {f} IS NOT NULL THEN pm2_5 END) * stddev_pop(CASE WHEN pm2_5 IS NOT NULL THEN {f} END) <> 0 THEN covar_pop(pm2_5, {f}) / (stddev_pop(CASE WHEN {f} IS NOT NULL THEN pm2_5 END) * stddev_pop(CASE WHEN pm2_5 IS NOT NULL THEN {f} END)) END, 6) AS corr_{f}" for f in FACTORS)}
       FROM aw GROUP BY GROUPING SETS ((province, district), ())""",
     "factor_bins": f"""WITH {READINGS_CTES.strip()}, {ALIGN_CTES.strip()},
       l AS (
@@ -316,7 +316,7 @@ ORACLE.update({
         UNION ALL SELECT pm2_5, 'wind', CAST(floor(wind_speed_10m / 5) AS BIGINT) FROM aw WHERE pm2_5 IS NOT NULL
         UNION ALL SELECT pm2_5, 'direction', CAST(floor(wind_direction_10m / 45) AS BIGINT) FROM aw WHERE pm2_5 IS NOT NULL
       )
-      SELECT factor, bin, count(pm2_5) AS n, round(min(pm2_5), 6) AS min, round(avg(pm2_5), 6) AS avg,
+      SELECT factor, bin, count(pm2_5) AS n, round(min(pm2_5), 6) AS min, round(avg(pm2_5::DECIMAL(24,6)), 6) AS avg,
              round(max(pm2_5), 6) AS max FROM l GROUP BY factor, bin""",
     "json_parse": f"""WITH {READINGS_CTES.strip()}
       SELECT {KEYS}, region, epoch_us(event_time) AS event_us, {", ".join(POLS)} FROM readings""",

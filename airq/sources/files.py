@@ -56,7 +56,7 @@ def read_station_files(spark: SparkSession, paths, schema: T.StructType | None =
     """Many per-station files '<district>_<city>.csv' -> one table with
     district and city taken from each file name."""
     df = read_csv(spark, paths, schema)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
+    name = F.url_decode(F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1))
     return df.withColumns({"district": F.regexp_extract(name, r"^(.*)_[^_]*$", 1),
                            "city": F.regexp_extract(name, r"_([^_]*)$", 1)})
 
@@ -66,7 +66,7 @@ def read_preamble_csv(spark: SparkSession, path: str, header_index: int, schema:
     metadata lines.  Each file is read whole (files are per-station downloads
     of bounded size), lines after the header are parsed with ``from_csv``."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     lines = files.select(F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("i", "line"))
     body = lines.filter((F.col("i") > header_index) & (F.length("line") > 0))
     return body.select(F.from_csv("line", ddl).alias("r")).select("r.*")
