@@ -387,6 +387,26 @@ def q_partitioned_sink(spark, sf_dir):
     return FS.read_history(spark, path).select(*KEY, "region", "year", "month", "day", "ep", "aqi_final")
 
 
+def q_forecast_24h(spark, sf_dir):
+    """M2-M5: fit on the train split, evaluate, save + reload, score the next
+    24 hours of every station."""
+    from ..operators import forecast as FC
+    from ..session import scratch_path
+    feat = FE.chronological_split(features(spark, sf_dir))
+    long = FC.horizon_table(feat)
+    model = FC.fit(long.filter(F.col("split") == "train"))
+    path = scratch_path(spark, "model")
+    FC.save(model, path)
+    model = FC.load(path)
+    return FC.score_next_24h(model, feat)
+
+
+def q_throughput_metrics(spark, sf_dir):
+    """message count and payload bytes of the encoded stream."""
+    m = _messages(spark, sf_dir)
+    return m.agg(F.count(F.lit(1)).alias("n_msgs"), F.sum(F.octet_length("value")).alias("total_bytes"))
+
+
 CATALOG = {
     "hourly_aqi": q_hourly_aqi,
     "nowcast_pm25": q_nowcast_pm25,
@@ -432,4 +452,6 @@ CATALOG = {
     "stream_latest": q_stream_latest,
     "stream_nowcast": q_stream_nowcast,
     "partitioned_sink": q_partitioned_sink,
+    "forecast_24h": q_forecast_24h,
+    "throughput_metrics": q_throughput_metrics,
 }

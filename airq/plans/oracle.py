@@ -413,6 +413,12 @@ ORACLE.update({
       l AS (SELECT *, {nowcast_list_sql('pm2_5')} AS __l_pm2_5 FROM readings),
       n AS (SELECT *, {nowcast_sql('pm2_5')} AS nowcast_pm25 FROM l)
       SELECT {KEYS}, ep, nowcast_pm25 FROM n WHERE ep <= (SELECT max(ep) FROM readings) - 3""",
+    "throughput_metrics": f"""WITH {READINGS_CTES.strip()}
+      SELECT count(*) AS n_msgs, CAST(sum(strlen(CAST(to_json({{'province': province, 'district': district,
+               'region': region, 'lat': lat, 'lon': lon, 'timestamp': strftime(event_time, '%Y-%m-%dT%H:%M'),
+               'pm2_5': pm2_5, 'pm10': pm10, 'o3': o3, 'no2': no2, 'so2': so2, 'co': co}}) AS VARCHAR))) AS BIGINT)
+             AS total_bytes
+      FROM readings""",
     "partitioned_sink": f"""WITH {HOURLY_CTES}
       SELECT {KEYS}, region, year(event_time)::INT AS year, month(event_time)::INT AS month,
              day(event_time)::INT AS day, ep, aqi_final FROM enriched""",
