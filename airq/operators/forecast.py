@@ -41,7 +41,9 @@ def build_pipeline() -> Pipeline:
     scale = StandardScaler(inputCol="xf", outputCol="xs", withMean=True, withStd=True)
     onehot = OneHotEncoder(inputCols=["h"], outputCols=["hv"], dropLast=False)
     both = VectorAssembler(inputCols=["xs", "hv"], outputCol="features")
-    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.01, maxIter=50)
+    # 15 scaled features + 24 horizon indicators: the normal-equation solver
+    # needs one pass over the data (no iterative optimiser jobs)
+    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.01, solver="normal")
     return Pipeline(stages=[assemble, scale, onehot, both, lr])
 
 

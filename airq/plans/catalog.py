@@ -391,8 +391,9 @@ def q_forecast_24h(spark, sf_dir):
     """M2-M5: fit on the train split, evaluate, save + reload, score the next
     24 hours of every station."""
     from ..operators import forecast as FC
-    from ..session import scratch_path
-    feat = FE.chronological_split(features(spark, sf_dir))
+    from ..session import materialize, scratch_path
+    # the feature table feeds both training and scoring: compute it once
+    feat = materialize(FE.chronological_split(features(spark, sf_dir)), "features")
     long = FC.horizon_table(feat)
     model = FC.fit(long.filter(F.col("split") == "train"))
     path = scratch_path(spark, "model")

@@ -51,3 +51,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, "airq", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan) and lets several consumers share one computation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
