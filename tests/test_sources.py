@@ -120,3 +120,32 @@ def test_split_periods_matches_timedelta(spark):
         b = s + i * delta
         assert got[i].begin_us == (b - epoch) // dt.timedelta(microseconds=1)
         assert got[i].finish_us == (b + delta - epoch) // dt.timedelta(microseconds=1)
+
+
+def test_location_loader(spark, tmpdir_path):
+    from airq.sources import locations as L
+    n = os.path.join(tmpdir_path, "north.csv")
+    c = os.path.join(tmpdir_path, "central.csv")
+    with open(n, "w") as f:
+        f.write("district,city,lat,lon\n Ba Dinh , Ha Noi ,21.03,105.81\nChau Thanh,Tien Giang,10.4,106.3\n")
+    with open(c, "w") as f:
+        f.write("district,city,lat,lon\nMuong Lat,Thanh Hoa,20.5,104.6\nMuong Lat,Thanh Hoa,20.4,104.5\n"
+                "Chau Thanh,Ben Tre,10.2,106.4\nX,Y,bad,1\n")
+    locs = L.load_locations(spark, {"north": n, "central": c})
+    assert locs.count() == 6
+    assert locs.filter("district = 'Ba Dinh' AND province = 'Ha Noi'").count() == 1   # trimmed
+    assert locs.filter("district = 'X'").first().lat is None                         # bad value -> NULL
+    kept, dropped = L.resolve_duplicates(locs)
+    assert kept.count() == 5 and dropped.count() == 1
+    assert kept.filter("district = 'Muong Lat'").first().lat == 20.4                  # deterministic pick
+    assert kept.filter("district = 'Chau Thanh'").count() == 2                        # two provinces kept
+    counts = {r.region: r.n_stations for r in L.count_by_region(kept).collect()}
+    assert counts == {"north": 2, "central": 3, "total": 5}
+
+
+def test_date_layout(spark, tmpdir_path):
+    df = spark.createDataFrame([("north", 1, "2024-01-02 03:00:00")], "region string, a int, t string")
+    df = df.withColumn("event_time", F.col("t").cast("timestamp_ntz")).drop("t")
+    path = os.path.join(tmpdir_path, "bydate")
+    FS.write_partitioned(df, path, layout="date")
+    assert os.path.isdir(os.path.join(path, "region=north", "date=2024-01-02"))

@@ -26,3 +26,13 @@ def test_latest_stream_matches_batch(spark):
     got = {(r.province, r.district): r.ep for r in CAT.q_stream_latest(spark, SF_SMALL).collect()}
     exp = {(r.province, r.district): r.ep for r in CAT.q_latest_per_station(spark, SF_SMALL).collect()}
     assert got == exp
+
+
+def test_two_queries_and_await_any(spark):
+    src = CAT._message_files(spark, SF_SMALL)
+    out, serving, ckpt = (scratch_path(spark, n) for n in ("h2", "s2", "c2"))
+    q1, q2 = SP.run_two_queries(spark, src, out, serving, ckpt)
+    SP.await_any(spark, 120)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    assert spark.read.parquet(out).count() == spark.read.parquet(serving).count() > 0
