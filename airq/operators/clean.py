@@ -81,11 +81,19 @@ def time_between(df: DataFrame, start, end, ts: str = "event_time") -> DataFrame
 def align_time_range(a: DataFrame, b: DataFrame, ts: str = "ep"):
     """P10: cut both tables to [max of the minima, min of the maxima].
 
-    The bounds are scalar subqueries: no join and no collect to the driver."""
-    sa = a.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
-    sb = b.agg(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
-    lo, hi = F.greatest(sa["lo"], sb["lo"]), F.least(sa["hi"], sb["hi"])
-    return a.filter(F.col(ts).between(lo, hi)), b.filter(F.col(ts).between(lo, hi))
+    The bounds come from ONE small aggregate over both tables (per-table
+    min/max, then max of minima / min of maxima) used as a single scalar
+    subquery: no join, no collect to the driver.  Before an inner equi-join
+    on ``ts`` the cut changes nothing, so joins can skip it."""
+    u = (a.select(F.lit(0).alias("__t"), F.col(ts).alias("__v"))
+         .unionByName(b.select(F.lit(1).alias("__t"), F.col(ts).alias("__v"))))
+    per = u.groupBy("__t").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    bounds = per.agg(F.struct(F.max("lo").alias("lo"), F.min("hi").alias("hi"))).scalar()
+
+    def cut(df):
+        return (df.withColumn("__b", bounds)
+                .filter(F.col(ts).between(F.col("__b.lo"), F.col("__b.hi"))).drop("__b"))
+    return cut(a), cut(b)
 
 
 def clip(c, lo: float, hi: float) -> Column:
@@ -128,8 +136,10 @@ def current_hour_pick(payload: DataFrame, now_text: Column, keep=("city_name", "
     times = F.col("hourly.time")
     pos = F.array_position(times, now_text)  # 1-based, 0 when absent
     idx = F.when(pos > 0, pos - 1).otherwise(F.greatest(F.lit(0), F.floor(F.size(times) / 2)))
-    return payload.select(*keep, F.get(times, idx.cast("int")).alias("timestamp"),
-                          *[F.get(F.col(f"hourly.{f}"), idx.cast("int")).alias(f) for f in PAYLOAD_FIELDS])
+    # the index is computed once per row (``now_text`` may be a subquery)
+    p = payload.withColumn("__i", idx.cast("int"))
+    return p.select(*keep, F.get(times, F.col("__i")).alias("timestamp"),
+                    *[F.get(F.col(f"hourly.{f}"), F.col("__i")).alias(f) for f in PAYLOAD_FIELDS])
 
 
 def split_periods(df: DataFrame, start: str = "start_ts", end: str = "end_ts", pieces_per_year: int = 48) -> DataFrame:

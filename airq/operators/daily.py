@@ -28,6 +28,24 @@ def calendar_spine(daily: DataFrame, key=STATION_KEY, day_col: str = "day") -> D
     return days.select(*key, F.date_format("__d", "yyyy-MM-dd").alias(day_col))
 
 
+def fill_missing_days(daily: DataFrame, key=STATION_KEY, day_col: str = "day") -> DataFrame:
+    """Add an all-NULL row for each day missing between a station's rows.
+
+    One pass: each row looks at the station's next day (``lead``) and
+    explodes into itself plus the days strictly between; the copies carry
+    NULL measures.  The daily table is read once and no join is needed."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*key).orderBy(day_col)
+    measures = [c for c in daily.columns if c not in (*key, day_col)]
+    d, nxt = F.to_date(day_col), F.col("__next")
+    gap = F.when(F.datediff(nxt, d) > 1, F.sequence(F.date_add(d, 1), F.date_sub(nxt, 1)))
+    days = F.concat(F.array(d), F.coalesce(gap, F.array().cast("array<date>")))
+    ex = (daily.withColumn("__next", F.to_date(F.lead(day_col).over(w)))
+          .select("*", F.posexplode(days).alias("__p", "__d")))
+    return ex.select(*key, F.date_format("__d", "yyyy-MM-dd").alias(day_col),
+                     *[F.when(F.col("__p") == 0, F.col(c)).alias(c) for c in measures])
+
+
 def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -> DataFrame:
     """Daily VN AQI of the vectorised batch job.
 
@@ -45,7 +63,7 @@ def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -
                   F.max("so2").alias("so2_1h_max"), F.max("no2").alias("no2_1h_max"),
                   F.max("co").alias("co_1h_max"), F.max("o3").alias("o3_1h_max"),
                   F.max("o3_8h").alias("o3_8h_max")))
-    full = calendar_spine(daily, key).join(daily, [*key, "day"], "left")
+    full = fill_missing_days(daily, key)
     o3_8 = F.when(~(F.col("o3_8h_max") > 400) | F.col("o3_8h_max").isNull(),
                   sub_index("o3_8h_max", "o3_8h", profile))
     out = full.select(

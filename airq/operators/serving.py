@@ -51,8 +51,8 @@ def station_history(df: DataFrame, hours: int = 24, as_of_ep=None, key=STATION_K
     the data, taken as a scalar subquery (no join, no driver round trip).
     """
     as_of = F.lit(as_of_ep) if as_of_ep is not None else df.agg(F.max("ep")).scalar()
-    return (df.filter(F.col("ep") >= as_of - hours)
-            .sortWithinPartitions(*key, "ep"))
+    return (df.withColumn("__asof", as_of).filter(F.col("ep") >= F.col("__asof") - hours)
+            .drop("__asof").sortWithinPartitions(*key, "ep"))
 
 
 def union_all(dfs: list) -> DataFrame:

@@ -36,6 +36,13 @@ def readings(spark, sf_dir) -> DataFrame:
     return hourly_readings(spark, sf_dir)
 
 
+def readings_once(spark, sf_dir) -> DataFrame:
+    """Readings written once to the shared checkpoint folder, for queries
+    that read them more than once (the events are scanned a single time)."""
+    from ..session import materialize
+    return materialize(readings(spark, sf_dir), "readings")
+
+
 def hourly(spark, sf_dir) -> DataFrame:
     return A.enrich(readings(spark, sf_dir))
 
@@ -158,12 +165,12 @@ def q_top5_pm25(spark, sf_dir):
 
 
 def q_station_history(spark, sf_dir):
-    return S.station_history(hourly(spark, sf_dir), hours=24).select(
+    return S.station_history(A.enrich(readings_once(spark, sf_dir)), hours=24).select(
         *KEY, "ep", "aqi_final", "aqi_category", *POLLUTANT_COLS)
 
 
 def q_station_list(spark, sf_dir):
-    r = readings(spark, sf_dir)
+    r = readings_once(spark, sf_dir)      # three region slices of one written table
     parts = [r.filter(F.col("region") == g) for g in ("north", "central", "south")]
     return S.station_list(S.union_all(parts))
 
@@ -187,14 +194,21 @@ def q_numeric_stats(spark, sf_dir):
 
 
 def q_mean_imputed(spark, sf_dir):
-    return P.mean_impute(readings(spark, sf_dir)).select(*KEY, "ep", *POLLUTANT_COLS)
+    return P.mean_impute(readings_once(spark, sf_dir)).select(*KEY, "ep", *POLLUTANT_COLS)
 
 
 def aligned_join(spark, sf_dir) -> DataFrame:
-    air, wea = C.align_time_range(readings(spark, sf_dir), hourly_weather(spark, sf_dir))
+    from ..session import materialize
+    wea = materialize(hourly_weather(spark, sf_dir), "weather")
+    air, wea = C.align_time_range(readings_once(spark, sf_dir), wea)
     return FE.join_air_weather(air, wea)
 
 
+def joined(spark, sf_dir) -> DataFrame:
+    """J1 without the P10 cut (a no-op before an inner join on the hour)."""
+    return FE.join_air_weather(readings(spark, sf_dir), hourly_weather(spark, sf_dir))
+
+
 def q_air_weather_join(spark, sf_dir):
     return aligned_join(spark, sf_dir).select(
         *KEY, "ep", "pm2_5", "pm10", "temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m")
@@ -210,11 +224,11 @@ def q_single_station_join(spark, sf_dir):
 
 
 def q_factor_corr(spark, sf_dir):
-    return P.factor_corr(aligned_join(spark, sf_dir))
+    return P.factor_corr(joined(spark, sf_dir))
 
 
 def q_factor_bins(spark, sf_dir):
-    return P.factor_bins(aligned_join(spark, sf_dir))
+    return P.factor_bins(joined(spark, sf_dir))
 
 
 # --- ingestion / shaping ----------------------------------------------------
@@ -239,9 +253,9 @@ def q_encode_messages(spark, sf_dir):
                     F.get_json_object(F.col("value").cast("string"), "$.pm2_5").try_cast("double").alias("pm2_5"))
 
 
-def payloads(spark, sf_dir) -> DataFrame:
+def payloads(spark, sf_dir, r=None) -> DataFrame:
     """API-shaped payloads: one per station-day with parallel hourly arrays."""
-    r = readings(spark, sf_dir).withColumn("day", D.day_of())
+    r = (r if r is not None else readings(spark, sf_dir)).withColumn("day", D.day_of())
     fields = {"pm2_5": "pm2_5", "pm10": "pm10", "ozone": "o3", "nitrogen_dioxide": "no2",
               "sulphur_dioxide": "so2", "carbon_monoxide": "co"}
     row = F.struct(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm").alias("time"),
@@ -262,8 +276,9 @@ def q_payload_explode(spark, sf_dir):
 
 
 def q_current_hour_pick(spark, sf_dir):
-    p = payloads(spark, sf_dir)
-    now = F.date_format(readings(spark, sf_dir).agg(F.max("event_time")).scalar(), "yyyy-MM-dd'T'HH:mm")
+    r = readings_once(spark, sf_dir)
+    p = payloads(spark, sf_dir, r)
+    now = F.date_format(r.agg(F.max("event_time")).scalar(), "yyyy-MM-dd'T'HH:mm")
     return C.current_hour_pick(p, now, keep=("city_name", "district", "day"))
 
 
@@ -276,7 +291,7 @@ def q_split_periods(spark, sf_dir):
 # --- features / forecast ----------------------------------------------------
 
 def features(spark, sf_dir) -> DataFrame:
-    air = P.mean_impute(readings(spark, sf_dir))
+    air = P.mean_impute(readings_once(spark, sf_dir))
     return FE.lag_features(FE.join_air_weather(air, hourly_weather(spark, sf_dir)))
 
 
@@ -285,7 +300,9 @@ def q_lag_features(spark, sf_dir):
 
 
 def q_scaled_features(spark, sf_dir):
-    df = FE.standardize(features(spark, sf_dir), [*FE.FEATURES, "aqi"], suffix="_z")
+    from ..session import materialize
+    feat = materialize(features(spark, sf_dir), "features")     # read by the stats and the rows
+    df = FE.standardize(feat, [*FE.FEATURES, "aqi"], suffix="_z")
     return df.select(*KEY, "ep", *_r6(*[f"{c}_z" for c in [*FE.FEATURES, "aqi"]]))
 
 

@@ -31,3 +31,12 @@ def test_calendar_spine_fills_gaps(spark):
     got = sorted((r.district, r.day) for r in D.calendar_spine(df).collect())
     assert got == [("d", "2024-01-01"), ("d", "2024-01-02"), ("d", "2024-01-03"), ("d", "2024-01-04"),
                    ("e", "2024-01-02")]
+
+
+def test_fill_missing_days_one_pass(spark):
+    df = spark.createDataFrame([("p", "d", "2024-01-01", 1.0), ("p", "d", "2024-01-04", 4.0),
+                                ("q", "e", "2024-01-02", 2.0)],
+                               "province string, district string, day string, v double")
+    got = sorted((r.district, r.day, r.v) for r in D.fill_missing_days(df).collect())
+    assert got == [("d", "2024-01-01", 1.0), ("d", "2024-01-02", None), ("d", "2024-01-03", None),
+                   ("d", "2024-01-04", 4.0), ("e", "2024-01-02", 2.0)]
