@@ -37,6 +37,16 @@ def parse_json(df: DataFrame, value_col: str = "value", schema=MESSAGE_SCHEMA,
     return out if keep_raw else out.drop("_raw")
 
 
+def infer_schema(msgs: DataFrame, value_col: str = "value", samples: int = 100) -> T.StructType:
+    """JSON schema inferred from up to ``samples`` messages merged
+    together, so a field that is NULL in one sample still gets its type from
+    the others (a single-row sample would type it as STRING).  Only the
+    bounded sample leaves the executors."""
+    spark = msgs.sparkSession
+    sample = msgs.select(F.col(value_col).cast("string").alias("v")).limit(samples)
+    return spark.read.json(sample.rdd.map(lambda r: r.v)).schema
+
+
 def parse_event_time(df: DataFrame, src: str = "timestamp", out: str = "event_time") -> DataFrame:
     """Text -> TIMESTAMP_NTZ; bad text becomes NULL (try_cast) and such
     rows are dropped, which a plain cast would turn into a job failure."""

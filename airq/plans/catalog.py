@@ -404,6 +404,35 @@ def q_partitioned_sink(spark, sf_dir):
     return FS.read_history(spark, path).select(*KEY, "region", "year", "month", "day", "ep", "aqi_final")
 
 
+def q_csv_roundtrip(spark, sf_dir):
+    """S15 + S3: readings written as CSV (one folder per station), read
+    back with an explicit schema; the station comes from the folder names."""
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources import files as FS
+    path = scratch_path(spark, "csv")
+    r = readings(spark, sf_dir).withColumn("time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
+    r.select(*KEY, "time", *POLLUTANT_COLS).write.partitionBy(*KEY).option("header", True).csv(path)
+    schema = T.StructType([T.StructField("time", T.TimestampNTZType()),
+                           *[T.StructField(c, T.DoubleType()) for c in POLLUTANT_COLS],
+                           T.StructField("province", T.StringType()), T.StructField("district", T.StringType())])
+    back = FS.read_csv(spark, path, schema)
+    return back.select(*KEY, C.ntz_micros(F.col("time")).alias("event_us"), *POLLUTANT_COLS)
+
+
+def q_snapshot_json(spark, sf_dir):
+    """Latest reading per station written as a JSON snapshot folder per
+    snapshot minute (the snapshot clock = newest reading), read back."""
+    from ..session import scratch_path
+    from ..sources import files as FS
+    path = scratch_path(spark, "snapshot")
+    lat = S.latest_per_station(readings(spark, sf_dir)).withColumn("snapshot", F.col("event_time"))
+    FS.write_snapshot(lat.select(*KEY, "region", "pm2_5", "pm10", "snapshot"), path)
+    back = spark.read.json(path)
+    return back.select(*KEY, "region", "pm2_5", "pm10", F.col("snapshot_minute").cast("string").alias("snapshot_minute"))
+
+
 def q_forecast_24h(spark, sf_dir):
     """M2-M5: fit on the train split, evaluate, save + reload, score the next
     24 hours of every station."""
@@ -470,6 +499,8 @@ CATALOG = {
     "stream_latest": q_stream_latest,
     "stream_nowcast": q_stream_nowcast,
     "partitioned_sink": q_partitioned_sink,
+    "csv_roundtrip": q_csv_roundtrip,
+    "snapshot_json": q_snapshot_json,
     "forecast_24h": q_forecast_24h,
     "throughput_metrics": q_throughput_metrics,
 }

@@ -419,6 +419,11 @@ ORACLE.update({
                'pm2_5': pm2_5, 'pm10': pm10, 'o3': o3, 'no2': no2, 'so2': so2, 'co': co}}) AS VARCHAR))) AS BIGINT)
              AS total_bytes
       FROM readings""",
+    "csv_roundtrip": f"""WITH {READINGS_CTES.strip()}
+      SELECT {KEYS}, epoch_us(event_time) AS event_us, {", ".join(POLS)} FROM readings""",
+    "snapshot_json": f"""WITH {READINGS_CTES.strip()}
+      SELECT {KEYS}, region, pm2_5, pm10, strftime(event_time, '%Y%m%d_%H%M') AS snapshot_minute FROM (
+        SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY ep DESC) AS rn FROM readings) WHERE rn = 1""",
     "partitioned_sink": f"""WITH {HOURLY_CTES}
       SELECT {KEYS}, region, year(event_time)::INT AS year, month(event_time)::INT AS month,
              day(event_time)::INT AS day, ep, aqi_final FROM enriched""",

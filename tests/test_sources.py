@@ -149,3 +149,11 @@ def test_date_layout(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "bydate")
     FS.write_partitioned(df, path, layout="date")
     assert os.path.isdir(os.path.join(path, "region=north", "date=2024-01-02"))
+
+
+def test_infer_schema_merges_samples(spark):
+    msgs = spark.createDataFrame([('{"d":"A","pm2_5":null,"k":1}',), ('{"d":"B","pm2_5":12.5,"k":2}',)],
+                                 "value string")
+    sch = C.infer_schema(msgs)
+    types = {f.name: f.dataType.simpleString() for f in sch.fields}
+    assert types == {"d": "string", "k": "bigint", "pm2_5": "double"}
