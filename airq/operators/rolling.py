@@ -17,18 +17,7 @@ def _w(key, order):
     return Window.partitionBy(*key).orderBy(*order)
 
 
-def nowcast_12h_expr(pts: Column, t: Column) -> Column:
-    """NowCast from a list of (e=epoch hour, v=value) of the last 12 hours.
-
-    At least 2 of the newest 3 hours must be present, else NULL; if the
-    largest value is 0 the result is 0; otherwise w = max(1/2, min/max) and
-    the result is sum(w^i c_i) / sum(w^i) over present hours (i = hours
-    back), rounded half-even to 2 decimals.
-    """
-    n3 = F.size(F.filter(pts, lambda p: p["e"] >= t - 2))
-    vs = F.transform(pts, lambda p: p["v"])
-    cmax = F.array_max(vs)
-    cmin = F.array_min(vs)
+def _nowcast_value(pts: Column, t: Column, n3: Column, cmin: Column, cmax: Column) -> Column:
     w = F.greatest(F.lit(0.5), F.try_divide(cmin, cmax))
 
     def weight(p):
@@ -41,22 +30,43 @@ def nowcast_12h_expr(pts: Column, t: Column) -> Column:
             .otherwise(F.bround(F.try_divide(num, den), 2)))
 
 
+def nowcast_12h_expr(pts: Column, t: Column) -> Column:
+    """NowCast from a list of (e=epoch hour, v=value) of the last 12 hours,
+    newest first.
+
+    At least 2 of the newest 3 hours must be present, else NULL; if the
+    largest value is 0 the result is 0; otherwise w = max(1/2, min/max) and
+    the result is sum(w^i c_i) / sum(w^i) over present hours (i = hours
+    back), rounded half-even to 2 decimals.
+    """
+    n3 = F.size(F.filter(pts, lambda p: p["e"] >= t - 2))
+    vs = F.transform(pts, lambda p: p["v"])
+    return _nowcast_value(pts, t, n3, F.array_min(vs), F.array_max(vs))
+
+
 def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
                 hours: int = 12) -> DataFrame:
     """Add NowCast columns; ``cols`` maps input column -> output column.
 
     The frame is a time range (``rangeBetween`` on epoch hours), so missing
-    hours count as missing, not as the previous row.
-    """
-    w = _w(key, [ep_col]).rangeBetween(-(hours - 1), 0)
+    hours count as missing, not as the previous row.  The 2-of-3 count and
+    the min/max are native window aggregates; only the weighted sums walk the
+    collected (at most 12-element) list."""
+    base = _w(key, [ep_col])
+    w12 = base.rangeBetween(-(hours - 1), 0)
+    w3 = base.rangeBetween(-2, 0)
     tmp = {}
     for src, out in cols.items():
-        pt = F.when(F.col(src).isNotNull(),
-                    F.struct(F.col(ep_col).alias("e"), F.col(src).cast("double").alias("v")))
+        v = F.col(src).cast("double")
+        pt = F.when(v.isNotNull(), F.struct(F.col(ep_col).alias("e"), v.alias("v")))
         # newest first, the order in which the weights are accumulated
-        tmp[f"__pts_{out}"] = F.sort_array(F.collect_list(pt).over(w), asc=False)
+        tmp[f"__pts_{out}"] = F.sort_array(F.collect_list(pt).over(w12), asc=False)
+        tmp[f"__n3_{out}"] = F.count(v).over(w3)
+        tmp[f"__mn_{out}"] = F.min(v).over(w12)
+        tmp[f"__mx_{out}"] = F.max(v).over(w12)
     df = df.withColumns(tmp)
-    df = df.withColumns({out: nowcast_12h_expr(F.col(f"__pts_{out}"), F.col(ep_col))
+    df = df.withColumns({out: _nowcast_value(F.col(f"__pts_{out}"), F.col(ep_col), F.col(f"__n3_{out}"),
+                                             F.col(f"__mn_{out}"), F.col(f"__mx_{out}"))
                          for out in cols.values()})
     return df.drop(*tmp.keys())
 

@@ -54,10 +54,10 @@ def history_writer(out_path: str, serving_path: str):
     replayed epoch after a failure replaces its own files (exactly-once
     effect) instead of appending duplicates."""
     def write(batch: DataFrame, epoch_id: int):
-        if batch.isEmpty():
-            return
         b = batch.withColumn("batch_id", F.lit(epoch_id)).persist()
         try:
+            if b.isEmpty():
+                return
             hist = b.withColumns({"year": F.year("event_time"), "month": F.month("event_time"),
                                   "day": F.dayofmonth("event_time")})
             (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
