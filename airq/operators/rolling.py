@@ -84,24 +84,26 @@ def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep"
     df = df.withColumn("__rn", rn)
     tmp = {}
     for src, out in cols.items():
-        pt = F.when(F.col(src).isNotNull(),
-                    F.struct(F.col(ep_col).alias("e"), F.col(src).cast("double").alias("v")))
+        v = F.col(src).cast("double")
+        pt = F.when(v.isNotNull(), F.struct(F.col(ep_col).alias("e"), v.alias("v")))
         tmp[f"__vals_{out}"] = F.transform(F.sort_array(F.collect_list(pt).over(w)), lambda p: p["v"])
+        tmp[f"__n_{out}"] = F.count(v).over(w)
+        tmp[f"__mn_{out}"] = F.min(v).over(w)
+        tmp[f"__mx_{out}"] = F.max(v).over(w)
     df = df.withColumns(tmp)
     outs = {}
     for out in cols.values():
         vals = F.col(f"__vals_{out}")
-        n = F.size(vals)
-        cmax, cmin = F.array_max(vals), F.array_min(vals)
+        n, cmin, cmax = F.col(f"__n_{out}"), F.col(f"__mn_{out}"), F.col(f"__mx_{out}")
         wt = F.greatest(F.try_divide(cmin, cmax), F.lit(0.5))
-        half = F.aggregate(F.transform(vals, lambda v, j: v * F.pow(F.lit(0.5), (j + 1).cast("double"))),
+        half = F.aggregate(F.transform(vals, lambda x, j: x * F.pow(F.lit(0.5), (j + 1).cast("double"))),
                            F.lit(0.0), lambda a, b: a + b)
-        num = F.aggregate(F.transform(vals, lambda v, j: v * F.pow(wt, j.cast("double"))),
+        num = F.aggregate(F.transform(vals, lambda x, j: x * F.pow(wt, j.cast("double"))),
                           F.lit(0.0), lambda a, b: a + b)
-        den = F.aggregate(F.transform(vals, lambda v, j: F.pow(wt, j.cast("double"))),
+        den = F.aggregate(F.transform(vals, lambda x, j: F.pow(wt, j.cast("double"))),
                           F.lit(0.0), lambda a, b: a + b)
         outs[out] = (F.when((F.col("__rn") == 1) | (n == 0), F.lit(None).cast("double"))
-                     .when(n == 1, vals[0])
+                     .when(n == 1, cmax)
                      .when(cmax == 0, F.lit(0.0))
                      .when(wt == 0.5, half)
                      .otherwise(F.try_divide(num, den)))
