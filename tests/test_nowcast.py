@@ -68,3 +68,28 @@ def test_ozone_8h(spark):
     df = ozone_8h(series(spark, rows).withColumnRenamed("v", "o3"))
     out = [r.o3_8h for r in df.orderBy("ep").collect()]
     assert out == [None, 1.0, 3.0, 4.0]          # always divided by 8, half-even
+
+
+def test_properties_random_series(spark):
+    """W3 stays within [min, max] of the values it uses, ignores input row
+    order, and returns the constant for constant series (seeded series)."""
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for s in range(6):
+        for t in range(60):
+            if rnd.random() < 0.8:
+                rows.append(("p", f"d{s}", t, round(rnd.uniform(0, 400), 3) if rnd.random() < 0.9 else None))
+    rows += [("p", "const", t, 37.5) for t in range(20)]
+    fwd = series(spark, rows)
+    rev = series(spark, list(reversed(rows))).repartition(5)
+    a = {(r.district, r.ep): r.nc for r in nowcast_12h(fwd, {"v": "nc"}).collect()}
+    b = {(r.district, r.ep): r.nc for r in nowcast_12h(rev, {"v": "nc"}).collect()}
+    assert a == b
+    vals = {(d, t): v for _, d, t, v in rows}
+    for (d, t), nc_ in a.items():
+        if nc_ is None:
+            continue
+        window = [vals[(d, k)] for k in range(t - 11, t + 1) if vals.get((d, k)) is not None]
+        assert min(window) - 0.005 <= nc_ <= max(window) + 0.005
+    assert all(v == 37.5 for (d, t), v in a.items() if d == "const" and t >= 1)
