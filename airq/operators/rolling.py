@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.rounding import round_binary_half_even
 from ..sources.adapter import STATION_KEY
 
 
@@ -27,7 +28,7 @@ def _nowcast_value(pts: Column, t: Column, n3: Column, cmin: Column, cmax: Colum
     den = F.aggregate(pts, F.lit(0.0), lambda acc, p: acc + weight(p))
     return (F.when(n3 < 2, F.lit(None).cast("double"))
             .when(cmax == 0, F.lit(0.0))
-            .otherwise(F.bround(F.try_divide(num, den), 2)))
+            .otherwise(round_binary_half_even(F.try_divide(num, den), 2)))
 
 
 def nowcast_12h_expr(pts: Column, t: Column) -> Column:
@@ -37,7 +38,8 @@ def nowcast_12h_expr(pts: Column, t: Column) -> Column:
     At least 2 of the newest 3 hours must be present, else NULL; if the
     largest value is 0 the result is 0; otherwise w = max(1/2, min/max) and
     the result is sum(w^i c_i) / sum(w^i) over present hours (i = hours
-    back), rounded half-even to 2 decimals.
+    back), rounded to 2 decimals as Python's ``round`` does (half-even on the
+    exact binary value).
     """
     n3 = F.size(F.filter(pts, lambda p: p["e"] >= t - 2))
     vs = F.transform(pts, lambda p: p["v"])

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from ..functions.rounding import round_binary_half_even_sql
 from ..functions.subindex import sub_index_sql
 from ..sources.adapter import CO_FACTOR, DIGITS, POLLUTANT_EVENTS
 
@@ -104,7 +105,7 @@ def nowcast_sql(src: str, ep: str = "ep", key: str = "province, district") -> st
     num = f"list_reduce(list_transform({lst}, lambda p: pow({w}, ({ep} - p.e)::DOUBLE) * p.v), lambda a, b: a + b, 0.0::DOUBLE)"
     den = f"list_reduce(list_transform({lst}, lambda p: pow({w}, ({ep} - p.e)::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE)"
     return (f"CASE WHEN {n3} < 2 THEN NULL WHEN {cmax} = 0 THEN 0.0::DOUBLE "
-            f"ELSE round_even({num} / {den}, 2) END")
+            f"ELSE {round_binary_half_even_sql(f'{num} / {den}', 2)} END")
 
 
 def nowcast_list_sql(src: str, key: str = "province, district", ep: str = "ep") -> str:
