@@ -9,6 +9,7 @@ from ..functions.labels import ui_level
 from ..functions.subindex import epa_pm25_continuous
 from ..sources.adapter import STATION_KEY
 from .clean import clip, future_hours
+from .slicing import N, RN, own_rows, sliced_window, with_row_index, with_slices
 
 FEATURES = ["pm10", "co", "no2", "so2", "o3",
             "temperature_2m", "relative_humidity_2m", "wind_speed_10m", "rain",
@@ -27,9 +28,10 @@ def lag_features(joined: DataFrame, key=STATION_KEY, ep: str = "ep") -> DataFram
     """M1: target = continuous EPA PM2.5 index; hour, weekday (Mon=0) and
     lags 1/3/6/24 rows per station; rows with any missing feature dropped."""
     df = joined.withColumn("aqi", epa_pm25_continuous("pm2_5"))
-    w = Window.partitionBy(*key).orderBy(ep)
+    df = with_slices(with_row_index(df, key, ep), RN, back=max(LAGS))
+    w = sliced_window(key, RN)          # dense positions: lag k = row k back
     df = df.withColumns({f"aqi_lag{k}": F.lag("aqi", k).over(w) for k in LAGS})
-    df = df.withColumns({"hour": F.hour("event_time"), "dayofweek": F.weekday("event_time")})
+    df = own_rows(df).drop(RN).withColumns({"hour": F.hour("event_time"), "dayofweek": F.weekday("event_time")})
     return df.dropna(subset=[*FEATURES, "aqi"])
 
 
@@ -47,12 +49,13 @@ def standardize(df: DataFrame, cols, suffix: str = "") -> DataFrame:
 
 
 def chronological_split(df: DataFrame, frac: float = 0.8, key=STATION_KEY, ep: str = "ep") -> DataFrame:
-    """Per station, the first int(n*frac) rows are 'train', the rest 'test'."""
-    w = Window.partitionBy(*key).orderBy(ep)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    return (df.withColumn("__rn", F.row_number().over(w))
-            .withColumn("split", F.when(F.col("__rn") <= F.floor(n * frac), "train").otherwise("test"))
-            .drop("__rn"))
+    """Per station, the first int(n*frac) rows are 'train', the rest 'test'.
+
+    Positions and counts come from per-slice counts (``with_row_index``), so
+    no task holds a whole station."""
+    d = with_row_index(df, key, ep, count=True)
+    return (d.withColumn("split", F.when(F.col(RN) <= F.floor(F.col(N) * frac), "train").otherwise("test"))
+            .drop(RN, N))
 
 
 def sequence_windows(df: DataFrame, target: str = "aqi", window: int = 24, horizon: int = 24,
@@ -61,15 +64,14 @@ def sequence_windows(df: DataFrame, target: str = "aqi", window: int = 24, horiz
     ``horizon`` targets as y; a group of n rows yields n - window - horizon
     samples (as the original loop).  Frames are bounded (48 rows)."""
     part = [*key, *group]
-    w = Window.partitionBy(*part).orderBy(ep)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*part))
+    df = with_slices(with_row_index(df, part, ep, count=True), RN, fwd=window + horizon - 1)
+    w = sliced_window(part, RN)          # dense positions: range = rows
     feat = F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURES])
-    df = (df.withColumn("i", F.row_number().over(w) - 1)
-            .withColumn("__n", n)
-            .withColumn("x", F.collect_list(feat).over(w.rowsBetween(0, window - 1)))
+    df = (df.withColumn("i", F.col(RN) - 1)
+            .withColumn("x", F.collect_list(feat).over(w.rangeBetween(0, window - 1)))
             .withColumn("y", F.collect_list(F.col(target).cast("double"))
-                        .over(w.rowsBetween(window, window + horizon - 1))))
-    return df.filter(F.col("i") < F.col("__n") - window - horizon).drop("__n")
+                        .over(w.rangeBetween(window, window + horizon - 1))))
+    return own_rows(df.filter(F.col("i") < F.col(N) - window - horizon)).drop(RN, N)
 
 
 def persistence_errors(df: DataFrame, target: str = "aqi", horizon: int = 24,
@@ -77,8 +79,10 @@ def persistence_errors(df: DataFrame, target: str = "aqi", horizon: int = 24,
     """A15 / M2 baseline: forecast y(t+h) = y(t); MAE and MSE per horizon.
 
     All 24 leads come from one window pass, then a small unpivot."""
-    w = Window.partitionBy(*key).orderBy(ep)
-    leads = df.select(target, *[F.lead(target, h).over(w).alias(f"h{h}") for h in range(1, horizon + 1)])
+    d = with_slices(with_row_index(df.select(*key, ep, target), key, ep), RN, fwd=horizon)
+    w = sliced_window(key, RN)
+    leads = own_rows(d.select(target, "__slice", "__own",
+                              *[F.lead(target, h).over(w).alias(f"h{h}") for h in range(1, horizon + 1)]))
     pairs = ", ".join(f"{h}, h{h}" for h in range(1, horizon + 1))
     long = leads.select(target, F.expr(f"stack({horizon}, {pairs}) AS (horizon, actual)"))
     err = (F.col("actual") - F.col(target))

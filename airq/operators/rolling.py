@@ -1,21 +1,20 @@
 """Per-station rolling operators.
 
-Every window is partitioned by the station key, so work spreads over
-stations and a frame holds at most 12/24 rows of one station; collected
-frames are bounded, so memory per row is constant whatever the data size.
+Every window is partitioned by (station, slice) with a halo of the rows the
+frames reach across the slice edge (``slicing``), so a station with a huge
+share of the rows is still spread over many tasks; frames hold at most
+12/24 rows, so memory per row is constant whatever the data size.  Row-based
+frames run on the exact per-station row position, as range frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import round_binary_half_even
 from ..sources.adapter import STATION_KEY
-
-
-def _w(key, order):
-    return Window.partitionBy(*key).orderBy(*order)
+from .slicing import RN, own_rows, sliced_window, with_row_index, with_slices
 
 
 def _nowcast_value(pts: Column, t: Column, n3: Column, cmin: Column, cmax: Column) -> Column:
@@ -47,14 +46,15 @@ def nowcast_12h_expr(pts: Column, t: Column) -> Column:
 
 
 def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
-                hours: int = 12) -> DataFrame:
+                hours: int = 12, size: int | None = None) -> DataFrame:
     """Add NowCast columns; ``cols`` maps input column -> output column.
 
     The frame is a time range (``rangeBetween`` on epoch hours), so missing
     hours count as missing, not as the previous row.  The 2-of-3 count and
     the min/max are native window aggregates; only the weighted sums walk the
     collected (at most 12-element) list."""
-    base = _w(key, [ep_col])
+    df = with_slices(df, ep_col, back=hours - 1, size=size)
+    base = sliced_window(key, ep_col)
     w12 = base.rangeBetween(-(hours - 1), 0)
     w3 = base.rangeBetween(-2, 0)
     tmp = {}
@@ -70,10 +70,11 @@ def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
     df = df.withColumns({out: _nowcast_value(F.col(f"__pts_{out}"), F.col(ep_col), F.col(f"__n3_{out}"),
                                              F.col(f"__mn_{out}"), F.col(f"__mx_{out}"))
                          for out in cols.values()})
-    return df.drop(*tmp.keys())
+    return own_rows(df).drop(*tmp.keys())
 
 
-def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep") -> DataFrame:
+def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
+                  size: int | None = None) -> DataFrame:
     """The vectorised batch variant (row-positional, oldest-first weights).
 
     For each row but the first of a station: take the last 12 rows, drop
@@ -81,9 +82,8 @@ def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep"
     0; w = max(min/max, 1/2); if w == 1/2 the result is sum(c_j * w^(j+1))
     (not normalised), else sum(c_j w^j) / sum(w^j).
     """
-    w = _w(key, [ep_col]).rowsBetween(-11, 0)
-    rn = F.row_number().over(_w(key, [ep_col]))
-    df = df.withColumn("__rn", rn)
+    df = with_slices(with_row_index(df, key, ep_col, size), RN, back=11, size=size)
+    w = sliced_window(key, RN).rangeBetween(-11, 0)   # = the last 12 rows
     tmp = {}
     for src, out in cols.items():
         v = F.col(src).cast("double")
@@ -104,35 +104,38 @@ def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep"
                           F.lit(0.0), lambda a, b: a + b)
         den = F.aggregate(F.transform(vals, lambda x, j: F.pow(wt, j.cast("double"))),
                           F.lit(0.0), lambda a, b: a + b)
-        outs[out] = (F.when((F.col("__rn") == 1) | (n == 0), F.lit(None).cast("double"))
+        outs[out] = (F.when((F.col(RN) == 1) | (n == 0), F.lit(None).cast("double"))
                      .when(n == 1, cmax)
                      .when(cmax == 0, F.lit(0.0))
                      .when(wt == 0.5, half)
                      .otherwise(F.try_divide(num, den)))
-    return df.withColumns(outs).drop("__rn", *tmp.keys())
+    return own_rows(df.withColumns(outs)).drop(RN, *tmp.keys())
 
 
 def ozone_8h(df: DataFrame, src: str = "o3", out: str = "o3_8h", key=STATION_KEY,
-             ep_col: str = "ep") -> DataFrame:
+             ep_col: str = "ep", size: int | None = None) -> DataFrame:
     """Sum of up to 8 trailing rows (missing skipped) always divided by 8,
     rounded half-even to an integer; the first row of a station is NULL and an
     all-missing frame gives 0."""
-    w = _w(key, [ep_col])
-    s = F.sum(F.col(src)).over(w.rowsBetween(-7, 0))
+    df = with_slices(with_row_index(df, key, ep_col, size), RN, back=7, size=size)
+    s = F.sum(F.col(src)).over(sliced_window(key, RN).rangeBetween(-7, 0))
     val = F.bround(F.coalesce(s, F.lit(0.0)) / F.lit(8.0), 0)
-    return df.withColumn(out, F.when(F.row_number().over(w) > 1, val))
+    return own_rows(df.withColumn(out, F.when(F.col(RN) > 1, val))).drop(RN)
 
 
 def trailing_mean(df: DataFrame, specs: list, key=STATION_KEY, ep_col: str = "ep",
-                  by: str = "rows") -> DataFrame:
+                  by: str = "rows", size: int | None = None) -> DataFrame:
     """``avg_{col}_{n}h`` over the last n rows (``by='rows'``) or the last
     n hours (``by='hours'``) of each station.  ``specs`` = [(col, n), ...]."""
-    w = _w(key, [ep_col])
-    cols = {}
-    for c, n in specs:
-        frame = w.rowsBetween(1 - n, 0) if by == "rows" else w.rangeBetween(1 - n, 0)
-        cols[f"avg_{c}_{n}h"] = F.avg(F.col(c)).over(frame)
-    return df.withColumns(cols)
+    back = max(n for _, n in specs) - 1
+    order = RN if by == "rows" else ep_col
+    if by == "rows":
+        df = with_row_index(df, key, ep_col, size)
+    df = with_slices(df, order, back=back, size=size)
+    w = sliced_window(key, order)
+    cols = {f"avg_{c}_{n}h": F.avg(F.col(c)).over(w.rangeBetween(1 - n, 0)) for c, n in specs}
+    out = own_rows(df.withColumns(cols))
+    return out.drop(RN) if by == "rows" else out
 
 
 def nowcast_passthrough(c) -> Column:

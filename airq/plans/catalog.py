@@ -421,6 +421,27 @@ def q_csv_roundtrip(spark, sf_dir):
     return back.select(*KEY, C.ntz_micros(F.col("time")).alias("event_us"), *POLLUTANT_COLS)
 
 
+def q_preamble_csv(spark, sf_dir):
+    """Readings written as per-station monthly CSV downloads (metadata
+    preamble, header at line 3), read back line-parallel with the header
+    index; the station comes from the folder names."""
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources import files as FS
+    path = scratch_path(spark, "preamble")
+    r = readings(spark, sf_dir).withColumns({
+        "time": F.date_format("event_time", "yyyy-MM-dd'T'HH:mm"),
+        "chunk": F.date_format("event_time", "yyyyMM")})
+    FS.write_preamble_csv(r, path, KEY, "chunk", "time", POLLUTANT_COLS,
+                          {"latitude": F.col("lat"), "longitude": F.col("lon"),
+                           "timezone": F.lit("Asia/Bangkok")})
+    schema = T.StructType([T.StructField("time", T.StringType()),
+                           *[T.StructField(c, T.DoubleType()) for c in POLLUTANT_COLS]])
+    back = FS.read_preamble_csv(spark, path, 3, schema)
+    return back.select(*KEY, "time", *POLLUTANT_COLS)
+
+
 def q_snapshot_json(spark, sf_dir):
     """Latest reading per station written as a JSON snapshot folder per
     snapshot minute (the snapshot clock = newest reading), read back."""
@@ -500,6 +521,7 @@ CATALOG = {
     "stream_nowcast": q_stream_nowcast,
     "partitioned_sink": q_partitioned_sink,
     "csv_roundtrip": q_csv_roundtrip,
+    "preamble_csv": q_preamble_csv,
     "snapshot_json": q_snapshot_json,
     "forecast_24h": q_forecast_24h,
     "throughput_metrics": q_throughput_metrics,

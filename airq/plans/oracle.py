@@ -421,6 +421,8 @@ ORACLE.update({
       FROM readings""",
     "csv_roundtrip": f"""WITH {READINGS_CTES.strip()}
       SELECT {KEYS}, epoch_us(event_time) AS event_us, {", ".join(POLS)} FROM readings""",
+    "preamble_csv": f"""WITH {READINGS_CTES.strip()}
+      SELECT {KEYS}, strftime(event_time, '%Y-%m-%dT%H:%M') AS time, {", ".join(POLS)} FROM readings""",
     "snapshot_json": f"""WITH {READINGS_CTES.strip()}
       SELECT {KEYS}, region, pm2_5, pm10, strftime(event_time, '%Y%m%d_%H%M') AS snapshot_minute FROM (
         SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY ep DESC) AS rn FROM readings) WHERE rn = 1""",

@@ -65,13 +65,49 @@ def read_station_files(spark: SparkSession, paths, schema: T.StructType | None =
 
 def read_preamble_csv(spark: SparkSession, path: str, header_index: int, schema: T.StructType) -> DataFrame:
     """CSV files whose header sits at line ``header_index`` after some
-    metadata lines.  Each file is read whole (files are per-station downloads
-    of bounded size), lines after the header are parsed with ``from_csv``."""
+    metadata lines; the lines after the header are the rows.
+
+    Read line by line, in parallel (large files are split like any text
+    file).  A line's position is its ``monotonically_increasing_id``, which
+    counts consecutively within a partition; the metadata lines sit at the
+    start of each file, i.e. in its split at offset 0.  One small aggregate
+    (a row per file) gives each file's first position; lines up to the header
+    are dropped, the rest are parsed with ``from_csv``.  Partition folders
+    (``key=value``) under ``path`` come back as columns."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    files = spark.read.text(path, wholetext=True)
-    lines = files.select(F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("i", "line"))
-    body = lines.filter((F.col("i") > header_index) & (F.length("line") > 0))
-    return body.select(F.from_csv("line", ddl).alias("r")).select("r.*")
+    lines = (spark.read.text(path)
+             .withColumns({"__file": F.col("_metadata.file_path"),
+                           "__first_split": F.col("_metadata.file_block_start") == 0,
+                           "__pos": F.monotonically_increasing_id()}))
+    starts = (lines.filter("__first_split").groupBy("__file")
+              .agg(F.min("__pos").alias("__start")))
+    body = (lines.join(starts, "__file", "left")
+            .filter(~F.col("__first_split") | (F.col("__pos") > F.col("__start") + header_index))
+            .filter(F.length("value") > 0))
+    extra = [c for c in body.columns if c not in ("value", "__file", "__first_split", "__pos", "__start")]
+    return body.select(F.from_csv("value", ddl).alias("__r"), *extra).select("__r.*", *extra)
+
+
+def write_preamble_csv(df: DataFrame, path: str, parts, chunk: str, order: str, data_cols,
+                       meta: dict) -> None:
+    """S5 writer: one CSV per (``parts``, ``chunk``) shaped like an API
+    download -- a metadata header and value line (``meta``: name -> column,
+    one value per chunk), an empty line, then the column header and the rows
+    sorted by ``order``.  A chunk (a bounded time range of one station) is
+    one task's file, so no task holds a whole station."""
+    cols = [order, *data_cols]
+    def txt(c):
+        return F.coalesce(c.cast("string"), F.lit(""))
+    rows = df.select(*parts, chunk, F.lit(1).alias("__sec"), F.col(order).cast("string").alias("__ord"),
+                     F.concat_ws(",", *[txt(F.col(c)) for c in cols]).alias("value"))
+    keys = df.groupBy(*parts, chunk).agg(*[F.max(v).alias(k) for k, v in meta.items()])
+    lines = [",".join(meta), F.concat_ws(",", *[txt(F.col(k)) for k in meta]), "", ",".join(cols)]
+    head = keys.select(*parts, chunk, F.lit(0).alias("__sec"), F.posexplode(F.array(
+        *[F.lit(x) if isinstance(x, str) else x for x in lines])).alias("__i", "value"))
+    head = head.select(*parts, chunk, "__sec", F.col("__i").cast("string").alias("__ord"), "value")
+    (head.unionByName(rows).repartition(*parts, chunk)
+     .sortWithinPartitions(*parts, chunk, "__sec", "__ord")
+     .select(*parts, chunk, "value").write.mode("overwrite").partitionBy(*parts, chunk).text(path))
 
 
 def write_snapshot(df: DataFrame, path: str, ts_col: str = "snapshot") -> None:
