@@ -9,7 +9,7 @@ from ..functions.labels import ui_level
 from ..functions.subindex import epa_pm25_continuous
 from ..sources.adapter import STATION_KEY
 from .clean import clip, future_hours
-from .slicing import N, RN, own_rows, sliced_window, with_row_index, with_slices
+from .slicing import N, OWN, RN, SLICE, own_rows, sliced_window, with_row_index, with_slices
 
 FEATURES = ["pm10", "co", "no2", "so2", "o3",
             "temperature_2m", "relative_humidity_2m", "wind_speed_10m", "rain",
@@ -81,7 +81,7 @@ def persistence_errors(df: DataFrame, target: str = "aqi", horizon: int = 24,
     All 24 leads come from one window pass, then a small unpivot."""
     d = with_slices(with_row_index(df.select(*key, ep, target), key, ep), RN, fwd=horizon)
     w = sliced_window(key, RN)
-    leads = own_rows(d.select(target, "__slice", "__own",
+    leads = own_rows(d.select(target, SLICE, OWN,
                               *[F.lead(target, h).over(w).alias(f"h{h}") for h in range(1, horizon + 1)]))
     pairs = ", ".join(f"{h}, h{h}" for h in range(1, horizon + 1))
     long = leads.select(target, F.expr(f"stack({horizon}, {pairs}) AS (horizon, actual)"))

@@ -20,6 +20,7 @@ from ..functions.labels import ui_level
 from ..sources.adapter import STATION_KEY
 from .clean import clip
 from .features import FEATURES
+from .slicing import OWN, RN, SLICE, own_rows, sliced_window, with_row_index, with_slices
 
 HORIZON = 24
 
@@ -27,10 +28,12 @@ HORIZON = 24
 def horizon_table(feat: DataFrame, target: str = "aqi", horizon: int = HORIZON, key=STATION_KEY,
                   ep: str = "ep") -> DataFrame:
     """(station, t, h, features at t, y = target at row t+h): the 24 leads
-    come from one window pass, then an unpivot."""
-    w = Window.partitionBy(*key).orderBy(ep)
-    leads = feat.select(*key, ep, "split", *FEATURES,
-                        *[F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)])
+    come from one sliced window pass (rows of the next 24 positions are
+    copied into the slice before), then an unpivot."""
+    d = with_slices(with_row_index(feat, key, ep), RN, fwd=horizon)
+    w = sliced_window(key, RN)
+    leads = own_rows(d.select(*key, ep, "split", *FEATURES, SLICE, OWN,
+                              *[F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)]))
     pairs = ", ".join(f"{h}, y{h}" for h in range(1, horizon + 1))
     return (leads.select(*key, ep, "split", *FEATURES, F.expr(f"stack({horizon}, {pairs}) AS (h, y)"))
             .filter(F.col("y").isNotNull()))
