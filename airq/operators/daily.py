@@ -9,7 +9,6 @@ from ..functions.profiles import vn_segments
 from ..functions.subindex import sub_index
 from ..sources.adapter import STATION_KEY
 from .rolling import ozone_8h, trailing_mean
-from .slicing import RN, own_rows, sliced_window, with_row_index, with_slices
 
 
 def day_of(ts_col: str = "event_time"):
@@ -30,24 +29,14 @@ def calendar_spine(daily: DataFrame, key=STATION_KEY, day_col: str = "day") -> D
 
 
 def fill_missing_days(daily: DataFrame, key=STATION_KEY, day_col: str = "day") -> DataFrame:
-    """Add an all-NULL row for each day missing between a station's rows.
-
-    One pass: each row looks at the station's next day (``lead``) and
-    explodes into itself plus the days strictly between; the copies carry
-    NULL measures.  The daily table is read once and no join is needed; the
-    ``lead`` runs on sliced station positions (each row's successor is
-    copied into the slice before), so no task holds a whole station."""
-    measures = [c for c in daily.columns if c not in (*key, day_col)]
-    dn = F.datediff(F.to_date(day_col), F.lit("1970-01-01").cast("date"))
-    sl = with_slices(with_row_index(daily.withColumn("__dn", dn), key, "__dn"), RN, fwd=1)
-    nxt_day = F.to_date(F.lead(day_col).over(sliced_window(key, RN)))
-    d, nxt = F.to_date(day_col), F.col("__next")
-    gap = F.when(F.datediff(nxt, d) > 1, F.sequence(F.date_add(d, 1), F.date_sub(nxt, 1)))
-    days = F.concat(F.array(d), F.coalesce(gap, F.array().cast("array<date>")))
-    ex = (own_rows(sl.withColumn("__next", nxt_day))
-          .select("*", F.posexplode(days).alias("__p", "__d")))
-    return ex.select(*key, F.date_format("__d", "yyyy-MM-dd").alias(day_col),
-                     *[F.when(F.col("__p") == 0, F.col(c)).alias(c) for c in measures])
+    """Add an all-NULL row for each day missing between a station's first
+    and last day.
+
+    The per-station calendar spine (a small aggregate, each station's span
+    exploded into days) is left-joined with the daily rows on (station, day).
+    Both sides are keyed by the day as well, so a station with a long history
+    spreads over many tasks; no window runs over a whole station."""
+    return calendar_spine(daily, key, day_col).join(daily, [*key, day_col], "left")
 
 
 def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -> DataFrame:

@@ -11,7 +11,7 @@ to score the next 24 hours of every station at once.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,8 +42,12 @@ def horizon_table(feat: DataFrame, target: str = "aqi", horizon: int = HORIZON,
 def build_pipeline() -> Pipeline:
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="xf", handleInvalid="skip")
     scale = StandardScaler(inputCol="xf", outputCol="xs", withMean=True, withStd=True)
-    onehot = OneHotEncoder(inputCols=["h"], outputCols=["hv"], dropLast=False)
-    both = VectorAssembler(inputCols=["xs", "hv"], outputCol="features")
+    # horizon indicators: h is 1..24 by construction, so a SQL stage (no fit
+    # pass over the data, unlike a one-hot encoder) derives them
+    ind = [f"h_{k}" for k in range(1, HORIZON + 1)]
+    onehot = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST(h = {k} AS DOUBLE) AS h_{k}" for k in range(1, HORIZON + 1)) + " FROM __THIS__")
+    both = VectorAssembler(inputCols=["xs", *ind], outputCol="features")
     # 15 scaled features + 24 horizon indicators: the normal-equation solver
     # needs one pass over the data (no iterative optimiser jobs)
     lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.01, solver="normal")

@@ -17,10 +17,10 @@ This is exact for frames bounded by ``back``/``fwd`` and costs one Generate
 
 Row-based frames ("the previous 8 rows") need the row's position in its
 station.  ``with_row_index`` computes it without a whole-station window:
-rows are counted per (station, time slice), a prefix sum over that small
-table gives each slice's offset, and a row number within the slice is added.
-The count table has one row per station per time slice, so its per-station
-groups are bounded by the time span, not by the data volume.
+one window per (station, time slice) numbers the rows and counts the slice,
+a prefix sum over the small table of slice counts gives each slice's offset.
+That table has one row per station per time slice, so its per-station groups
+are bounded by the time span, not by the data volume.
 """
 
 from __future__ import annotations
@@ -85,18 +85,24 @@ def with_row_index(df: DataFrame, key, ep: str = "ep", size: int | None = None,
     ``count``.
 
     Equal to ``row_number() over (partition by key order by ep)`` but no task
-    holds more than one time slice of a station."""
+    holds more than one time slice of a station: one window per (station,
+    time slice) gives the row number within the slice and the slice's size;
+    the slices' first rows form a small table whose prefix sums are the
+    offsets, joined back on (station, slice).  Both branches read the same
+    shuffle, so the input is computed once."""
     size = size or slice_size(df.sparkSession)
     ts = "__ts"
-    d = df.withColumn(ts, _floor_div(F.col(ep), size))
-    counts = d.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*key).orderBy(ts)
-    cols = [*key, ts, F.coalesce(F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+    w = Window.partitionBy(*key, ts)
+    local = (df.withColumn(ts, _floor_div(F.col(ep), size))
+               .withColumn("__loc", F.row_number().over(w.orderBy(ep)))
+               .withColumn("__c", F.count(F.lit(1)).over(w)))
+    firsts = local.filter(F.col("__loc") == 1).select(*key, ts, "__c")
+    wk = Window.partitionBy(*key).orderBy(ts)
+    cols = [*key, ts, F.coalesce(F.sum("__c").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                  F.lit(0)).alias("__off")]
     if count:
         cols.append(F.sum("__c").over(Window.partitionBy(*key)).alias(N))
-    offsets = counts.select(*cols)
-    local = F.row_number().over(Window.partitionBy(*key, ts).orderBy(ep))
-    return (d.join(offsets, [*key, ts])
-             .withColumn(RN, F.col("__off") + local)
-             .drop("__off", ts))
+    offsets = firsts.select(*cols)
+    return (local.join(offsets, [*key, ts])
+                 .withColumn(RN, F.col("__off") + F.col("__loc"))
+                 .drop("__off", "__loc", "__c", ts))

@@ -461,8 +461,9 @@ def q_forecast_24h(spark, sf_dir):
     from ..session import materialize, scratch_path
     # the feature table feeds both training and scoring: compute it once
     feat = materialize(FE.chronological_split(features(spark, sf_dir)), "features")
-    long = FC.horizon_table(feat)
-    model = FC.fit(long.filter(F.col("split") == "train"))
+    # the training table is read by the scaler and the solver: write it once
+    train = materialize(FC.horizon_table(feat).filter(F.col("split") == "train"), "horizons")
+    model = FC.fit(train)
     path = scratch_path(spark, "model")
     FC.save(model, path)
     model = FC.load(path)

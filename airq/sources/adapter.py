@@ -11,10 +11,15 @@ Mapping (all rows of ``events`` are used):
   values above its top breakpoint);
 * a station-hour without events of a type has NULL for that pollutant.
 
-Plan shape: events are first reduced to per-(sensor, hour) partial sums and
-counts (map-side combine), so a sensor holding a third of all events shrinks
-to at most one row per hour before any join; the sensor -> station join then
-runs on the reduced table; AQE picks broadcast or sort-merge by measured size.
+Plan shape: when the sensor -> station map is proven small (its exact row
+count times its fixed row size is under the session's broadcast threshold)
+it is broadcast into the event scan and events are aggregated once per
+(station, hour): partial aggregates map-side, one shuffle.  Otherwise events
+are first reduced to per-(sensor, hour) partial sums and counts (map-side
+combine), so a sensor holding a third of all events shrinks to at most one
+row per hour before any join; the sensor -> station join then runs on the
+reduced table (AQE picks broadcast or sort-merge by measured size), and the
+partials are merged per (station, hour).
 """
 
 from __future__ import annotations
@@ -86,6 +91,48 @@ def _sensor_station(spark, sf_dir) -> DataFrame:
     return c.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("station_id"))
 
 
+# Bytes per row of the sensor -> station map in a broadcast: two 8-byte keys
+# plus the 8-byte row header.
+SENSOR_ROW_BYTES = 24
+_SENSOR_ROWS: dict = {}
+
+
+def _bytes(text: str) -> int:
+    """'10485760b' / '20MB' / '1g' -> bytes (Spark's size notation)."""
+    t = str(text).strip().lower()
+    units = {"t": 1 << 40, "g": 1 << 30, "m": 1 << 20, "k": 1 << 10, "b": 1}
+    t = t[:-1] if t.endswith("b") and len(t) > 1 and t[-2] in units else t
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(t)
+
+
+def sensor_map_fits_broadcast(spark: SparkSession, sf_dir: str) -> bool:
+    """True when the sensor -> station map is proven small enough to
+    broadcast: exact row count (a Parquet metadata count, done once per
+    folder) times the row size, against ``autoBroadcastJoinThreshold``."""
+    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+    if limit <= 0:
+        return False
+    if sf_dir not in _SENSOR_ROWS:
+        _SENSOR_ROWS[sf_dir] = table(spark, sf_dir, "customer", "c_custkey").count()
+    return _SENSOR_ROWS[sf_dir] * SENSOR_ROW_BYTES <= limit
+
+
+def per_station_hour(spark: SparkSession, sf_dir: str, ev: DataFrame, aggs: list,
+                     merge: dict) -> DataFrame:
+    """(station_id, ep, aggregates) of events keyed by (user_id, ep).
+
+    ``aggs`` are the aggregates over events; ``merge`` maps each output
+    column to the function that merges its partials (sum, min, max)."""
+    sensors = _sensor_station(spark, sf_dir)
+    if sensor_map_fits_broadcast(spark, sf_dir):
+        return ev.join(F.broadcast(sensors), "user_id").groupBy("station_id", "ep").agg(*aggs)
+    cells = ev.groupBy("user_id", "ep").agg(*aggs)
+    return (cells.join(sensors, "user_id").groupBy("station_id", "ep")
+            .agg(*[fn(F.col(c)).alias(c) for c, fn in merge.items()]))
+
+
 def _events(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").try_cast("double")
@@ -100,12 +147,8 @@ def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = F.when(F.col("event_type") == etype, F.col("value"))
         sums += [F.sum(v).alias(f"s_{name}"), F.count(v).alias(f"n_{name}")]
     sums += [F.sum("k").alias("s_k"), F.count("k").alias("n_k")]
-    # 1) per sensor-hour partial sums (partial aggregation before the shuffle)
-    cells = ev.groupBy("user_id", "ep").agg(*sums)
-    # 2) sensor -> station, 3) per station-hour totals
-    merged = (cells.join(_sensor_station(spark, sf_dir), "user_id")
-              .groupBy("station_id", "ep")
-              .agg(*[F.sum(c).alias(c) for c in cells.columns if c[:2] in ("s_", "n_")]))
+    names = [f"{p}_{n}" for n in [*(x[0] for x in POLLUTANT_EVENTS), "k"] for p in ("s", "n")]
+    merged = per_station_hour(spark, sf_dir, ev, sums, {c: F.sum for c in names})
     vals = [F.round(_safe_div(F.col(f"s_{n}"), F.col(f"n_{n}")) * F.lit(f), DIGITS).alias(n)
             for n, _, f in POLLUTANT_EVENTS]
     vals.append(F.round(_safe_div(F.col("s_k"), F.col("n_k")) * F.lit(CO_FACTOR), DIGITS).alias("co"))
@@ -126,16 +169,12 @@ def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = _events(spark, sf_dir).withColumn(
         "ep", epoch_hour(F.col("ts") + F.expr("INTERVAL 30 MINUTES")))
-    cells = ev.groupBy("user_id", "ep").agg(
-        F.sum("value").alias("sv"), F.count("value").alias("nv"),
-        F.sum("k").alias("sk"), F.count("k").alias("nk"),
-        F.sum(F.when(F.col("event_type") == "error", F.col("value"))).alias("se"),
-        F.min("value").alias("mn"), F.max("value").alias("mx"))
-    merged = (cells.join(_sensor_station(spark, sf_dir), "user_id")
-              .groupBy("station_id", "ep")
-              .agg(F.sum("sv").alias("sv"), F.sum("nv").alias("nv"), F.sum("sk").alias("sk"),
-                   F.sum("nk").alias("nk"), F.sum("se").alias("se"),
-                   F.min("mn").alias("mn"), F.max("mx").alias("mx")))
+    aggs = [F.sum("value").alias("sv"), F.count("value").alias("nv"),
+            F.sum("k").alias("sk"), F.count("k").alias("nk"),
+            F.sum(F.when(F.col("event_type") == "error", F.col("value"))).alias("se"),
+            F.min("value").alias("mn"), F.max("value").alias("mx")]
+    merge = {"sv": F.sum, "nv": F.sum, "sk": F.sum, "nk": F.sum, "se": F.sum, "mn": F.min, "mx": F.max}
+    merged = per_station_hour(spark, sf_dir, ev, aggs, merge)
     w = merged.select(
         "station_id", "ep",
         F.round(F.lit(15.0) + _safe_div(F.col("sv"), F.col("nv")) / F.lit(25.0), DIGITS).alias("temperature_2m"),

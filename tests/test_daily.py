@@ -33,7 +33,7 @@ def test_calendar_spine_fills_gaps(spark):
                    ("e", "2024-01-02")]
 
 
-def test_fill_missing_days_one_pass(spark):
+def test_fill_missing_days(spark):
     df = spark.createDataFrame([("p", "d", "2024-01-01", 1.0), ("p", "d", "2024-01-04", 4.0),
                                 ("q", "e", "2024-01-02", 2.0)],
                                "province string, district string, day string, v double")
