@@ -18,6 +18,19 @@ def latest_per_station(df: DataFrame, key=STATION_KEY, order=("ep",), tie_break=
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def newest_hours(df: DataFrame, hours: int, key=STATION_KEY, ep: str = "ep") -> DataFrame:
+    """Rows within the newest ``hours`` hours of each station.
+
+    Used before a window whose frame reaches ``hours - 1`` hours back when only
+    each station's newest row is wanted: the window then runs on a few rows
+    per station instead of its whole history.  The per-station newest hour is
+    a small aggregate (partial aggregation first), joined back."""
+    newest = df.groupBy(*key).agg(F.max(ep).alias("__newest"))
+    return (df.join(newest, list(key))
+              .filter(F.col(ep) > F.col("__newest") - F.lit(hours))
+              .drop("__newest"))
+
+
 def last_n_per_station(df: DataFrame, n: int = 24, key=STATION_KEY, order: str = "ep") -> DataFrame:
     """The last n rows of every station."""
     w = Window.partitionBy(*key).orderBy(F.col(order).desc())

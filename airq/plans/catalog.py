@@ -48,7 +48,12 @@ def hourly(spark, sf_dir) -> DataFrame:
 
 
 def latest(spark, sf_dir) -> DataFrame:
-    return S.latest_per_station(hourly(spark, sf_dir))
+    """Newest enriched row per station.  Its NowCast reaches 11 hours back,
+    so readings (with a PM value, as ``enrich`` keeps them) are first cut to
+    each station's newest 12 hours: the window runs on at most 12 rows per
+    station instead of the whole history."""
+    recent = S.newest_hours(A.with_pm_present(readings(spark, sf_dir)), 12)
+    return S.latest_per_station(A.enrich(recent))
 
 
 # --- hourly index -----------------------------------------------------------
