@@ -31,6 +31,21 @@ def newest_hours(df: DataFrame, hours: int, key=STATION_KEY, ep: str = "ep") ->
               .drop("__newest"))
 
 
+def newest_rows_with_lookback(df: DataFrame, n: int, lookback: int, key=STATION_KEY,
+                              ep: str = "ep") -> DataFrame:
+    """Each station's newest ``n`` rows plus the ``lookback`` hours before
+    the oldest of them: all a window reaching ``lookback`` hours back needs
+    to score those n rows.  The newest n per station is a group limit
+    (partial top-n before the shuffle), reduced to one start hour per
+    station and joined back."""
+    w = Window.partitionBy(*key).orderBy(F.col(ep).desc())
+    top = df.select(*key, ep).withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
+    start = top.groupBy(*key).agg(F.min(ep).alias("__start"))
+    return (df.join(start, list(key))
+              .filter(F.col(ep) >= F.col("__start") - F.lit(lookback))
+              .drop("__start"))
+
+
 def last_n_per_station(df: DataFrame, n: int = 24, key=STATION_KEY, order: str = "ep") -> DataFrame:
     """The last n rows of every station."""
     w = Window.partitionBy(*key).orderBy(F.col(order).desc())

@@ -170,7 +170,13 @@ def q_top5_pm25(spark, sf_dir):
 
 
 def q_station_history(spark, sf_dir):
-    return S.station_history(A.enrich(readings_once(spark, sf_dir)), hours=24).select(
+    """K4: the last 24 hours up to the newest reading.  Their NowCast reaches
+    11 hours further back, so older readings are cut before the window (the
+    clock is one scalar subquery)."""
+    r = A.with_pm_present(readings_once(spark, sf_dir))
+    as_of = r.agg(F.max("ep")).scalar()
+    recent = r.filter(F.col("ep") >= as_of - F.lit(24 + 11))
+    return S.station_history(A.enrich(recent), hours=24).select(
         *KEY, "ep", "aqi_final", "aqi_category", *POLLUTANT_COLS)
 
 
@@ -181,7 +187,10 @@ def q_station_list(spark, sf_dir):
 
 
 def q_last24(spark, sf_dir):
-    return S.last_n_per_station(hourly(spark, sf_dir), 24).select(*KEY, "ep", "aqi_final")
+    """Each station's last 24 rows; only those and the 11 hours before
+    them feed the NowCast window."""
+    recent = S.newest_rows_with_lookback(A.with_pm_present(readings(spark, sf_dir)), 24, 11)
+    return S.last_n_per_station(A.enrich(recent), 24).select(*KEY, "ep", "aqi_final")
 
 
 # --- profiling --------------------------------------------------------------
