@@ -52,9 +52,16 @@ def chronological_split(df: DataFrame, frac: float = 0.8, key=STATION_KEY, ep: s
     """Per station, the first int(n*frac) rows are 'train', the rest 'test'.
 
     Positions and counts come from per-slice counts (``with_row_index``), so
-    no task holds a whole station."""
+    no task holds a whole station.
+    Also adds ``split_pos`` (0-based position within the station's split)
+    and ``split_n`` (rows in it), which ``sequence_windows`` uses instead of
+    numbering the rows again."""
     d = with_row_index(df, key, ep, count=True)
-    return (d.withColumn("split", F.when(F.col(RN) <= F.floor(F.col(N) * frac), "train").otherwise("test"))
+    n_train = F.floor(F.col(N) * frac)
+    train = F.col(RN) <= n_train
+    return (d.withColumns({"split": F.when(train, "train").otherwise("test"),
+                           "split_pos": F.when(train, F.col(RN) - 1).otherwise(F.col(RN) - n_train - 1),
+                           "split_n": F.when(train, n_train).otherwise(F.col(N) - n_train)})
             .drop(RN, N))
 
 
@@ -64,7 +71,12 @@ def sequence_windows(df: DataFrame, target: str = "aqi", window: int = 24, horiz
     ``horizon`` targets as y; a group of n rows yields n - window - horizon
     samples (as the original loop).  Frames are bounded (48 rows)."""
     part = [*key, *group]
-    df = with_slices(with_row_index(df, part, ep, count=True), RN, fwd=window + horizon - 1)
+    if tuple(group) == ("split",) and "split_pos" in df.columns:
+        # positions within (station, split) already given by chronological_split
+        df = df.withColumns({RN: F.col("split_pos") + 1, N: F.col("split_n")})
+    else:
+        df = with_row_index(df, part, ep, count=True)
+    df = with_slices(df, RN, fwd=window + horizon - 1)
     w = sliced_window(part, RN)          # dense positions: range = rows
     feat = F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURES])
     df = (df.withColumn("i", F.col(RN) - 1)

@@ -80,7 +80,7 @@ def own_rows(df: DataFrame) -> DataFrame:
 
 
 def with_row_index(df: DataFrame, key, ep: str = "ep", size: int | None = None,
-                   count: bool = False) -> DataFrame:
+                   count: bool = False, written: bool = False) -> DataFrame:
     """Add ``__rn``: 1-based position of the row in its station's ``ep``
     order (``ep`` unique per station), and ``__n`` (rows of the station) when
     ``count``.
@@ -89,9 +89,18 @@ def with_row_index(df: DataFrame, key, ep: str = "ep", size: int | None = None,
     holds more than one time slice of a station: one window per (station,
     time slice) gives the row number within the slice and the slice's size;
     the slices' first rows form a small table whose prefix sums are the
-    offsets, joined back on (station, slice).  Both branches read the same
-    shuffle, so the input is computed once."""
+    offsets, joined back on (station, slice).
+
+    The two branches need different columns, so Spark could not share their
+    shuffles and would compute the input twice (an upstream event scan
+    included).  The input is therefore written once to the shared checkpoint
+    folder (``materialize``) and both branches read that table; this also
+    cuts the lineage.  Pass ``written=True`` when ``df`` already is such a
+    table."""
+    from ..session import materialize
     size = size or slice_size(df.sparkSession)
+    if not written:
+        df = materialize(df, "rowindex")
     ts = "__ts"
     w = Window.partitionBy(*key, ts)
     local = (df.withColumn(ts, _floor_div(F.col(ep), size))

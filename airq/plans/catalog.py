@@ -52,7 +52,7 @@ def latest(spark, sf_dir) -> DataFrame:
     so readings (with a PM value, as ``enrich`` keeps them) are first cut to
     each station's newest 12 hours: the window runs on at most 12 rows per
     station instead of the whole history."""
-    recent = S.newest_hours(A.with_pm_present(readings(spark, sf_dir)), 12)
+    recent = S.newest_hours(A.with_pm_present(readings_once(spark, sf_dir)), 12)
     return S.latest_per_station(A.enrich(recent))
 
 
@@ -189,7 +189,7 @@ def q_station_list(spark, sf_dir):
 def q_last24(spark, sf_dir):
     """Each station's last 24 rows; only those and the 11 hours before
     them feed the NowCast window."""
-    recent = S.newest_rows_with_lookback(A.with_pm_present(readings(spark, sf_dir)), 24, 11)
+    recent = S.newest_rows_with_lookback(A.with_pm_present(readings_once(spark, sf_dir)), 24, 11)
     return S.last_n_per_station(A.enrich(recent), 24).select(*KEY, "ep", "aqi_final")
 
 
