@@ -98,10 +98,13 @@ def nowcast_stream(msgs: DataFrame, src: str = "pm2_5", delay: str = "2 hours")
     (12 h long, 1 h slide) -- the stateful form of W3, no Python state.
 
     A window [s, s+12h) scores its newest hour s+11h; the 2-of-3 rule is
-    applied to the three newest hours of the window."""
+    applied to the three newest hours of the window.  Repeated messages of a
+    station-hour are dropped first (same watermark), so a window's list holds
+    at most 12 entries however many messages a station sends."""
     df = with_event_ts(C.parse_event_time(msgs)).withColumn("ep", epoch_hour("event_time"))
     pt = F.when(F.col(src).isNotNull(), F.struct(F.col("ep").alias("e"), F.col(src).alias("v")))
     g = (df.withWatermark("event_ts", delay)
+         .dropDuplicatesWithinWatermark([*STATION_KEY, "event_time"])
          .groupBy(*STATION_KEY, F.window("event_ts", "12 hours", "1 hour").alias("w"))
          .agg(F.collect_list(pt).alias("pts"), F.max("ep").alias("newest")))
     t = epoch_hour(F.col("w.end").cast("timestamp_ntz")) - 1

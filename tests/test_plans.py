@@ -45,3 +45,19 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan \
         or "struct<user_id:bigint,ts:timestamp_ntz" in plan or "events.parquet" in plan
     assert "c_name" not in plan and "c_acctbal" not in plan   # customer scan reads 2 columns
+
+
+# the air and weather stand-ins are two aggregations of events (two sources
+# in a real deployment), so these joins read events once per side
+TWO_SOURCES = {"single_station_join", "factor_corr", "factor_bins"}
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMING - TWO_SOURCES - {"forecast_24h"}))
+def test_events_scanned_once(spark, name):
+    """A query reads the event table at most once in its final plan (inputs
+    used twice are written once to the shared folder first)."""
+    df = queries()[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    scans = [n for n in _nodes(df._jdf.queryExecution().executedPlan())
+             if n.nodeName().startswith("Scan") and "events.parquet" in n.toString()]
+    assert len(scans) <= 1, (name, len(scans))
