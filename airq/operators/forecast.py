@@ -26,11 +26,12 @@ HORIZON = 24
 
 
 def horizon_table(feat: DataFrame, target: str = "aqi", horizon: int = HORIZON, key=STATION_KEY,
-                  ep: str = "ep") -> DataFrame:
+                  ep: str = "ep", written: bool = False) -> DataFrame:
     """(station, t, h, features at t, y = target at row t+h): the 24 leads
     come from one sliced window pass (rows of the next 24 positions are
-    copied into the slice before), then an unpivot."""
-    d = with_slices(with_row_index(feat, key, ep), RN, fwd=horizon)
+    copied into the slice before), then an unpivot.  ``written``: ``feat``
+    is already a table in the shared folder (the row index reads it as is)."""
+    d = with_slices(with_row_index(feat, key, ep, written=written), RN, fwd=horizon)
     w = sliced_window(key, RN)
     leads = own_rows(d.select(*key, ep, "split", *FEATURES, SLICE, OWN,
                               *[F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)]))

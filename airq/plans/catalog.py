@@ -476,7 +476,7 @@ def q_forecast_24h(spark, sf_dir):
     # the feature table feeds both training and scoring: compute it once
     feat = materialize(FE.chronological_split(features(spark, sf_dir)), "features")
     # the training table is read by the scaler and the solver: write it once
-    train = materialize(FC.horizon_table(feat).filter(F.col("split") == "train"), "horizons")
+    train = materialize(FC.horizon_table(feat, written=True).filter(F.col("split") == "train"), "horizons")
     model = FC.fit(train)
     path = scratch_path(spark, "model")
     FC.save(model, path)
