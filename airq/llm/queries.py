@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
 from ..sources.tables import table
-from . import curriculum, ppm, token_counts
+from . import curriculum, license_scan, mtree, ngram_join, onebit, pieces, ppm, token_counts, toxicity, warc
 
 
 def id_remainder(col: str, n: int):
@@ -21,6 +21,58 @@ def id_remainder(col: str, n: int):
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))), F.lit(n))
 
 
+def op1_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", F.col("id") % 50 == 0).drop("examined")
+
+
+_MTREE_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+      FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p) WHERE rank <= 5"""
+
+
+def op2_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path(pieces.MODEL)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    drawn = pieces.encode(docs, "doc_id", "text", model, keep={"text_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
+    return pieces.decode(drawn, "ids", model).select(
+        F.col("key").alias("doc_id"), "rank", "n_pieces", "log_prob", "gumbel", "log_inclusion",
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"), "ids")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").withColumnRenamed("key", "doc_id")
+
+
+def op4_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    folder = warc.archive_folder(spark)
+    warc.write_monolithic(warc.mark_duplicates(pages, "page_id", "url", "html"), folder)
+    rec = warc.read_records(warc.normalise(spark, folder))
+    h, revisit = (lambda k: F.col("headers")[k]), F.col("headers")["WARC-Type"] == "revisit"
+    # a response's size and digest come from the payload read back, a revisit's from its header
+    return rec.select(
+        h("X-Page-ID").cast("long").alias("page_id"),
+        F.when(revisit, h("X-Payload-Length").cast("long")).otherwise(F.octet_length("payload")).cast("long").alias("payload_bytes"),
+        F.when(revisit, F.substring_index(h("WARC-Payload-Digest"), ":", -1)).otherwise(warc.sha1_base32(F.col("payload"))).alias("payload_digest"),
+        h("WARC-Type").alias("record_type"), h("X-Refers-To-Page").cast("long").alias("refers_to"))
+
+
+def _warc_sql() -> str:
+    five = [f"('0x' || substr(h, {1 + 5 * k}, 5))::INTEGER" for k in range(8)]
+    digest = " || ".join(f"substr('{warc.BASE32}', (({v} >> {s}) & 31) + 1, 1)" for v in five for s in (15, 10, 5, 0))
+    return f"""WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS keeper FROM p)
+SELECT page_id, n AS payload_bytes, {digest} AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to FROM g"""
+
+
 def op5_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     scored = materialize(ppm.score_documents(docs, "doc_id", "text", id_remainder("doc_id", 10) == 0), "ppm")
@@ -51,6 +103,28 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy("first_position", "doc_id"))
 
 
+TOXIC_AT = 0.3
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic", ~held_out)
+    return toxicity.score(docs, "text", model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return (ngram_join.similar_groups(docs, "doc_id", "text")
+            .select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")))
+
+
+def op9_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", F.col("id") % 50 == 0).drop("examined")
+
+
 def curriculum_sql(docs: str) -> str:
     """DuckDB SQL for `curriculum.mix` over a table or subquery."""
     values = ", ".join(f"({i}, {w!r}::DOUBLE, {b!r}::DOUBLE, {e!r}::DOUBLE)" for i, (w, (b, e)) in
@@ -93,8 +167,10 @@ def registered(fn):
     return run
 
 
-QUERIES = {f.__name__: registered(f) for f in (op5_ppm_score, op6_token_counts, op7_curriculum_mix)}
+QUERIES = {f.__name__: registered(f) for f in (op1_mtree_topk, op2_gumbel_pieces, op3_license_scan, op4_warc_normalise, op5_ppm_score, op6_token_counts, op7_curriculum_mix, op8_toxicity, op9_onebit_ann, op10_ngram_jaccard)}
 ORACLE: dict[str, str] = {
+    "op1_mtree_topk": _MTREE_SQL,
+    "op4_warc_normalise": _warc_sql(),
     "op7_curriculum_mix": "SELECT doc_id, size_ AS size, source_size, target, taken_ AS taken, p1 AS first_position, p2 AS second_position "
                           f"FROM ({curriculum_sql('documents')})",
 }
