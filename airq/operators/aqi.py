@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import dominant_pollutant, epa_category, health_advice, vn_category, vn_color
 from ..functions.subindex import overall_index, sub_index
 from ..sources.adapter import STATION_KEY
+from .clean import present
 from .rolling import nowcast_12h, nowcast_passthrough
 
 # output column -> (input column, pollutant table)
@@ -28,7 +29,7 @@ VN_SUBINDEX = {
 
 def with_pm_present(df: DataFrame) -> DataFrame:
     """Keep rows with at least one of the two particulate readings."""
-    return df.filter(F.col("pm2_5").isNotNull() | F.col("pm10").isNotNull())
+    return df.filter(present("pm2_5").isNotNull() | present("pm10").isNotNull())
 
 
 def add_nowcast(df: DataFrame, mode: str = "12h", key=STATION_KEY) -> DataFrame:

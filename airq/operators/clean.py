@@ -37,14 +37,28 @@ def parse_json(df: DataFrame, value_col: str = "value", schema=MESSAGE_SCHEMA,
     return out if keep_raw else out.drop("_raw")
 
 
-def infer_schema(msgs: DataFrame, value_col: str = "value", samples: int = 100) -> T.StructType:
-    """JSON schema inferred from up to ``samples`` messages merged
-    together, so a field that is NULL in one sample still gets its type from
-    the others (a single-row sample would type it as STRING).  Only the
-    bounded sample leaves the executors."""
-    spark = msgs.sparkSession
-    sample = msgs.select(F.col(value_col).cast("string").alias("v")).limit(samples)
-    return spark.read.json(sample.rdd.map(lambda r: r.v)).schema
+def split_malformed(msgs: DataFrame, value_col: str = "value", schema=MESSAGE_SCHEMA):
+    """P1 with quarantine: (parsed rows, bad rows with their text ``raw``).
+    A message is bad when it is no complete JSON object; NULL fields are fine."""
+    txt = F.col(value_col).cast("string")
+    bad = F.try_parse_json(txt).isNull() | ~F.coalesce(txt.startswith("{"), F.lit(False))
+    return parse_json(msgs.filter(~bad), value_col, schema), msgs.filter(bad).select(txt.alias("raw"))
+
+
+def infer_schema(msgs: DataFrame, value_col: str = "value", fraction: float = 1.0, seed: int = 0) -> T.StructType:
+    """JSON schema merged from every message (one aggregate; only the
+    schema leaves the executors), so a field first seen in the last message
+    is in it and a field that is NULL in one message gets its type from the
+    others.  ``fraction`` < 1 samples the messages, and says so.  Numbers with
+    a fraction are doubles; a field that is NULL everywhere is a string."""
+    if fraction < 1.0:
+        msgs = msgs.sample(fraction, seed)
+    v = F.try_parse_json(F.col(value_col).cast("string"))
+    text = msgs.agg(F.schema_of_variant_agg(v).alias("s")).first()["s"]
+    if not text or not text.startswith("OBJECT<"):
+        return T.StructType()
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", text.replace("OBJECT<", "STRUCT<"))
+    return T._parse_datatype_string(re.sub(r"\bVOID\b|\bVARIANT\b", "STRING", ddl))
 
 
 def parse_event_time(df: DataFrame, src: str = "timestamp", out: str = "event_time") -> DataFrame:
@@ -55,12 +69,24 @@ def parse_event_time(df: DataFrame, src: str = "timestamp", out: str = "event_ti
 
 
 def normalize_name(name: str) -> str:
-    """P5: drop '(unit)' parts, trim, lower-case, spaces -> '_'."""
-    return re.sub(r"\s*\([^)]*\)", "", name).strip().lower().replace(" ", "_")
+    """P5: the words of a heading outside its '(unit)' brackets, lower-case,
+    joined by '_'; runs of blanks count once."""
+    outside, depth = [], 0
+    for ch in name:
+        depth += ch == "("
+        if not depth:
+            outside.append(ch)
+        depth -= ch == ")" and depth > 0
+    return "_".join("".join(outside).lower().split())
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[normalize_name(c) for c in df.columns])
+    """P5 for all columns; two headings that end up with one name are an error."""
+    names = [normalize_name(c) for c in df.columns]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"several columns would be named {twice}")
+    return df.toDF(*names)
 
 
 def rename(df: DataFrame, mapping: dict) -> DataFrame:
@@ -74,6 +100,13 @@ def is_missing(c) -> Column:
     return c.isNull() | F.isnan(c)
 
 
+def present(c) -> Column:
+    """The value as a double, with NaN turned into NULL: averages, sums and
+    windows then skip NaN as they skip NULL."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(c), c)
+
+
 def not_nan(df: DataFrame, cols) -> DataFrame:
     """P8 as written in the warehouse job: NaN rejected, NULL kept."""
     cond = None

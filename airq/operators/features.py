@@ -48,6 +48,16 @@ def standardize(df: DataFrame, cols, suffix: str = "") -> DataFrame:
     return df.withColumn("__st", stats).withColumns(out).drop("__st")
 
 
+def inverse_standardize(df: DataFrame, fitted_on: DataFrame, cols: dict) -> DataFrame:
+    """F20 back: x = z * population std + mean, with the statistics of
+    ``fitted_on``; ``cols`` maps a standardised column to the original name."""
+    stats = fitted_on.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols.values()],
+                                   *[F.stddev_pop(c).alias(f"s_{c}") for c in cols.values()]).alias("st")).scalar()
+    st = F.col("__st")
+    out = {c: F.when(st[f"s_{c}"] == 0, st[f"m_{c}"]).otherwise(F.col(z) * st[f"s_{c}"] + st[f"m_{c}"]) for z, c in cols.items()}
+    return df.withColumn("__st", stats).withColumns(out).drop("__st")
+
+
 def chronological_split(df: DataFrame, frac: float = 0.8, key=STATION_KEY, ep: str = "ep") -> DataFrame:
     """Per station, the first int(n*frac) rows are 'train', the rest 'test'.
 

@@ -81,6 +81,55 @@ def score_next_24h(model: PipelineModel, feat: DataFrame, key=STATION_KEY, ep: s
                     F.round(v, 2).alias("aqi"), lvl["level"].alias("level"), lvl["color"].alias("color"))
 
 
+# --- one regression per horizon, as aggregates ------------------------------
+
+LEVEL, YESTERDAY = "aqi", "aqi_lag24"
+
+
+def horizon_rows(split: DataFrame, target: str = "aqi", horizon: int = HORIZON, key=STATION_KEY, ep: str = "ep") -> DataFrame:
+    """(split, h, level at t, value 24 rows before t, seasonal value, y): one row
+    per station, t and horizon whose target lies in the same split.  The
+    seasonal value is the target 24 rows before the row forecast."""
+    d = with_slices(split.withColumns({RN: F.col("split_pos") + 1}), RN, back=horizon, fwd=horizon)
+    w = sliced_window([*key, "split"], RN)
+    leads = [F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)]
+    lags = [F.lag(target, 24 - h).over(w).alias(f"s{h}") for h in range(1, horizon + 1)]
+    wide = own_rows(d.select("split", LEVEL, YESTERDAY, SLICE, OWN, *leads, *lags))
+    rows = ", ".join(f"{h}, y{h}, s{h}" for h in range(1, horizon + 1))
+    return (wide.select("split", F.col(LEVEL).alias("x1"), F.col(YESTERDAY).alias("x2"), F.expr(f"stack({horizon}, {rows}) AS (h, y, seasonal)"))
+            .filter(F.col("y").isNotNull()))
+
+
+def horizon_coefficients(train: DataFrame) -> DataFrame:
+    """(h, a, b, c) of y = a + b * level + c * yesterday by least squares, one
+    line per horizon: the normal equations from one aggregate.  A horizon whose
+    inputs don't vary enough falls back to the mean."""
+    s = train.groupBy("h").agg(
+        F.avg("x1").alias("m1"), F.avg("x2").alias("m2"), F.avg("y").alias("my"), F.var_pop("x1").alias("v1"), F.var_pop("x2").alias("v2"),
+        F.covar_pop("x1", "x2").alias("v12"), F.covar_pop("x1", "y").alias("v1y"), F.covar_pop("x2", "y").alias("v2y"))
+    det = F.col("v1") * F.col("v2") - F.col("v12") * F.col("v12")
+    solve = lambda p, q, r: F.coalesce(F.try_divide(F.col(p) * F.col(q) - F.col(r[0]) * F.col(r[1]), F.col("det")), F.lit(0.0))
+    s = s.withColumn("det", F.when(det > 1e-9 * F.col("v1") * F.col("v2"), det))
+    s = s.withColumns({"b": solve("v1y", "v2", ("v2y", "v12")), "c": solve("v2y", "v1", ("v1y", "v12"))})
+    return s.select("h", (F.col("my") - F.col("b") * F.col("m1") - F.col("c") * F.col("m2")).alias("a"), "b", "c")
+
+
+def evaluate_horizons(split: DataFrame, target: str = "aqi") -> DataFrame:
+    """(h, n, mae, mse, mae_persistence, mse_persistence, mae_seasonal,
+    mse_seasonal) on the test rows: the fitted line per horizon, the current
+    value carried forward, and the value one day before the hour forecast.  Only
+    rows with all three forecasts count, so the columns compare."""
+    from ..session import materialize
+    long = materialize(horizon_rows(split, target), "horizons")
+    fitted = horizon_coefficients(long.filter("split = 'train'"))
+    test = long.filter("split = 'test' AND seasonal IS NOT NULL").join(F.broadcast(fitted), "h")   # one row per horizon
+    guess = {"": F.col("a") + F.col("b") * F.col("x1") + F.col("c") * F.col("x2"), "_persistence": F.col("x1"), "_seasonal": F.col("seasonal")}
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for name, g in guess.items():
+        aggs += [F.round(F.avg(F.abs(g - F.col("y"))), 4).alias(f"mae{name}"), F.round(F.avg((g - F.col("y")) ** 2), 4).alias(f"mse{name}")]
+    return test.groupBy("h").agg(*aggs)
+
+
 def save(model: PipelineModel, path: str) -> None:
     """M5: model (with its scaling statistics) written with the ML writer."""
     model.write().overwrite().save(path)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.adapter import POLLUTANT_COLS, STATION_KEY
+from .clean import present
 
 
-def exact_avg(c: str, digits: int = 6):
-    """Mean of 6-decimal readings summed as DECIMAL: exact, so the result
-    does not depend on how rows were split across tasks, then rounded."""
-    return F.round(F.avg(F.col(c).cast("decimal(24,6)")), digits).cast("double")
+def rounded_avg(c: str, digits: int = 6):
+    """Mean of the present values (NULL and NaN skipped), rounded.  Summed as
+    DECIMAL with 15 decimals, finer than a double of a reading's size: the sum
+    doesn't depend on how rows were split across tasks."""
+    return F.round(F.avg(present(c).try_cast("decimal(38,15)")), digits).cast("double")
 
 
 def station_counts(df: DataFrame, key=STATION_KEY) -> DataFrame:
@@ -40,7 +42,7 @@ def numeric_stats(df: DataFrame, cols=POLLUTANT_COLS, by: str = "region") -> Dat
     a small explode to long form."""
     aggs = []
     for c in cols:
-        aggs += [exact_avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+        aggs += [rounded_avg(c).alias(f"m_{c}"), F.stddev_pop(present(c)).alias(f"s_{c}")]
     wide = df.groupBy(by).agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m_{c}").alias("mean"),
                                F.col(f"s_{c}").alias("std")) for c in cols])
@@ -49,14 +51,16 @@ def numeric_stats(df: DataFrame, cols=POLLUTANT_COLS, by: str = "region") -> Dat
 
 
 def mean_impute(df: DataFrame, cols=POLLUTANT_COLS, by: str = "region", digits: int = 6) -> DataFrame:
-    """Fill each missing value with its group's mean (rounded).
+    """Fill each missing value (NULL or NaN) with its group's mean (rounded).
 
-    The means are one aggregate row per group; the join back is left to AQE,
-    which broadcasts the aggregate when its measured size allows it."""
-    means = df.groupBy(by).agg(*[exact_avg(c, digits).alias(f"__m_{c}") for c in cols])
-    j = df.join(means, by, "left")
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in cols}).drop(
-        *[f"__m_{c}" for c in cols])
+    The means are one small map, group -> means, bound as a scalar subquery:
+    the rows are not shuffled by a key of a few values.  Rows without a group
+    keep their gaps."""
+    means = (df.filter(F.col(by).isNotNull()).groupBy(by)
+             .agg(F.struct(*[rounded_avg(c, digits).alias(c) for c in cols]).alias("m"))
+             .agg(F.map_from_entries(F.collect_list(F.struct(by, "m")))).scalar())
+    j = df.withColumn("__means", means).withColumn("__m", F.col("__means")[F.col(by)])
+    return j.withColumns({c: F.coalesce(present(c), F.col("__m")[c]) for c in cols}).drop("__means", "__m")
 
 
 FACTORS = ["temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m",
@@ -66,8 +70,8 @@ FACTORS = ["temperature_2m", "relative_humidity_2m", "rain", "wind_speed_10m",
 def safe_corr(x: str, y: str):
     """Pearson r = cov_pop / (sd_x * sd_y); NULL (not an error) when one
     side is constant in the group (plain ``corr`` divides by zero under ANSI)."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xx, yy = F.when(both, F.col(x)), F.when(both, F.col(y))
+    both = present(x).isNotNull() & present(y).isNotNull()
+    xx, yy = F.when(both, present(x)), F.when(both, present(y))
     return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
 
 
@@ -75,8 +79,8 @@ def factor_corr(joined: DataFrame, target: str = "pm2_5", factors=FACTORS) -> Da
     """Pearson correlation of the target with each weather factor,
     overall and per station (GROUPING SETS)."""
     aggs = [F.count(target).alias("n")] + [F.round(safe_corr(target, f), 6).alias(f"corr_{f}") for f in factors]
-    g = joined.cube("province", "district").agg(*aggs, F.grouping_id().alias("gid"))
-    return g.filter("gid = 0 OR gid = 3").drop("gid")
+    p, d = F.col("province"), F.col("district")
+    return joined.groupingSets([[p, d], []], p, d).agg(*aggs)
 
 
 def factor_bins(joined: DataFrame, target: str = "pm2_5") -> DataFrame:
@@ -92,4 +96,4 @@ def factor_bins(joined: DataFrame, target: str = "pm2_5") -> DataFrame:
     long = joined.filter(F.col(target).isNotNull()).select(target, F.inline(bands))
     return long.groupBy("factor", "bin").agg(
         F.count(target).alias("n"), F.round(F.min(target), 6).alias("min"),
-        exact_avg(target).alias("avg"), F.round(F.max(target), 6).alias("max"))
+        rounded_avg(target).alias("avg"), F.round(F.max(target), 6).alias("max"))

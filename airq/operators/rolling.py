@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import round_binary_half_even
 from ..sources.adapter import STATION_KEY
+from .clean import present
 from .slicing import RN, own_rows, sliced_window, with_row_index, with_slices
 
 
@@ -25,9 +26,13 @@ def _nowcast_value(pts: Column, t: Column, n3: Column, cmin: Column, cmax: Colum
 
     num = F.aggregate(pts, F.lit(0.0), lambda acc, p: acc + weight(p) * p["v"])
     den = F.aggregate(pts, F.lit(0.0), lambda acc, p: acc + weight(p))
-    return (F.when(n3 < 2, F.lit(None).cast("double"))
-            .when(cmax == 0, F.lit(0.0))
-            .otherwise(round_binary_half_even(F.try_divide(num, den), 2)))
+    return F.when(n3 < 2, F.lit(None).cast("double")).when(cmax == 0, F.lit(0.0)).otherwise(F.try_divide(num, den))
+
+
+def _rounded(x: Column) -> Column:
+    """Half-even rounding to 2 digits with its argument bound once: the rule
+    names it many times, and would repeat a whole weighted sum each time."""
+    return F.get(F.transform(F.array(x), lambda v: round_binary_half_even(v, 2)), F.lit(0))
 
 
 def nowcast_12h_expr(pts: Column, t: Column) -> Column:
@@ -42,7 +47,7 @@ def nowcast_12h_expr(pts: Column, t: Column) -> Column:
     """
     n3 = F.size(F.filter(pts, lambda p: p["e"] >= t - 2))
     vs = F.transform(pts, lambda p: p["v"])
-    return _nowcast_value(pts, t, n3, F.array_min(vs), F.array_max(vs))
+    return _rounded(_nowcast_value(pts, t, n3, F.array_min(vs), F.array_max(vs)))
 
 
 def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
@@ -59,7 +64,7 @@ def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
     w3 = base.rangeBetween(-2, 0)
     tmp = {}
     for src, out in cols.items():
-        v = F.col(src).cast("double")
+        v = present(src)
         pt = F.when(v.isNotNull(), F.struct(F.col(ep_col).alias("e"), v.alias("v")))
         # newest first, the order in which the weights are accumulated
         tmp[f"__pts_{out}"] = F.sort_array(F.collect_list(pt).over(w12), asc=False)
@@ -67,8 +72,8 @@ def nowcast_12h(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep",
         tmp[f"__mn_{out}"] = F.min(v).over(w12)
         tmp[f"__mx_{out}"] = F.max(v).over(w12)
     df = df.withColumns(tmp)
-    df = df.withColumns({out: _nowcast_value(F.col(f"__pts_{out}"), F.col(ep_col), F.col(f"__n3_{out}"),
-                                             F.col(f"__mn_{out}"), F.col(f"__mx_{out}"))
+    df = df.withColumns({out: _rounded(_nowcast_value(F.col(f"__pts_{out}"), F.col(ep_col), F.col(f"__n3_{out}"),
+                                                      F.col(f"__mn_{out}"), F.col(f"__mx_{out}")))
                          for out in cols.values()})
     return own_rows(df).drop(*tmp.keys())
 
@@ -86,7 +91,7 @@ def nowcast_batch(df: DataFrame, cols: dict, key=STATION_KEY, ep_col: str = "ep"
     w = sliced_window(key, RN).rangeBetween(-11, 0)   # = the last 12 rows
     tmp = {}
     for src, out in cols.items():
-        v = F.col(src).cast("double")
+        v = present(src)
         pt = F.when(v.isNotNull(), F.struct(F.col(ep_col).alias("e"), v.alias("v")))
         tmp[f"__vals_{out}"] = F.transform(F.sort_array(F.collect_list(pt).over(w)), lambda p: p["v"])
         tmp[f"__n_{out}"] = F.count(v).over(w)
@@ -118,7 +123,7 @@ def ozone_8h(df: DataFrame, src: str = "o3", out: str = "o3_8h", key=STATION_KEY
     rounded half-even to an integer; the first row of a station is NULL and an
     all-missing frame gives 0."""
     df = with_slices(with_row_index(df, key, ep_col, size), RN, back=7, size=size)
-    s = F.sum(F.col(src)).over(sliced_window(key, RN).rangeBetween(-7, 0))
+    s = F.sum(present(src)).over(sliced_window(key, RN).rangeBetween(-7, 0))
     val = F.bround(F.coalesce(s, F.lit(0.0)) / F.lit(8.0), 0)
     return own_rows(df.withColumn(out, F.when(F.col(RN) > 1, val))).drop(RN)
 
@@ -133,7 +138,7 @@ def trailing_mean(df: DataFrame, specs: list, key=STATION_KEY, ep_col: str = "ep
         df = with_row_index(df, key, ep_col, size)
     df = with_slices(df, order, back=back, size=size)
     w = sliced_window(key, order)
-    cols = {f"avg_{c}_{n}h": F.avg(F.col(c)).over(w.rangeBetween(1 - n, 0)) for c, n in specs}
+    cols = {f"avg_{c}_{n}h": F.avg(present(c)).over(w.rangeBetween(1 - n, 0)) for c, n in specs}
     out = own_rows(df.withColumns(cols))
     return out.drop(RN) if by == "rows" else out
 

@@ -80,7 +80,7 @@ def station_history(df: DataFrame, hours: int = 24, as_of_ep=None, key=STATION_K
     """
     as_of = F.lit(as_of_ep) if as_of_ep is not None else df.agg(F.max("ep")).scalar()
     return (df.withColumn("__asof", as_of).filter(F.col("ep") >= F.col("__asof") - hours)
-            .drop("__asof").sortWithinPartitions(*key, "ep"))
+            .drop("__asof").orderBy(*key, "ep"))
 
 
 def union_all(dfs: list) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sqlfuncs
+from ..functions.labels import vn_rgb
 from ..functions.subindex import epa_pm25_continuous, sub_index
 from ..operators import aqi as A
 from ..operators import clean as C
@@ -19,7 +20,7 @@ from ..operators import features as FE
 from ..operators import profile as P
 from ..operators import rolling as R
 from ..operators import serving as S
-from ..sources.adapter import POLLUTANT_COLS, hourly_readings, hourly_weather
+from ..sources.adapter import POLLUTANT_COLS, hourly_readings, hourly_weather, unmatched_events
 
 HOURLY_OUT = ["province", "district", "region", "lat", "lon", "ep",
               "pm2_5", "pm10", "o3", "no2", "so2", "co", "nowcast_pm25", "nowcast_pm10",
@@ -166,7 +167,9 @@ def q_top_polluted(spark, sf_dir):
 
 
 def q_top5_pm25(spark, sf_dir):
-    return S.top_pm25(latest(spark, sf_dir)).select("province", "district", "pm2_5", "pm10")
+    """K2 ranks the raw snapshot: each station's newest reading, with or
+    without PM values."""
+    return S.top_pm25(S.latest_per_station(readings(spark, sf_dir))).select("province", "district", "pm2_5", "pm10")
 
 
 def q_station_history(spark, sf_dir):
@@ -237,6 +240,25 @@ def q_single_station_join(spark, sf_dir):
     return j.select(*KEY, "ep", "region_x", "region_y", "pm2_5", "pm10", "temperature_2m")
 
 
+DAYS = 10
+
+
+def q_district_time_join(spark, sf_dir):
+    """P9 + J2: air and weather cut to one district (the first by name) and to its
+    last days, then joined on time alone; names both sides have get the suffixes
+    _x and _y."""
+    air = readings_once(spark, sf_dir)
+    one = air.agg(F.min("district")).scalar()
+    cut = lambda df: df.withColumn("one", one).filter(F.col("district") == F.col("one")).drop("one")
+    air, wea = cut(air), cut(hourly_weather(spark, sf_dir))
+    newest = air.agg(F.max("event_time")).scalar()
+    first = F.col("newest") - F.expr(f"INTERVAL {DAYS} DAYS")
+    air = C.time_between(air.withColumn("newest", newest), first, F.col("newest")).drop("newest")
+    a = C.rename(air, {"event_time": "event_time", "region": "region_x", "ep": "ep_x", "pm2_5": "pm2_5", "pm10": "pm10"})
+    w = C.rename(wea, {"event_time": "event_time", "region": "region_y", "ep": "ep_y", "temperature_2m": "temperature_2m", "rain": "rain"})
+    return a.join(w, "event_time").select("region_x", "region_y", "ep_x", "ep_y", "pm2_5", "pm10", "temperature_2m", "rain")
+
+
 def q_factor_corr(spark, sf_dir):
     return P.factor_corr(joined(spark, sf_dir))
 
@@ -260,6 +282,49 @@ def q_json_parse(spark, sf_dir):
                          *POLLUTANT_COLS)
 
 
+def q_json_quarantine(spark, sf_dir):
+    """Messages cut off in transit (every seventh hour here) go to
+    quarantine with their text; none is lost without a count."""
+    r = readings(spark, sf_dir).withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm"))
+    cols = [f.name for f in C.MESSAGE_SCHEMA.fields]
+    text = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    msgs = r.select(F.when(F.col("ep") % 7 == 0, F.substring(text, 1, 40)).otherwise(text).cast("binary").alias("value"))
+    good, bad = C.split_malformed(msgs)
+    return (good.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("int").alias("longest"))
+            .withColumn("kind", F.lit("parsed"))
+            .unionByName(bad.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("raw")).alias("longest"))
+                         .select(F.lit(None).cast("string").alias("region"), "n", "longest", F.lit("quarantine").alias("kind"))))
+
+
+def q_aqi_epa_sql_functions(spark, sf_dir):
+    """X2 + F11: the stepped EPA rules called from Spark SQL, and the RGB triple
+    of the VN level."""
+    sqlfuncs.register(spark)
+    df = readings(spark, sf_dir)
+    subs = {f"epa_{n}": F.expr(f"airq_epa_{f}({c})") for n, f, c in (
+        ("pm25", "pm25", "pm2_5"), ("pm10", "pm10", "pm10"), ("o3", "o3", "o3"), ("no2", "no2", "no2"), ("so2", "so2", "so2"), ("co", "co", "co"))}
+    df = df.withColumns(subs).withColumn("epa_aqi", F.greatest(*subs))
+    return df.select(*KEY, "ep", *subs, F.expr("airq_epa_category(epa_aqi)").alias("epa_category"),
+                     vn_rgb(sub_index("pm2_5", "pm25", "vn")).alias("rgb"))
+
+
+def q_nan_readings(spark, sf_dir):
+    """NaN counts as missing: readings whose PM and ozone turn NaN every fifth
+    hour, through the NowCast, the batch NowCast, the ozone window and imputation."""
+    from ..session import materialize
+    nan = F.lit(float("nan"))
+    r = readings(spark, sf_dir)
+    r = materialize(r.withColumns({c: F.when(F.col("ep") % 5 == 0, nan).otherwise(F.col(c)) for c in ("pm2_5", "o3")}), "nan")
+    df = R.ozone_8h(R.nowcast_batch(R.nowcast_12h(r, {"pm2_5": "nowcast"}), {"pm2_5": "nc_batch"}))
+    filled = P.mean_impute(r).select(*KEY, "ep", F.col("pm2_5").alias("filled"))
+    return df.join(filled, [*KEY, "ep"]).select(*KEY, "ep", "nowcast", *_r6("nc_batch"), "o3_8h", "filled")
+
+
+def q_unmatched_events(spark, sf_dir):
+    """Events whose sensor has no station: what the readings leave out."""
+    return unmatched_events(spark, sf_dir)
+
+
 def q_encode_messages(spark, sf_dir):
     m = _messages(spark, sf_dir)
     return m.select(F.col("key").cast("string").alias("key"),
@@ -320,6 +385,23 @@ def q_scaled_features(spark, sf_dir):
     return df.select(*KEY, "ep", *_r6(*[f"{c}_z" for c in [*FE.FEATURES, "aqi"]]))
 
 
+def q_inverse_scaled(spark, sf_dir):
+    """standardised and turned back."""
+    from ..session import materialize
+    feat = materialize(features(spark, sf_dir), "features")
+    cols = [*FE.FEATURES, "aqi"]
+    z = FE.standardize(feat, cols, suffix="_z")
+    back = FE.inverse_standardize(z, feat, {f"{c}_z": c for c in cols})
+    return back.select(*KEY, "ep", *_r6(*cols))
+
+
+def q_forecast_eval(spark, sf_dir):
+    """One regression per horizon against persistence and
+    yesterday's value, MAE and MSE per horizon on held-out rows."""
+    from ..operators import forecast as FC
+    return FC.evaluate_horizons(FE.chronological_split(features(spark, sf_dir)))
+
+
 def q_sequence_windows(spark, sf_dir):
     df = FE.sequence_windows(FE.chronological_split(features(spark, sf_dir)))
     return df.select(*KEY, "split", "i", F.size("x").alias("x_len"), F.size("y").alias("y_len"),
@@ -370,42 +452,64 @@ def q_stream_dedup(spark, sf_dir):
     from ..session import scratch_path
     from ..streaming import pipeline as SP
     src = _message_files(spark, sf_dir, copies=2)
+    out = dedup_replay(spark, src)
+    return spark.read.parquet(out).select(*KEY, C.ntz_micros(F.col("event_time")).alias("event_us"),
+                                          *POLLUTANT_COLS)
+
+
+def _nothing_late(query):
+    from ..streaming import pipeline as SP
+    if late := SP.late_rows(query):
+        raise RuntimeError(f"{late} messages of the replay were late")
+
+
+def dedup_replay(spark, src: str, max_files: int = 1000) -> str:
+    """Replay message files through ``dedup_stream``; the written folder."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
     out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
-    q = (SP.dedup_stream(SP.read_messages(spark, "files", path=src)).writeStream.format("parquet")
+    delay = SP.replay_delay(spark.read.schema(C.MESSAGE_SCHEMA).json(src))
+    q = (SP.dedup_stream(SP.read_messages(spark, "files", path=src, max_files=max_files), delay).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).select(*KEY, C.ntz_micros(F.col("event_time")).alias("event_us"),
-                                          *POLLUTANT_COLS)
+    _nothing_late(q)
+    return out
+
+
+def nowcast_replay(spark, src: str, max_files: int = 1000) -> DataFrame:
+    """Replay message files through ``nowcast_stream``; every window's last state."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    out, ckpt = scratch_path(spark, "nowcast"), scratch_path(spark, "ckpt")
+    delay = SP.replay_delay(spark.read.schema(C.MESSAGE_SCHEMA).json(src))
+    q = (SP.nowcast_stream(SP.read_messages(spark, "files", path=src, max_files=max_files), delay=delay).writeStream
+         .outputMode("update").foreachBatch(SP.upserts(out)).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    _nothing_late(q)
+    return SP.read_upserts(spark, out, [*KEY, "ep"])
 
 
 def q_stream_latest(spark, sf_dir):
-    """Latest row per station kept as streaming state (complete mode)."""
+    """Latest row per station kept as streaming state; each micro-batch
+    writes only the stations that changed (update mode)."""
     from ..session import scratch_path
     from ..streaming import pipeline as SP
     src = _message_files(spark, sf_dir)
     out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
 
-    def put(batch, epoch_id):
-        batch.write.mode("overwrite").parquet(out)
     latest_q = SP.latest_stream(SP.enrich_stream(SP.read_messages(spark, "files", path=src)))
-    q = (latest_q.writeStream.outputMode("complete").foreachBatch(put)
+    q = (latest_q.writeStream.outputMode("update").foreachBatch(SP.upserts(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).select(*KEY, "ep", "aqi_final", "aqi_category", "pm2_5")
+    return SP.read_upserts(spark, out, KEY).select(*KEY, "ep", "aqi_final", "aqi_category", "pm2_5")
 
 
 def q_stream_nowcast(spark, sf_dir):
-    """Sliding-window NowCast with a watermark (append mode); windows
-    still open under the watermark at the end of the replay are not emitted."""
-    from ..session import scratch_path
-    from ..streaming import pipeline as SP
-    src = _message_files(spark, sf_dir)
-    out, ckpt = scratch_path(spark, "nowcast"), scratch_path(spark, "ckpt")
-    q = (SP.nowcast_stream(SP.read_messages(spark, "files", path=src)).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    """Sliding-window NowCast (update mode): every window, also those the
+    watermark hasn't closed at the end of the replay."""
+    out = nowcast_replay(spark, _message_files(spark, sf_dir))
     # a window anchored on an hour that has a reading equals the batch W3 row
-    return (spark.read.parquet(out).filter(F.col("newest") == F.col("ep"))
+    return (out.filter(F.col("newest") == F.col("ep"))
             .select(*KEY, "ep", F.col("nowcast").alias("nowcast_pm25")))
 
 
@@ -427,7 +531,7 @@ def q_csv_roundtrip(spark, sf_dir):
     from ..sources import files as FS
     path = scratch_path(spark, "csv")
     r = readings(spark, sf_dir).withColumn("time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
-    r.select(*KEY, "time", *POLLUTANT_COLS).write.partitionBy(*KEY).option("header", True).csv(path)
+    r.select(*KEY, "time", *POLLUTANT_COLS).hint("rebalance", *KEY).write.partitionBy(*KEY).option("header", True).csv(path)
     schema = T.StructType([T.StructField("time", T.TimestampNTZType()),
                            *[T.StructField(c, T.DoubleType()) for c in POLLUTANT_COLS],
                            T.StructField("province", T.StringType()), T.StructField("district", T.StringType())])
@@ -499,6 +603,7 @@ CATALOG = {
     "aqi_vn_batch": q_aqi_vn_batch,
     "dominant_pollutant": q_dominant_pollutant,
     "aqi_sql_functions": q_aqi_sql_functions,
+    "aqi_epa_sql_functions": q_aqi_epa_sql_functions,
     "rolling_means": q_rolling_means,
     "ozone_8h": q_ozone_8h,
     "daily_aqi": q_daily_aqi,
@@ -518,9 +623,15 @@ CATALOG = {
     "mean_imputed": q_mean_imputed,
     "air_weather_join": q_air_weather_join,
     "single_station_join": q_single_station_join,
+    "district_time_join": q_district_time_join,
     "factor_corr": q_factor_corr,
     "factor_bins": q_factor_bins,
     "json_parse": q_json_parse,
+    "json_quarantine": q_json_quarantine,
+    "nan_readings": q_nan_readings,
+    "unmatched_events": q_unmatched_events,
+    "inverse_scaled": q_inverse_scaled,
+    "forecast_eval": q_forecast_eval,
     "encode_messages": q_encode_messages,
     "payload_explode": q_payload_explode,
     "current_hour_pick": q_current_hour_pick,

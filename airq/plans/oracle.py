@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from ..functions.labels import health_advice_sql, vn_category_sql, vn_color_sql
-from .oracle_base import (READINGS_CTES, WEATHER_CTES, half_up_rounding, nowcast_list_sql, nowcast_sql,
-                          seq_window, si)
+from .oracle_base import (READINGS_CTES, VN_TABLE, WEATHER_CTES, half_up_rounding, health_advice_sql, nowcast_list_sql,
+                          nowcast_sql, seq_window, si, vn_category_sql, vn_color_sql, vn_rgb_sql)
 
 HOURLY_CTES = f"""
 {READINGS_CTES.strip()},
@@ -103,8 +102,7 @@ WH = [("avg_pm25_24h", "pm25", "aqi_pm25_24h"), ("avg_pm10_24h", "pm10", "aqi_pm
 
 
 def _top(t):
-    from ..functions.profiles import VN_CONC_EDGES
-    return VN_CONC_EDGES[t][-1]
+    return VN_TABLE[t][-1][1]
 
 
 DAY = "strftime(event_time, '%Y-%m-%d')"
@@ -159,9 +157,8 @@ FROM subs"""
 
 _BP_ROWS = []
 for _s, _t, _o in WH:
-    from ..functions.profiles import vn_segments as _vs
-    for _g in _vs(_t):
-        _BP_ROWS.append(f"('{_t}', {float(_g.lo)}::DOUBLE, {float(_g.hi)}::DOUBLE, {float(_g.ilo)}::DOUBLE, {float(_g.ihi)}::DOUBLE)")
+    for _row in VN_TABLE[_t]:
+        _BP_ROWS.append("('" + _t + "', " + ", ".join(f"{float(x)}::DOUBLE" for x in _row) + ")")
 BP_VALUES = ", ".join(_BP_ROWS)
 
 LATEST_CTE = f"""
@@ -272,8 +269,9 @@ ORACLE.update({
     "top_polluted": f"""WITH {HOURLY_CTES}, {LATEST_CTE.strip()}
       SELECT province, district, region, aqi_final, aqi_category, aqi_color, health_advice, ep
       FROM latest ORDER BY aqi_final DESC NULLS LAST, province, district LIMIT 10""",
-    "top5_pm25": f"""WITH {HOURLY_CTES}, {LATEST_CTE.strip()}
-      SELECT province, district, pm2_5, pm10 FROM latest
+    "top5_pm25": f"""WITH {READINGS_CTES.strip()},
+      newest AS (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY ep DESC) AS rn FROM readings)
+      SELECT province, district, pm2_5, pm10 FROM newest WHERE rn = 1
       ORDER BY coalesce(pm2_5, 0.0) DESC, province, district LIMIT 5""",
     "station_history": f"""WITH {HOURLY_CTES}
       SELECT {KEYS}, ep, aqi_final, aqi_category, {", ".join(POLS)} FROM enriched
@@ -387,6 +385,61 @@ ORACLE.update({
       FROM v""",
 })
 
+NAN_CTES = f"""
+{READINGS_CTES.strip()},
+nr AS (SELECT * REPLACE (CASE WHEN ep % 5 = 0 THEN NULL ELSE pm2_5 END AS pm2_5, CASE WHEN ep % 5 = 0 THEN NULL ELSE o3 END AS o3) FROM readings)"""
+
+_EPA_SQL = {"pm25": ("pm2_5", "pm25"), "pm10": ("pm10", "pm10"), "o3": ("o3", "o3_1h"), "no2": ("no2", "no2"), "so2": ("so2", "so2"), "co": ("co", "co")}
+
+ORACLE.update({
+    "district_time_join": f"""WITH {READINGS_CTES.strip()}, {WEATHER_CTES.strip()},
+      a AS (SELECT * FROM readings WHERE district = (SELECT min(district) FROM readings)),
+      w AS (SELECT * FROM weather WHERE district = (SELECT min(district) FROM readings))
+      SELECT a.region AS region_x, w.region AS region_y, a.ep AS ep_x, w.ep AS ep_y, pm2_5, pm10, temperature_2m, rain
+      FROM a JOIN w ON a.event_time = w.event_time
+      WHERE a.event_time >= (SELECT max(event_time) FROM a) - INTERVAL 10 DAY""",
+    "json_quarantine": f"""WITH {READINGS_CTES.strip()}
+      SELECT region, count(*) AS n, NULL::INT AS longest, 'parsed' AS kind FROM readings WHERE ep % 7 <> 0 GROUP BY region
+      UNION ALL SELECT NULL, count(*), max(40)::INT, 'quarantine' FROM readings WHERE ep % 7 = 0""",
+    "aqi_epa_sql_functions": f"""WITH {READINGS_CTES.strip()},
+      s AS (SELECT *, {", ".join(f"{si(c, t, 'epa_stepped')} AS epa_{n}" for n, (c, t) in _EPA_SQL.items())},
+                   CASE WHEN pm2_5 IS NOT NULL THEN {si('pm2_5', 'pm25')} END AS vn FROM readings),
+      g AS (SELECT *, greatest({", ".join(f"epa_{n}" for n in _EPA_SQL)}) AS m FROM s)
+      SELECT {KEYS}, ep, {", ".join(f"epa_{n}" for n in _EPA_SQL)},
+        CASE WHEN m IS NULL OR m <= 0 THEN 'Unknown' WHEN m <= 50 THEN 'Good' WHEN m <= 100 THEN 'Moderate'
+             WHEN m <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN m <= 200 THEN 'Unhealthy' WHEN m <= 300 THEN 'Very Unhealthy'
+             ELSE 'Hazardous' END AS epa_category, {vn_rgb_sql('vn')} AS rgb FROM g""",
+    "nan_readings": f"""WITH {NAN_CTES.strip()},
+      l AS (SELECT *, {nowcast_list_sql('pm2_5')} AS __l_pm2_5, row_number() OVER (PARTITION BY {KEYS} ORDER BY ep) AS __rn,
+                   {_nc_batch('pm2_5', 'pm25')} FROM nr),
+      m AS (SELECT region, round(avg(pm2_5::DECIMAL(24,6)), 6) AS m FROM nr GROUP BY region),
+      o AS (SELECT {KEYS}, ep, {O3_8H} AS o3_8h FROM nr)
+      SELECT l.province, l.district, l.ep, {nowcast_sql('pm2_5')} AS nowcast, round({_nc_batch_value('pm25')}, 6) AS nc_batch, o.o3_8h,
+             coalesce(l.pm2_5, m.m) AS filled
+      FROM l JOIN m USING (region) JOIN o USING (province, district, ep)""",
+    "unmatched_events": """SELECT count(*) AS n_events, count(CASE WHEN c_custkey IS NULL THEN 1 END) AS n_unmatched
+      FROM events LEFT JOIN customer ON user_id = c_custkey""",
+    "inverse_scaled": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()}
+      SELECT {KEYS}, ep, {", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in FEATS + ["aqi"])} FROM feat""",
+    "forecast_eval": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()},
+      sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY {KEYS} ORDER BY ep)
+                           <= floor(count(*) OVER (PARTITION BY {KEYS}) * 0.8) THEN 'train' ELSE 'test' END AS split FROM feat),
+      n AS (SELECT *, row_number() OVER (PARTITION BY {KEYS}, split ORDER BY ep) AS rn FROM sp),
+      lng AS (SELECT t.split, h.h, t.aqi AS x1, t.aqi_lag24 AS x2, y.aqi AS y, s.aqi AS seasonal
+              FROM n t JOIN (SELECT unnest(range(1, 25)) AS h) h ON TRUE
+              JOIN n y ON y.province = t.province AND y.district = t.district AND y.split = t.split AND y.rn = t.rn + h.h
+              LEFT JOIN n s ON s.province = t.province AND s.district = t.district AND s.split = t.split AND s.rn = t.rn + h.h - 24),
+      m AS (SELECT h, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS v12,
+                   covar_pop(x1, y) AS v1y, covar_pop(x2, y) AS v2y FROM lng WHERE split = 'train' GROUP BY h),
+      bc AS (SELECT *, CASE WHEN v1 * v2 - v12 * v12 > 1e-9 * v1 * v2 THEN v1 * v2 - v12 * v12 END AS det FROM m),
+      f AS (SELECT *, coalesce((v1y * v2 - v2y * v12) / det, 0.0) AS b, coalesce((v2y * v1 - v1y * v12) / det, 0.0) AS c FROM bc),
+      t AS (SELECT l.*, (my - b * m1 - c * m2) + b * x1 + c * x2 AS p FROM lng l JOIN f USING (h) WHERE split = 'test' AND seasonal IS NOT NULL)
+      SELECT h::INT AS h, count(*) AS n, round(avg(abs(p - y)), 4) AS mae, round(avg((p - y) * (p - y)), 4) AS mse,
+             round(avg(abs(x1 - y)), 4) AS mae_persistence, round(avg((x1 - y) * (x1 - y)), 4) AS mse_persistence,
+             round(avg(abs(seasonal - y)), 4) AS mae_seasonal, round(avg((seasonal - y) * (seasonal - y)), 4) AS mse_seasonal
+      FROM t GROUP BY h""",
+})
+
 STREAM_CTES = f"""
 {READINGS_CTES.strip()},
 sp AS (SELECT *, coalesce(pm2_5, 0.0) AS nowcast_pm25, coalesce(pm10, 0.0) AS nowcast_pm10
@@ -412,7 +465,7 @@ ORACLE.update({
     "stream_nowcast": f"""WITH {READINGS_CTES.strip()},
       l AS (SELECT *, {nowcast_list_sql('pm2_5')} AS __l_pm2_5 FROM readings),
       n AS (SELECT *, {nowcast_sql('pm2_5')} AS nowcast_pm25 FROM l)
-      SELECT {KEYS}, ep, nowcast_pm25 FROM n WHERE ep <= (SELECT max(ep) FROM readings) - 3""",
+      SELECT {KEYS}, ep, nowcast_pm25 FROM n""",
     "throughput_metrics": f"""WITH {READINGS_CTES.strip()}
       SELECT count(*) AS n_msgs, CAST(sum(strlen(CAST(to_json({{'province': province, 'district': district,
                'region': region, 'lat': lat, 'lon': lon, 'timestamp': strftime(event_time, '%Y-%m-%dT%H:%M'),

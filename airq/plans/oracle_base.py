@@ -7,9 +7,95 @@ from __future__ import annotations
 
 import re
 
-from ..functions.rounding import round_binary_half_even_sql
-from ..functions.subindex import sub_index_sql
-from ..sources.adapter import CO_FACTOR, DIGITS, POLLUTANT_EVENTS
+# The oracle shares no rule, table or constant with the engine: everything it
+# needs is written out here, so a wrong value on either side shows.
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES of the input mapping: reading, event type, factor.
+# ---------------------------------------------------------------------------
+POLLUTANT_EVENTS = [("pm2_5", "view", 1.1), ("pm10", "click", 1.3), ("o3", "purchase", 2.6),
+                    ("no2", "signup", 8.0), ("so2", "error", 5.5)]
+CO_FACTOR = 1600.0
+DIGITS = 6
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES of the published rule tables: (C_low, C_high, I_low, I_high).
+# ---------------------------------------------------------------------------
+VN_TABLE = {
+    "o3_1h": [(0, 160, 0, 50), (160, 200, 50, 100), (200, 300, 100, 150), (300, 400, 150, 200),
+              (400, 800, 200, 300), (800, 1000, 300, 400), (1000, 1200, 400, 500)],
+    "o3_8h": [(0, 100, 0, 50), (100, 120, 50, 100), (120, 170, 100, 150), (170, 210, 150, 200),
+              (210, 400, 200, 300)],
+    "co": [(0, 10000, 0, 50), (10000, 30000, 50, 100), (30000, 45000, 100, 150), (45000, 60000, 150, 200),
+           (60000, 90000, 200, 300), (90000, 120000, 300, 400), (120000, 150000, 400, 500)],
+    "so2": [(0, 125, 0, 50), (125, 350, 50, 100), (350, 550, 100, 150), (550, 800, 150, 200),
+            (800, 1600, 200, 300), (1600, 2100, 300, 400), (2100, 2630, 400, 500)],
+    "no2": [(0, 100, 0, 50), (100, 200, 50, 100), (200, 700, 100, 150), (700, 1200, 150, 200),
+            (1200, 2350, 200, 300), (2350, 3100, 300, 400), (3100, 3850, 400, 500)],
+    "pm10": [(0, 50, 0, 50), (50, 150, 50, 100), (150, 250, 100, 150), (250, 350, 150, 200),
+             (350, 420, 200, 300), (420, 500, 300, 400), (500, 600, 400, 500)],
+    "pm25": [(0, 25, 0, 50), (25, 50, 50, 100), (50, 80, 100, 150), (80, 150, 150, 200),
+             (150, 250, 200, 300), (250, 350, 300, 400), (350, 500, 400, 500)],
+}
+EPA_TABLE = {
+    "pm25": [(0, 12, 0, 50), (12.1, 35.4, 51, 100), (35.5, 55.4, 101, 150), (55.5, 150.4, 151, 200),
+             (150.5, 250.4, 201, 300), (250.5, 500.4, 301, 500)],
+    "pm10": [(0, 54, 0, 50), (55, 154, 51, 100), (155, 254, 101, 150), (255, 354, 151, 200),
+             (355, 424, 201, 300), (425, 604, 301, 500)],
+    "o3_1h": [(0, 54, 0, 50), (55, 70, 51, 100), (71, 85, 101, 150), (86, 105, 151, 200), (106, 200, 201, 300)],
+    "no2": [(0, 53, 0, 50), (54, 100, 51, 100), (101, 360, 101, 150), (361, 649, 151, 200),
+            (650, 1249, 201, 300), (1250, 2049, 301, 500)],
+    "so2": [(0, 35, 0, 50), (36, 75, 51, 100), (76, 185, 101, 150), (186, 304, 151, 200),
+            (305, 604, 201, 300), (605, 1004, 301, 500)],
+    "co": [(0, 4.4, 0, 50), (4.5, 9.4, 51, 100), (9.5, 12.4, 101, 150), (12.5, 15.4, 151, 200),
+           (15.5, 30.4, 201, 300), (30.5, 50.4, 301, 500)],
+}
+# Continuous PM2.5 cascade: upper C, C offset, I at the offset, I span, C span.
+EPA_PM25 = [(12.0, 0.0, 0.0, 50.0, 12.0), (35.4, 12.0, 51.0, 49.0, 23.4), (55.4, 35.4, 101.0, 49.0, 19.9),
+            (150.4, 55.4, 151.0, 49.0, 94.9), (250.4, 150.4, 201.0, 99.0, 99.9), (350.4, 250.4, 301.0, 99.0, 99.9),
+            (500.4, 350.4, 401.0, 99.0, 149.9)]
+# Label scales: label of a missing index, then (upper index, label), then the rest.
+CATEGORY = ["Không xác định", (50, "Tốt"), (100, "Trung bình"), (150, "Kém"), (200, "Xấu"), (300, "Rất xấu"), "Nguy hại"]
+COLOR = ["#CCCCCC", (50, "#00E400"), (100, "#FFFF00"), (150, "#FF7E00"), (200, "#FF0000"), (300, "#8F3F97"), "#7E0023"]
+ADVICE = ["Không có dữ liệu", (50, "Chất lượng không khí tốt. Tự do hoạt động ngoài trời."),
+          (100, "Chấp nhận được. Người nhạy cảm nên theo dõi triệu chứng."),
+          (150, "Người nhạy cảm nên giảm hoạt động ngoài trời."),
+          (200, "Mọi người nên giảm hoạt động ngoài trời, đeo khẩu trang."),
+          (300, "Hạn chế tối đa hoạt động ngoài trời. Đeo khẩu trang khi ra ngoài."),
+          "Ở trong nhà, đóng cửa sổ. Bắt buộc đeo khẩu trang nếu ra ngoài."]
+RGB = [None, (50, "0;228;0"), (100, "255;255;0"), (150, "255;126;0"), (200, "255;0;0"), (300, "143;63;151"), "126;0;35"]
+# ---------------------------------------------------------------------------
+
+
+def label_sql(x: str, scale, missing: str = "{x} IS NULL OR {x} <= 0") -> str:
+    first, *steps, last = scale
+    quote = lambda s: "NULL" if s is None else "'" + s + "'"
+    whens = " ".join(f"WHEN {x} <= {upper} THEN {quote(label)}" for upper, label in steps)
+    return f"(CASE WHEN {missing.format(x=x)} THEN {quote(first)} {whens} ELSE {quote(last)} END)"
+
+
+def vn_category_sql(x: str) -> str:
+    return label_sql(x, CATEGORY)
+
+
+def vn_color_sql(x: str) -> str:
+    return label_sql(x, COLOR)
+
+
+def health_advice_sql(x: str) -> str:
+    return label_sql(x, ADVICE)
+
+
+def vn_rgb_sql(x: str) -> str:
+    return label_sql(x, RGB, "{x} IS NULL")
+
+
+def round_half_even_exact(x: str, digits: int) -> str:
+    """Half-even rounding of the exact decimal expansion of a double."""
+    d = f"CAST(format('{{:.30f}}', CASE WHEN isfinite(v) THEN v END) AS DECIMAL(38,30)) * {10 ** digits}"
+    return (f"(SELECT CASE WHEN t IS NULL THEN NULL WHEN t - floor(t) > 0.5 OR (t - floor(t) = 0.5 AND floor(t) % 2 <> 0) "
+            f"THEN (floor(t) + 1)::DOUBLE ELSE floor(t)::DOUBLE END / {float(10 ** digits)} "
+            f"FROM (SELECT {d} AS t FROM (SELECT ({x})::DOUBLE AS v)))")
 
 EP = "date_diff('hour', TIMESTAMP '1970-01-01 00:00:00', {ts})"
 
@@ -105,7 +191,7 @@ def nowcast_sql(src: str, ep: str = "ep", key: str = "province, district") -> st
     num = f"list_reduce(list_transform({lst}, lambda p: pow({w}, ({ep} - p.e)::DOUBLE) * p.v), lambda a, b: a + b, 0.0::DOUBLE)"
     den = f"list_reduce(list_transform({lst}, lambda p: pow({w}, ({ep} - p.e)::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE)"
     return (f"CASE WHEN {n3} < 2 THEN NULL WHEN {cmax} = 0 THEN 0.0::DOUBLE "
-            f"ELSE {round_binary_half_even_sql(f'{num} / {den}', 2)} END")
+            f"ELSE {round_half_even_exact(f'{num} / {den}', 2)} END")
 
 
 def nowcast_list_sql(src: str, key: str = "province, district", ep: str = "ep") -> str:
@@ -142,8 +228,35 @@ def half_up_rounding(sql: str) -> str:
         i = j
 
 
+def _d(v) -> str:
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
 def si(col: str, table: str, profile: str = "vn_stream") -> str:
-    return sub_index_sql(col, table, profile, dialect="duckdb")
+    """Sub-index of a concentration as SQL, per rule set:
+
+    * ``vn_stream``: NULL or below 0 gives 0, above the top 500; closed brackets,
+      half-even integer.
+    * ``vn_batch``: closed brackets, half-even double; everything else, also
+      NULL, gives 500.
+    * ``vn_warehouse``: half-open brackets, unrounded; everything else is NULL.
+    * ``epa_stepped``: EPA tables; NULL, 0 and below 0 give 0, gaps and beyond 500.
+    * ``epa_pm25``: the continuous cascade."""
+    if profile == "epa_pm25":
+        whens = " ".join(f"WHEN {col} <= {_d(top)} THEN {_d(span / width)} * ({col} - {_d(c0)}) + {_d(i0)}"
+                         for top, c0, i0, span, width in EPA_PM25)
+        return f"(CASE WHEN {col} IS NULL THEN NULL {whens} ELSE 500.0::DOUBLE END)"
+    rows = (EPA_TABLE if profile == "epa_stepped" else VN_TABLE)[table]
+    if profile == "vn_warehouse":
+        whens = " ".join(f"WHEN {col} >= {_d(a)} AND {col} < {_d(b)} THEN ({col} - {_d(a)}) * {_d(j - i)} / {_d(b - a)} + {_d(i)}"
+                         for a, b, i, j in rows)
+        return f"(CASE {whens} END)"
+    value = {a: f"round_even({_d((j - i) / (b - a))} * ({col} - {_d(a)}) + {_d(i)}, 0)" for a, b, i, j in rows}
+    if profile == "vn_batch":
+        whens = " ".join(f"WHEN {col} >= {_d(a)} AND {col} <= {_d(b)} THEN {value[a]}" for a, b, _, _ in rows)
+        return f"(CASE WHEN {col} IS NULL THEN 500.0::DOUBLE {whens} ELSE 500.0::DOUBLE END)"
+    whens = " ".join(f"WHEN {col} >= {_d(a)} AND {col} <= {_d(b)} THEN {value[a]}::INT" for a, b, _, _ in rows)
+    return f"(CASE WHEN {col} IS NULL OR {col} < 0{' OR ' + col + ' = 0' if profile == 'epa_stepped' else ''} THEN 0 {whens} ELSE 500 END)"
 
 
 def seq_window(agg: str, x: str, frame: str) -> str:

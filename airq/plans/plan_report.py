@@ -14,7 +14,8 @@ from collections import Counter
 SKIP = {"stream_enrich", "stream_dedup", "stream_latest", "stream_nowcast", "forecast_24h"}
 
 
-def _nodes(plan):
+def nodes(plan):
+    """Walk a physical plan, descending into adaptive plans and query stages."""
     stack = [plan]
     while stack:
         p = stack.pop()
@@ -28,17 +29,23 @@ def _nodes(plan):
         stack.extend(kids.apply(i) for i in range(kids.size()))
 
 
+def final_plan(df):
+    """The plan that ran: the rows are collected through the DataFrame's own
+    query execution (a write would build another), so its adaptive plan is final."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan()
+
+
 def summarize(df) -> dict:
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan()
+    plan = final_plan(df)
     text = plan.toString()
     kinds = Counter()
     scans = []
-    for n in _nodes(plan):
+    for n in nodes(plan):
         name = n.nodeName()
         if name.startswith("Scan"):
             m = (re.search(r"(\w+)\.parquet", n.toString())
-                 or re.search(r"airq/(\w+)-[0-9a-f]{12}", n.verboseStringWithOperatorId()))
+                 or re.search(r"airq-[0-9a-f]{12}/(\w+)-[0-9a-f]{12}", n.verboseStringWithOperatorId()))
             cols = re.search(r"ReadSchema: struct<([^>]*)>", n.verboseStringWithOperatorId())
             ncols = len(cols.group(1).split(",")) if cols and cols.group(1) else 0
             scans.append(f"{m.group(1) if m else '?'}({ncols} cols)")
@@ -52,8 +59,7 @@ def summarize(df) -> dict:
 
 
 def main(argv):
-    from __spark_entry__ import queries
-
+    from .catalog import CATALOG
     from ..session import build_session
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     spark = build_session(shuffle_partitions=16)
@@ -66,7 +72,7 @@ def main(argv):
           "evaluation node, a nested-loop join or a cartesian product (asserted).\n")
     print("| Query | Scans | Shuffles | Joins | Windows | Aggregates | Other |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in queries().items():
+    for name, fn in CATALOG.items():
         if name in SKIP:
             continue
         s = summarize(fn(spark, sf))

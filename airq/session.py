@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -33,24 +33,53 @@ def build_session(master: str = "local[*]", app: str = "airq", shuffle_partition
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir``.  Only
-    when the session has none (local runs and tests) a local one is created.
+    On a cluster this is the folder named by ``spark.checkpoint.dir``; without
+    one an error is raised, as executors could not see a folder of the driver's.
+    Only a session with a local master gets a local folder when it names none.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="airq-ckpt-")
         sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
+_SESSION_FOLDERS: dict[str, str] = {}
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def session_folder(spark: SparkSession) -> str:
+    """This application's own folder below the checkpoint folder.  It is marked
+    for deletion when the application ends, with all that queries wrote to it."""
+    key = f"{spark.sparkContext.applicationId}|{checkpoint_root(spark)}"
+    if key not in _SESSION_FOLDERS:
+        folder = f"{checkpoint_root(spark)}/airq-{uuid.uuid4().hex[:12]}"
+        fs, p = _hadoop_path(spark, folder)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _SESSION_FOLDERS[key] = folder
+    return _SESSION_FOLDERS[key]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "airq", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique sub-folder of the session's folder (with its scheme)."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application's queries have written so far.  DataFrames
+    that still read such tables must not be used afterwards."""
+    for key in [k for k in _SESSION_FOLDERS if k.startswith(spark.sparkContext.applicationId + "|")]:
+        fs, p = _hadoop_path(spark, _SESSION_FOLDERS.pop(key))
+        fs.delete(p, True)
 
 
 def materialize(df, name: str):

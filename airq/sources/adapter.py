@@ -11,15 +11,13 @@ Mapping (all rows of ``events`` are used):
   values above its top breakpoint);
 * a station-hour without events of a type has NULL for that pollutant.
 
-Plan shape: when the sensor -> station map is proven small (its exact row
-count times its fixed row size is under the session's broadcast threshold)
-it is broadcast into the event scan and events are aggregated once per
-(station, hour): partial aggregates map-side, one shuffle.  Otherwise events
-are first reduced to per-(sensor, hour) partial sums and counts (map-side
-combine), so a sensor holding a third of all events shrinks to at most one
-row per hour before any join; the sensor -> station join then runs on the
-reduced table (AQE picks broadcast or sort-merge by measured size), and the
-partials are merged per (station, hour).
+Plan shape, the same at every size: events are first reduced to
+per-(sensor, hour) partial sums and counts (map-side combine), so a sensor
+holding a third of all events shrinks to at most one row per hour before any
+join; the sensor -> station join runs on the reduced table (Spark picks
+broadcast or sort-merge by size), and the partials are merged per
+(station, hour).  ``unmatched_events`` counts events whose sensor has no
+station, which the inner join leaves out.
 """
 
 from __future__ import annotations
@@ -91,34 +89,6 @@ def _sensor_station(spark, sf_dir) -> DataFrame:
     return c.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("station_id"))
 
 
-# Bytes per row of the sensor -> station map in a broadcast: two 8-byte keys
-# plus the 8-byte row header.
-SENSOR_ROW_BYTES = 24
-_SENSOR_ROWS: dict = {}
-
-
-def _bytes(text: str) -> int:
-    """'10485760b' / '20MB' / '1g' -> bytes (Spark's size notation)."""
-    t = str(text).strip().lower()
-    units = {"t": 1 << 40, "g": 1 << 30, "m": 1 << 20, "k": 1 << 10, "b": 1}
-    t = t[:-1] if t.endswith("b") and len(t) > 1 and t[-2] in units else t
-    if t and t[-1] in units:
-        return int(float(t[:-1]) * units[t[-1]])
-    return int(t)
-
-
-def sensor_map_fits_broadcast(spark: SparkSession, sf_dir: str) -> bool:
-    """True when the sensor -> station map is proven small enough to
-    broadcast: exact row count (a Parquet metadata count, done once per
-    folder) times the row size, against ``autoBroadcastJoinThreshold``."""
-    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
-    if limit <= 0:
-        return False
-    if sf_dir not in _SENSOR_ROWS:
-        _SENSOR_ROWS[sf_dir] = table(spark, sf_dir, "customer", "c_custkey").count()
-    return _SENSOR_ROWS[sf_dir] * SENSOR_ROW_BYTES <= limit
-
-
 def per_station_hour(spark: SparkSession, sf_dir: str, ev: DataFrame, aggs: list,
                      merge: dict) -> DataFrame:
     """(station_id, ep, aggregates) of events keyed by (user_id, ep).
@@ -126,13 +96,19 @@ def per_station_hour(spark: SparkSession, sf_dir: str, ev: DataFrame, aggs: list
     ``aggs`` are the aggregates over events; ``merge`` maps each output
     column to the function that merges its partials (sum, min, max)."""
     sensors = _sensor_station(spark, sf_dir)
-    if sensor_map_fits_broadcast(spark, sf_dir):
-        return ev.join(F.broadcast(sensors), "user_id").groupBy("station_id", "ep").agg(*aggs)
     cells = ev.groupBy("user_id", "ep").agg(*aggs)
     return (cells.join(sensors, "user_id").groupBy("station_id", "ep")
             .agg(*[fn(F.col(c)).alias(c) for c, fn in merge.items()]))
 
 
+def unmatched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n_events, n_unmatched): events whose sensor is in no station."""
+    ev = table(spark, sf_dir, "events", "user_id").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    j = ev.join(_sensor_station(spark, sf_dir), "user_id", "left")
+    return j.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"),
+                 F.coalesce(F.sum(F.when(F.col("station_id").isNull(), F.col("n"))), F.lit(0)).alias("n_unmatched"))
+
+
 def _events(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").try_cast("double")
