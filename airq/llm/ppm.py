@@ -159,20 +159,20 @@ def _short_counts(order: int):
     return run
 
 
-def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    s = np.sort(np.concatenate(codes)) if codes else np.zeros(0, U64)
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    s = np.sort(codes)
     new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
     return s[new], np.diff(np.append(new, len(s)))
 
 
 def _keys_and_counts(trained: list, other: list) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of a block with their counts in its training texts."""
-    k, n = _counted(trained)
-    rest = sorted_distinct(np.concatenate(other)) if other else np.zeros(0, U64)
-    keys = sorted_distinct(np.concatenate([k, rest]))
-    counts = np.zeros(len(keys), np.int64)
-    counts[np.searchsorted(keys, k)] = n
-    return keys, counts
+    """Distinct keys of a block with their counts in its training texts, from the
+    slices' counted keys (``trained``) and distinct keys (``other``)."""
+    pairs = [(k, n[None, :]) for k, n in trained] + [(k, np.zeros((1, len(k)), np.int64)) for k in other]
+    if not sum(len(k) for k, _ in pairs):
+        return np.zeros(0, U64), np.zeros(0, np.int64)
+    keys, counts = blocks.merge(pairs)
+    return keys, counts[0]
 
 
 def _route(part: int, keys: np.ndarray) -> np.ndarray:
@@ -211,7 +211,7 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, held_out, order
         for _, _, held, (codes, first), w in scan(table):
             for part, values, size in ((GRAMS, codes, np.diff(first)), (WORDS, w.hash, np.diff(w.first))):
                 out = np.repeat(held, size)
-                seen[part][0].append(values[~out])
+                seen[part][0].append(_counted(values[~out]))
                 seen[part][1].append(sorted_distinct(values[out]))
         return {part: _keys_and_counts(*lists) for part, lists in seen.items()}
 
