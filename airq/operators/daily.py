@@ -49,6 +49,7 @@ def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -
     first and last day are kept (as the resampler does): under the
     ``vn_batch`` rule their missing inputs score 500, as in the original.
     """
+    from ..session import materialize
     r = ozone_8h(readings)  # W4 per station, before bucketing by day
     daily = (r.withColumn("day", day_of())
              .groupBy(*key, "day")
@@ -56,7 +57,8 @@ def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -
                   F.max("so2").alias("so2_1h_max"), F.max("no2").alias("no2_1h_max"),
                   F.max("co").alias("co_1h_max"), F.max("o3").alias("o3_1h_max"),
                   F.max("o3_8h").alias("o3_8h_max")))
-    full = fill_missing_days(daily, key)
+    # the spine and the rows both read the daily table: written once
+    full = fill_missing_days(materialize(daily, "daily"), key)
     o3_8 = F.when(~(F.col("o3_8h_max") > 400) | F.col("o3_8h_max").isNull(),
                   sub_index("o3_8h_max", "o3_8h", profile))
     out = full.select(
