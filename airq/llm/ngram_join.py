@@ -3,8 +3,10 @@
 Two texts link when their sets of distinct five-word shingles have a Jaccard
 similarity of at least ``percent`` / 100.  Steps:
 
-1. **Order.**  A fixed-size count sketch of all shingles (a table of ``CELLS``
-   counters, whatever the corpus) gives one global order, rare shingles first.
+1. **Order.**  A fixed-size count sketch of all shingles (``CELLS`` counters of one
+   byte, whatever the corpus) gives one global order, rare shingles first.  Where
+   the corpus has many more shingles than cells the order gets coarser, which costs
+   candidates but no links.
 2. **Adaptive prefixes.**  A set of n shingles that must share o = ceil(n p / 100)
    with any partner shares at least l of its first n - o + l.  Each set picks the l
    of 1 .. ``MAX_MATCH`` with the least estimated cost: the sketch's list sizes of
@@ -35,15 +37,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import materialize
+from .blocks import pack, unpack
 from .components import components
 from .text import U64, shingles, slices, splitmix, string_column, words
 
 SIZE = 5
 PERCENT = 80
-CELLS = 1 << 20
+CELLS = 1 << 25
+BLOOM_BITS = 26
 STRIPES = 64
 MAX_MATCH = 8
 VERIFY_COST = 16.0
@@ -66,44 +70,93 @@ def _cell(h: np.ndarray) -> np.ndarray:
     return (splitmix(h) >> U64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
 
+def _stripes(a: np.ndarray, stripes: int):
+    for k, part in enumerate(np.split(a, stripes)):
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([pack(part)], pa.binary())], ["stripe", "data"])
+
+
 def list_size_sketch(own: DataFrame, size: int) -> np.ndarray:
-    """How many texts hold a shingle of each cell; ``CELLS`` counters."""
+    """log2 of how many texts hold a shingle of each of ``CELLS`` cells, in eighths:
+    one byte per cell, whatever the corpus."""
 
     def count(batches):
-        total = None
+        total, rows = np.zeros(CELLS, np.uint16), 0
         for batch in batches:
             col = string_column(batch.column("text"))
             for a, b in slices(col):
+                if rows + b - a > 65_000:  # before a counter could run over
+                    yield from _stripes(total, STRIPES)
+                    total, rows = np.zeros(CELLS, np.uint16), 0
+                rows += b - a
                 h, _ = distinct_shingles(col.slice(a, b - a), size)
-                part = np.bincount(_cell(h), minlength=CELLS)
-                total = part if total is None else total + part
-        if total is not None:
-            for k, stripe in enumerate(np.split(total, STRIPES)):
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([stripe.astype(np.int64).tobytes()], pa.binary())], ["stripe", "counts"])
+                np.add.at(total, _cell(h), np.uint16(1))
+        if rows:
+            yield from _stripes(total, STRIPES)
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
-        return pa.table({"stripe": table["stripe"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(CELLS // STRIPES, np.int64)
+        for x in table["data"].to_pylist():
+            total += unpack(x, np.uint16)
+        small = np.minimum(255, np.round(8 * np.log2(1.0 + total))).astype(np.uint8)
+        return pa.table({"stripe": table["stripe"].slice(0, 1), "data": pa.array([pack(small)], pa.binary())})
+
+    rows = (own.select("text").mapInArrow(count, "stripe int, data binary").groupBy("stripe")
+            .applyInArrow(add, "stripe int, data binary").collect())  # STRIPES rows of fixed size
+    out = np.zeros((STRIPES, CELLS // STRIPES), np.uint8)
+    for r in rows:
+        out[r["stripe"]] = unpack(r["data"], np.uint8)
+    return out.reshape(-1)
+
+
+def _bits(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = splitmix(fp ^ U64(0x2545F491))
+    return (h >> U64(64 - BLOOM_BITS)).astype(np.int64), ((h << U64(20)) >> U64(64 - BLOOM_BITS)).astype(np.int64)
+
+
+def bloom(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over a column ``fp``; what it lets through by
+    chance is dropped by a join later."""
+
+    def mark(batches):
+        bits, some = np.zeros(1 << BLOOM_BITS, bool), False
+        for batch in batches:
+            for at in _bits(batch.column("fp").to_numpy().view(U64)):
+                bits[at] = some = True
+        if some:
+            yield from _stripes(np.packbits(bits), STRIPES)
+
+    def either(table: pa.Table) -> pa.Table:
+        total = np.bitwise_or.reduce([unpack(x, np.uint8) for x in table["data"].to_pylist()])
+        return pa.table({"stripe": table["stripe"].slice(0, 1), "data": pa.array([pack(total)], pa.binary())})
 
-    rows = (own.select("text").mapInArrow(count, "stripe int, counts binary").groupBy("stripe")
-            .applyInArrow(add, "stripe int, counts binary").collect())  # STRIPES rows of fixed size
-    out = np.zeros((STRIPES, CELLS // STRIPES), np.int64)
+    rows = wanted.select("fp").mapInArrow(mark, "stripe int, data binary").groupBy("stripe").applyInArrow(either, "stripe int, data binary").collect()
+    out = np.zeros((STRIPES, (1 << BLOOM_BITS) // 8 // STRIPES), np.uint8)
     for r in rows:
-        out[r["stripe"]] = np.frombuffer(r["counts"], np.int64)
+        out[r["stripe"]] = unpack(r["data"], np.uint8)
     return out.reshape(-1)
 
 
+def _may_hold(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    return np.logical_and.reduce([(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 for at in _bits(fp)])
+
+
+def _noise(sketch: np.ndarray) -> float:
+    """What a cell holds besides one shingle's texts: the average over a fixed
+    part of the cells."""
+    return float(np.mean(np.exp2(sketch[:65536] / 8.0) - 1))
+
+
 def prefixes(h: np.ndarray, first: np.ndarray, sketch: np.ndarray, percent: int, max_match: int = MAX_MATCH):
     """(needed matches per text, prefix lengths, hashes in global order).  Both the
     length and the number of matches are the text's own choice of least cost."""
     n = np.diff(first)
     text = np.repeat(np.arange(len(n)), n)
-    seen = sketch[_cell(h)]
+    seen = np.exp2(sketch[_cell(h)] / 8.0) - 1
     order = np.lexsort((h, seen, text))
     h, seen = h[order], seen[order]
     need = -(-n * percent // 100)
     # other sets expected on each list: what the cell holds beyond an average one
-    others = np.maximum(0.0, seen - 1 - sketch.mean())
+    others = np.maximum(0.0, seen - 1 - _noise(sketch))
     ahead = np.concatenate([[0.0], np.cumsum(others)])
     best, match = np.full(len(n), np.inf), np.ones(len(n), np.int64)
     for k in range(1, max_match + 1):
@@ -126,13 +179,21 @@ def _fingerprint(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _rows(sketch, size: int, percent: int):
+    """Per text: set size, fingerprint, needed matches and prefix.  Of texts with
+    equal sets only the first that a task meets carries its prefix."""
+
     def run(batches):
+        met: set[int] = set()
         for batch in batches:
             col = string_column(batch.column("text"))
             for a, b in slices(col):
                 h, first = distinct_shingles(col.slice(a, b - a), size)
                 fp = _fingerprint(h, first)
                 match, length, ranked = prefixes(h, first, sketch.value, percent)
+                for i, f in enumerate(fp.tolist()):
+                    if f in met:
+                        length[i] = 0
+                    met.add(f)
                 take = np.arange(len(ranked)) - np.repeat(first[:-1], np.diff(first)) < np.repeat(length, np.diff(first))
                 off = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(off), pa.array(ranked[take].view(np.int64)))
@@ -143,15 +204,20 @@ def _rows(sketch, size: int, percent: int):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted):
+    """Whole shingle sets of the texts whose fingerprint may be wanted."""
+
     def run(batches):
         for batch in batches:
             col = string_column(batch.column("text"))
             for a, b in slices(col):
                 h, first = distinct_shingles(col.slice(a, b - a), size)
-                own = pa.array(_fingerprint(h, first).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("fp").slice(a, b - a), own, pa.ListArray.from_arrays(
-                    pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], ["fp", "own", "tokens"])
+                fp = _fingerprint(h, first)
+                some = (np.diff(first) > 0) & _may_hold(wanted.value, fp).astype(bool)
+                n = np.diff(first)
+                off = np.concatenate([[0], np.cumsum(n[some])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[some].view(np.int64)), pa.ListArray.from_arrays(
+                    pa.array(off), pa.array(h[np.repeat(some, n)].view(np.int64)))], ["fp", "tokens"])
 
     return run
 
@@ -221,10 +287,12 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE
     sketch = spark.sparkContext.broadcast(list_size_sketch(own, size))
     rows = materialize(own.mapInArrow(_rows(sketch, size, percent), f"key {key}, n long, fp long, need int, tokens array<long>"), "prefixes")
 
-    # prefix lists of distinct sets, without the shingles that only one set has
-    lists = rows.select("fp", "n", "need", F.explode("tokens").alias("token")).distinct()
-    lengths = lists.groupBy("token").agg(F.count(F.lit(1)).alias("len")).filter("len > 1")
-    lists = materialize(lists.join(lengths, "token"), "lists")
+    # prefix lists of distinct sets, without the shingles that only one set has:
+    # one shuffle by shingle serves the distinct rows, the list lengths and the filter
+    found = rows.select(F.explode("tokens").alias("token"), "fp").repartition("token").dropDuplicates(["token", "fp"])
+    found = found.withColumn("len", F.count(F.lit(1)).over(W.partitionBy("token"))).filter("len > 1")
+    about = rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("need").alias("need"))
+    lists = materialize(found.join(about, "fp"), "lists")
 
     short = lists.filter(F.col("len") <= list_limit)
     left = short.select("token", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("need").alias("need_a"))
@@ -241,13 +309,11 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE
              .select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct())
     pairs = materialize(pairs.union(stars).distinct(), "candidates")
 
-    # whole sets, of candidates only: one row of each distinct set
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(long.select("fp")).distinct()
-    chosen = rows.join(wanted, "fp").groupBy("fp").agg(F.min(F.struct(F.col("key").isNull(), "key")).alias("k")).select("fp", "k.key")
-    sets = own.join(chosen, own["key"].eqNullSafe(chosen["key"])).select("fp", "text")
-    # ids may repeat with other texts: keep the rows whose text has the wanted set, once
-    sets = sets.mapInArrow(_sets(size), "fp long, own long, tokens array<long>").filter("fp = own").drop("own").dropDuplicates(["fp"])
-    sets = materialize(sets, "sets")
+    # whole sets, of candidates only: texts aren't shuffled, a filter of fixed size
+    # picks them where they are read
+    wanted = materialize(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(long.select("fp")).distinct(), "wanted")
+    sets = own.select("text").mapInArrow(_sets(size, spark.sparkContext.broadcast(bloom(wanted))), "fp long, tokens array<long>")
+    sets = materialize(sets.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
     links = materialize(_similar(pairs, sets, percent), "similar")
 
     # long lists again: what hubs left apart

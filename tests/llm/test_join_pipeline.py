@@ -89,7 +89,7 @@ def test_prefixes_keep_the_needed_matches():
     base = [f"w{k}" for k in range(100)]
     texts = [" ".join(w if rng.random() > 0.02 else "z" + str(rng.random()) for w in base) for _ in range(40)]
     h, first = ngram_join.distinct_shingles(pa.array(texts), 5)
-    sketch = np.bincount(ngram_join._cell(h), minlength=ngram_join.CELLS)
+    sketch = np.minimum(255, np.round(8 * np.log2(1.0 + np.bincount(ngram_join._cell(h), minlength=ngram_join.CELLS)))).astype(np.uint8)
     need, length, ranked = ngram_join.prefixes(h, first, sketch, 80)
     assert need.max() > 1  # crowded lists ask for more matches
     part = [set(ranked[a:a + n].tolist()) for a, n in zip(first[:-1], length)]
