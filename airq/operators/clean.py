@@ -214,8 +214,3 @@ def future_hours(last_ts: Column, hours: int = 24) -> Column:
     """the next ``hours`` whole hours after ``last_ts``."""
     return F.sequence(last_ts + F.expr("INTERVAL 1 HOUR"), last_ts + F.expr(f"INTERVAL {hours} HOURS"),
                       F.expr("INTERVAL 1 HOUR"))
-
-
-def weekday_mon0(ts) -> Column:
-    """day of week with Monday = 0."""
-    return F.weekday(F.col(ts) if isinstance(ts, str) else ts)

@@ -130,6 +130,12 @@ def q_daily_aqi(spark, sf_dir):
     return D.daily_aqi(readings(spark, sf_dir))
 
 
+def q_daily_peak_hours(spark, sf_dir):
+    """The hours at which each station reaches its daily PM2.5 maximum, ties kept."""
+    df = readings(spark, sf_dir).filter(F.col("pm2_5").isNotNull()).withColumn("day", D.day_of())
+    return D.daily_max_rows(df, "pm2_5").select(*KEY, "day", "ep", "pm2_5")
+
+
 def q_daily_aqi_warehouse(spark, sf_dir):
     df = D.daily_aqi_warehouse(readings(spark, sf_dir))
     return df.select("day", *KEY, *_r6(*[o for _, _, o in D.WAREHOUSE_INPUTS], "AQI"))
@@ -608,6 +614,7 @@ CATALOG = {
     "ozone_8h": q_ozone_8h,
     "daily_aqi": q_daily_aqi,
     "daily_aqi_warehouse": q_daily_aqi_warehouse,
+    "daily_peak_hours": q_daily_peak_hours,
     "aqi_bracket_join": q_aqi_bracket_join,
     "aqi_stats": q_aqi_stats,
     "latest_per_station": q_latest_per_station,

@@ -417,6 +417,10 @@ ORACLE.update({
       SELECT l.province, l.district, l.ep, {nowcast_sql('pm2_5')} AS nowcast, round({_nc_batch_value('pm25')}, 6) AS nc_batch, o.o3_8h,
              coalesce(l.pm2_5, m.m) AS filled
       FROM l JOIN m USING (region) JOIN o USING (province, district, ep)""",
+    "daily_peak_hours": f"""WITH {READINGS_CTES.strip()},
+      d AS (SELECT *, {DAY} AS day FROM readings WHERE pm2_5 IS NOT NULL),
+      m AS (SELECT *, max(pm2_5) OVER (PARTITION BY {KEYS}, day) AS top FROM d)
+      SELECT {KEYS}, day, ep, pm2_5 FROM m WHERE pm2_5 = top""",
     "unmatched_events": """SELECT count(*) AS n_events, count(CASE WHEN c_custkey IS NULL THEN 1 END) AS n_unmatched
       FROM events LEFT JOIN customer ON user_id = c_custkey""",
     "inverse_scaled": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()}

@@ -26,6 +26,24 @@ def kafka_options(bootstrap: str, topic: str, starting: str = "latest", ending:
     return opts
 
 
+def read_kafka_batch(spark: SparkSession, bootstrap: str, topic: str, starting: str = "earliest", ending: str = "latest") -> DataFrame:
+    """A bounded read of a topic, parsed; needs the Kafka connector."""
+    raw = spark.read.format("kafka").options(**kafka_options(bootstrap, topic, starting, ending)).load()
+    return C.parse_json(raw.select("value"))
+
+
+def kafka_sink_options(bootstrap: str, topic: str) -> dict:
+    """Producer options (all replicas acknowledge, compressed batches)."""
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic, "kafka.acks": "all",
+            "kafka.compression.type": "zstd", "kafka.batch.size": str(1 << 20)}
+
+
+def write_kafka(df: DataFrame, bootstrap: str, topic: str, cols=None) -> None:
+    """Rows as JSON values keyed by 'province_district', so that a
+    station's messages keep their order in one partition of the topic."""
+    C.encode_messages(df, cols).write.format("kafka").options(**kafka_sink_options(bootstrap, topic)).save()
+
+
 def read_messages(spark: SparkSession, kind: str, **opts) -> DataFrame:
     """Streaming message source: ``kind='kafka'`` (value bytes) or ``'files'``
     (one JSON message per line in ``opts['path']``)."""

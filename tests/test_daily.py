@@ -4,17 +4,27 @@ bracket-join / tie-keeping-max / seven-inner-join form."""
 from pyspark.sql import functions as F
 
 from airq.operators import daily as D
-from airq.sources.adapter import hourly_readings
+from airq.sources.adapter import STATION_KEY, hourly_readings
 
 from .conftest import SF_SMALL
 
 
+def warehouse_joins(spark, readings):
+    """J3 + J4 + W10 + J5 step by step: bracket join, per-pollutant tie-keeping
+    daily maximum, seven inner joins."""
+    long = D.bracket_join(spark, D.warehouse_averages(readings)).withColumn("day", D.day_of())
+    joined = None
+    for _, table, out in D.WAREHOUSE_INPUTS:
+        one = D.daily_max_rows(long.filter(F.col("pollutant") == table), "c").select("day", *STATION_KEY, F.col("aqi").alias(out))
+        joined = one if joined is None else joined.join(one, ["day", *STATION_KEY])
+    return joined.withColumn("AQI", F.greatest(*[o for _, _, o in D.WAREHOUSE_INPUTS])).distinct()
+
+
 def test_warehouse_forms_agree(spark):
     r = hourly_readings(spark, SF_SMALL)
     outs = [o for _, _, o in D.WAREHOUSE_INPUTS] + ["AQI"]
     a = D.daily_aqi_warehouse(r).select("day", "province", "district", *[F.round(o, 9).alias(o) for o in outs])
-    b = D.daily_aqi_warehouse_joins(spark, r).select("day", "province", "district",
-                                                     *[F.round(o, 9).alias(o) for o in outs])
+    b = warehouse_joins(spark, r).select("day", "province", "district", *[F.round(o, 9).alias(o) for o in outs])
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 

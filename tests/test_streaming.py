@@ -1,6 +1,7 @@
 """Streaming: restart from the checkpoint adds nothing; replayed epochs overwrite."""
 
-from __spark_entry__ import queries  # noqa: F401
+import pytest
+
 from airq.plans import catalog as CAT
 from airq.session import scratch_path
 from airq.streaming import pipeline as SP
@@ -69,3 +70,14 @@ def test_late_rows_are_counted(spark):
     q.awaitTermination()
     n = CAT.readings(spark, SF_SMALL).count()
     assert SP.late_rows(q) == n - spark.read.parquet(out).count() > 0
+
+
+def test_kafka_options_and_missing_connector(spark):
+    opts = SP.kafka_options("h:9092", "t", "earliest", "latest")
+    assert opts["endingOffsets"] == "latest" and opts["subscribe"] == "t" and opts["failOnDataLoss"] == "false"
+    sink = SP.kafka_sink_options("h:9092", "t")
+    assert sink["topic"] == "t" and sink["kafka.acks"] == "all"
+    for use in (lambda: SP.read_kafka_batch(spark, "h:9092", "t"),
+                lambda: SP.write_kafka(CAT.readings(spark, SF_SMALL).select("province", "district", "pm2_5"), "h:9092", "t")):
+        with pytest.raises(Exception, match="(?i)kafka"):   # the image has no connector; nothing is contacted
+            use()
