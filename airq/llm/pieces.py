@@ -43,13 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .text import U64, KeyIndex, slices, splitmix, string_column
+from .text import U64, KeyTable, slices, splitmix, string_column
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0
 BLANK = "▁"
-SLICE = 1 << 19
+SLICE = 1 << 20
 
 
 def _poly(cp: np.ndarray) -> np.ndarray:
@@ -92,8 +92,7 @@ class Vocabulary:
             cps = np.frombuffer("".join(text[normal[k]] for k in own).encode("utf-32-le"), np.uint32).reshape(-1, size)
             with np.errstate(over="ignore"):
                 h = (_poly(cps) * _BASE ** np.arange(size, dtype=U64)).sum(axis=1, dtype=U64)
-            order = np.argsort(h)
-            self.by_length.append((KeyIndex(h[order]), np.array([normal[k] for k in own], np.int32)[order], weight[own][order]))
+            self.by_length.append((KeyTable(h), np.array([normal[k] for k in own], np.int32), weight[own]))
         self.byte_weight = float(weight.min()) - 2.0
         raw = [bytes([int(t[1:-1], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else t.replace(BLANK, " ").encode() for i, t in enumerate(text)]
         self.piece_off = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
@@ -142,8 +141,8 @@ def build(words: list[str], v: Vocabulary) -> Lattice:
             if v.by_length[n - 1] is None:
                 continue
             table, piece, weight = v.by_length[n - 1]
-            k = table.find(h[live], missing=True)
-            hit = k >= 0
+            k = table.find(h[live])
+            hit = k < table.n
             starts.append(node[live[hit]])
             ends.append(node[live[hit]] + n)
             ids.append(piece[k[hit]])
@@ -414,6 +413,20 @@ def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int
     return own.mapInArrow(run, schema)
 
 
+def decode_rows(ids: np.ndarray, off: np.ndarray, v: Vocabulary) -> pa.StringArray:
+    """Texts of rows of piece ids."""
+    size = np.diff(v.piece_off)[ids]
+    end = np.concatenate([[0], np.cumsum(size)])
+    idx = np.arange(end[-1]) + np.repeat(v.piece_off[ids] - end[:-1], size)
+    buf, edges = v.piece_bytes[idx], end[off]
+    # the blank put before the first word goes again
+    lead = edges[:-1][np.diff(edges) > 0]
+    keep = np.ones(len(buf), bool)
+    keep[lead[buf[lead] == 0x20]] = False
+    edges = np.concatenate([[0], np.cumsum(keep)])[edges]
+    return pa.Array.from_buffers(pa.string(), len(off) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(buf[keep])])
+
+
 def decode(rows: DataFrame, ids_col: str, model: str) -> DataFrame:
     """``rows`` with a string column ``decoded`` for the piece ids in ``ids_col``."""
     keep = [c for c in rows.columns if c != "decoded"]
@@ -426,17 +439,12 @@ def decode(rows: DataFrame, ids_col: str, model: str) -> DataFrame:
             v = v or Vocabulary(model)
             col = batch.column(at)
             off = col.offsets.to_numpy().astype(np.int64)
-            ids = col.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]]
-            size = np.diff(v.piece_off)[ids]
-            end = np.concatenate([[0], np.cumsum(size)])
-            idx = np.arange(end[-1]) + np.repeat(v.piece_off[ids] - end[:-1], size)
-            buf, edges = v.piece_bytes[idx], end[off - off[0]]
-            # the blank put before the first word goes again
-            lead = edges[:-1][np.diff(edges) > 0]
-            keep_byte = np.ones(len(buf), bool)
-            keep_byte[lead[buf[lead] == 0x20]] = False
-            edges = np.concatenate([[0], np.cumsum(keep_byte)])[edges]
-            text = pa.Array.from_buffers(pa.string(), len(col), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(buf[keep_byte])])
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], [*keep, "decoded"])
+            ids = col.values.to_numpy(zero_copy_only=False)
+            a = 0
+            while a < len(col):  # whole rows, about SLICE ids at a time
+                b = max(a + 1, int(np.searchsorted(off, off[a] + SLICE, "right")) - 1)
+                text = decode_rows(ids[off[a]:off[b]], off[a:b + 1] - off[a], v)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, text], [*keep, "decoded"])
+                a = b
 
     return own.mapInArrow(run, StructType([*own.schema.fields, StructField("decoded", StringType())]))

@@ -178,6 +178,34 @@ class KeyIndex:
         return at
 
 
+class KeyTable:
+    """Position of 64-bit keys in a list, or its length: a few hash tables, each
+    holding the keys that found their slot taken in the one before."""
+
+    def __init__(self, keys: np.ndarray):
+        self.n, self.levels, left, bits = len(keys), [], np.arange(len(keys)), 2 + max(8, len(keys).bit_length())
+        self.keys = np.append(keys, keys[:1])
+        while len(left):
+            table = np.full(1 << bits, self.n, np.int32)
+            slot = self._slot(keys[left], len(self.levels), bits)
+            table[slot] = left
+            self.levels.append((table, bits))
+            left = left[table[slot] != left]
+            bits = max(10, bits - 3)
+
+    @staticmethod
+    def _slot(x, level, bits):
+        with np.errstate(over="ignore"):
+            return (x.astype(U64) * U64(0x9E3779B97F4A7C15 + 2 * level * 0x51ED270B)) >> U64(64 - bits)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), self.n, np.int64)
+        for level, (table, bits) in enumerate(self.levels):
+            at = table[self._slot(x, level, bits)]
+            np.copyto(out, at, where=(at < self.n) & (self.keys[at] == x))
+        return out
+
+
 def sorted_distinct(x: np.ndarray) -> np.ndarray:
     """Distinct values in order (a plain sort is several times faster than argsort)."""
     if not len(x):

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .text import raw, slices, string_column
+from .text import KeyTable, raw, slices, string_column
 
 VOCABULARY = "byte_bpe_50k.json"
 CACHE = 400_000
@@ -51,34 +51,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class PairTable:
-    """Position of 64-bit keys in a list, or its length: a few hash tables, each
-    holding the keys that found their slot taken in the one before."""
-
-    def __init__(self, keys: np.ndarray):
-        self.n, self.levels, left, bits = len(keys), [], np.arange(len(keys)), 2 + max(8, len(keys).bit_length())
-        self.keys = np.append(keys, -1)
-        while len(left):
-            table = np.full(1 << bits, self.n, np.int32)
-            slot = self._slot(keys[left], len(self.levels), bits)
-            table[slot] = left
-            self.levels.append((table, bits))
-            left = left[table[slot] != left]
-            bits = max(10, bits - 3)
-
-    @staticmethod
-    def _slot(x, level, bits):
-        with np.errstate(over="ignore"):
-            return (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * level * 0x51ED270B)) >> np.uint64(64 - bits)
-
-    def find(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), self.n, np.int64)
-        for level, (table, bits) in enumerate(self.levels):
-            at = table[self._slot(x, level, bits)]
-            np.copyto(out, at, where=self.keys[at] == x)
-        return out
-
-
 class Vocabulary:
     """Merge ranks of a tokenizers JSON file, as sorted arrays."""
 
@@ -95,7 +67,7 @@ class Vocabulary:
             self.bytes[b] = vocab[letter]
         key = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.rank_of = PairTable(key)
+        self.rank_of = KeyTable(key)
         self.made = np.append(made, 0)
         self.special = [t["content"] for t in spec["added_tokens"]]
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from airq.llm import text as T
-from airq.llm.token_counts import PairTable
+from airq.llm.text import KeyTable
 
 TEXTS = ["", "  ", "Abc déf\tX", "one", "\n a  b\x0bc\x0c ", "ÀÉ É x", "end ", "a b c d e f g", "z" * 3000]
 
@@ -47,5 +47,5 @@ def test_key_tables_find_all_keys():
     assert (index.find(keys) == np.arange(len(keys))).all()
     assert (index.find(keys + np.uint64(1), missing=True) == -1).mean() > 0.99
     pairs = np.unique(rng.integers(0, 1 << 40, 3000))
-    table = PairTable(pairs)
+    table = KeyTable(pairs)
     assert (table.find(pairs) == np.arange(len(pairs))).all() and (table.find(pairs + (1 << 50)) == len(pairs)).all()
