@@ -67,7 +67,7 @@ def main(argv):
     print("# Physical plans (final adaptive plans, sf " + sf.rsplit("sf", 1)[-1] + ")\n")
     print("Generated by `python -m airq.plans.plan_report`. Scans list table(columns read) x times; "
           "names without a driver table (readings, weather, features, rowindex, history) are tables the query "
-          "wrote once to the shared checkpoint folder in an earlier job of the same query. "
+          "wrote once to the shared checkpoint folder in an earlier job of the same query (the jobs that wrote them aren't counted here). "
           "`Shuffles` counts exchanges; joins by strategy (AQE final plan). No query contains a Python "
           "evaluation node, a nested-loop join or a cartesian product (asserted).\n")
     print("| Query | Scans | Shuffles | Joins | Windows | Aggregates | Other |")
