@@ -9,10 +9,10 @@ similarity of at least ``percent`` / 100.  Steps:
    candidates but no links.
 2. **Adaptive prefixes.**  A set of n shingles that must share o = ceil(n p / 100)
    with any partner shares at least l of its first n - o + l.  Each set picks the l
-   of 1 .. ``MAX_MATCH`` with the least estimated cost: the sketch's list sizes of
-   its prefix, plus the candidates those lists can yield divided by l.  A pair is a
-   candidate only if its prefixes share min(l_a, l_b) shingles, which every linked
-   pair does (the shorter requirement holds for both prefixes).
+   of 1 .. ``MAX_MATCH`` with the least estimated cost, from the lengths of its
+   shingles' lists: entries scanned, plus the candidates they can yield divided by l.
+   A pair is a candidate only if its prefixes share min(l_a, l_b) shingles, which
+   every linked pair does (the shorter requirement holds for both prefixes).
 3. **Exact copies** have equal sets; one row per distinct set takes part, so a group
    of copies costs one row however large it is.
 4. **Short lists** (shingles in at most ``LIST`` prefixes) give candidate pairs; the
@@ -46,13 +46,13 @@ from .text import U64, shingles, slices, splitmix, string_column, words
 
 SIZE = 5
 PERCENT = 80
-CELLS = 1 << 25
+CELLS = 1 << 24
 BLOOM_BITS = 26
 STRIPES = 64
-MAX_MATCH = 8
+MAX_MATCH = 16
 VERIFY_COST = 16.0
 LIST = 32
-CHUNK = 256
+CHUNK = 1024
 
 
 def distinct_shingles(col: pa.StringArray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,32 +140,29 @@ def _may_hold(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return np.logical_and.reduce([(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 for at in _bits(fp)])
 
 
-def _noise(sketch: np.ndarray) -> float:
-    """What a cell holds besides one shingle's texts: the average over a fixed
-    part of the cells."""
-    return float(np.mean(np.exp2(sketch[:65536] / 8.0) - 1))
-
-
 def prefixes(h: np.ndarray, first: np.ndarray, sketch: np.ndarray, percent: int, max_match: int = MAX_MATCH):
-    """(needed matches per text, prefix lengths, hashes in global order).  Both the
-    length and the number of matches are the text's own choice of least cost."""
+    """(prefix lengths, hashes in global order): each set's prefix for the largest
+    number of matches it may choose.  The prefix for k matches is its first
+    n - ceil(n p / 100) + k hashes."""
     n = np.diff(first)
     text = np.repeat(np.arange(len(n)), n)
-    seen = np.exp2(sketch[_cell(h)] / 8.0) - 1
-    order = np.lexsort((h, seen, text))
-    h, seen = h[order], seen[order]
+    order = np.lexsort((h, sketch[_cell(h)], text))
     need = -(-n * percent // 100)
-    # other sets expected on each list: what the cell holds beyond an average one
-    others = np.maximum(0.0, seen - 1 - _noise(sketch))
-    ahead = np.concatenate([[0.0], np.cumsum(others)])
-    best, match = np.full(len(n), np.inf), np.ones(len(n), np.int64)
-    for k in range(1, max_match + 1):
-        length = n - need + k
-        cost = ahead[first[:-1] + np.minimum(length, n)] - ahead[first[:-1]]
-        cost = cost * (1 + VERIFY_COST / k) + k
-        better = (k <= need) & (cost < best)
-        best[better], match[better] = cost[better], k
-    return match, np.where(n > 0, n - need + match, 0), h
+    return n - need + np.minimum(need, max_match), h[order]
+
+
+def matches_by_cost(lists: DataFrame, percent: int, max_match: int = MAX_MATCH) -> DataFrame:
+    """(fp, need): the number of matches k that costs a set least.  With k matches
+    it scans S_k list entries, those of its first n - ceil(n p / 100) + k shingles,
+    which yield at most S_k / k candidates with k matches; verifying one costs as
+    much as ``VERIFY_COST`` entries."""
+    n, most = F.col("n"), F.ceil(F.col("n") * percent / 100)
+    scans = lists.groupBy("fp").agg(F.first("n").alias("n"), *[
+        F.sum(F.when(F.col("pos") < n - most + k, F.col("len") - 1).otherwise(0)).alias(f"s{k}") for k in range(1, max_match + 1)])
+    cost = [F.struct((F.col(f"s{k}") * (1 + VERIFY_COST / k)).alias("cost"), F.lit(k).alias("need"))
+            for k in range(1, max_match + 1)]
+    options = F.filter(F.array(*cost), lambda c: c["need"] <= F.greatest(most, F.lit(1)))
+    return scans.select("fp", F.array_min(options)["need"].alias("need"))
 
 
 def _fingerprint(h: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -189,7 +186,7 @@ def _rows(sketch, size: int, percent: int):
             for a, b in slices(col):
                 h, first = distinct_shingles(col.slice(a, b - a), size)
                 fp = _fingerprint(h, first)
-                match, length, ranked = prefixes(h, first, sketch.value, percent)
+                length, ranked = prefixes(h, first, sketch.value, percent)
                 for i, f in enumerate(fp.tolist()):
                     if f in met:
                         length[i] = 0
@@ -199,7 +196,7 @@ def _rows(sketch, size: int, percent: int):
                 tokens = pa.ListArray.from_arrays(pa.array(off), pa.array(ranked[take].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").slice(a, b - a), pa.array(np.diff(first).astype(np.int64)), pa.array(fp.view(np.int64)),
-                     pa.array(match.astype(np.int32)), tokens], ["key", "n", "fp", "need", "tokens"])
+                     tokens], ["key", "n", "fp", "tokens"])
 
     return run
 
@@ -251,9 +248,9 @@ def _compare_chunks(percent: int):
         right = left if i == j else np.flatnonzero(own == j)
         shared = np.zeros((len(left), len(right)), np.float32)
         width = int(index.max()) + 1 if len(index) else 0
-        for a in range(0, width, 8192):
-            part = (index >= a) & (index < a + 8192)
-            x = np.zeros((len(fp), min(8192, width - a)), np.float32)
+        for a in range(0, width, 4096):
+            part = (index >= a) & (index < a + 4096)
+            x = np.zeros((len(fp), min(4096, width - a)), np.float32)
             x[of[part], index[part] - a] = 1
             shared += x[left] @ x[right].T
         ok = _linked(shared, n[left][:, None], n[right][None, :], percent)
@@ -285,14 +282,19 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE
     own = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     key = own.schema["key"].dataType.simpleString()
     sketch = spark.sparkContext.broadcast(list_size_sketch(own, size))
-    rows = materialize(own.mapInArrow(_rows(sketch, size, percent), f"key {key}, n long, fp long, need int, tokens array<long>"), "prefixes")
+    rows = materialize(own.mapInArrow(_rows(sketch, size, percent), f"key {key}, n long, fp long, tokens array<long>"), "prefixes")
+    sketch.destroy()  # the written table no longer needs it
 
     # prefix lists of distinct sets, without the shingles that only one set has:
     # one shuffle by shingle serves the distinct rows, the list lengths and the filter
-    found = rows.select(F.explode("tokens").alias("token"), "fp").repartition("token").dropDuplicates(["token", "fp"])
+    place = F.shiftleft("n", 32) + F.col("pos")
+    found = (rows.select("fp", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "fp", place.alias("place"))
+             .repartition("token").dropDuplicates())
     found = found.withColumn("len", F.count(F.lit(1)).over(W.partitionBy("token"))).filter("len > 1")
-    about = rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("need").alias("need"))
-    lists = materialize(found.join(about, "fp"), "lists")
+    lists = materialize(found.select("token", "fp", "len", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("pos")), "lists")
+    # with the list lengths known, every set chooses its number of matches and keeps that prefix
+    lists = lists.join(matches_by_cost(lists, percent), "fp")
+    lists = materialize(lists.filter(F.col("pos") < F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("need")).drop("pos"), "prefix-lists")
 
     short = lists.filter(F.col("len") <= list_limit)
     left = short.select("token", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("need").alias("need_a"))
@@ -312,8 +314,10 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE
     # whole sets, of candidates only: texts aren't shuffled, a filter of fixed size
     # picks them where they are read
     wanted = materialize(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(long.select("fp")).distinct(), "wanted")
-    sets = own.select("text").mapInArrow(_sets(size, spark.sparkContext.broadcast(bloom(wanted))), "fp long, tokens array<long>")
+    picks = spark.sparkContext.broadcast(bloom(wanted))
+    sets = own.select("text").mapInArrow(_sets(size, picks), "fp long, tokens array<long>")
     sets = materialize(sets.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
+    picks.destroy()
     links = materialize(_similar(pairs, sets, percent), "similar")
 
     # long lists again: what hubs left apart

@@ -90,14 +90,23 @@ def test_prefixes_keep_the_needed_matches():
     texts = [" ".join(w if rng.random() > 0.02 else "z" + str(rng.random()) for w in base) for _ in range(40)]
     h, first = ngram_join.distinct_shingles(pa.array(texts), 5)
     sketch = np.minimum(255, np.round(8 * np.log2(1.0 + np.bincount(ngram_join._cell(h), minlength=ngram_join.CELLS)))).astype(np.uint8)
-    need, length, ranked = ngram_join.prefixes(h, first, sketch, 80)
-    assert need.max() > 1  # crowded lists ask for more matches
-    part = [set(ranked[a:a + n].tolist()) for a, n in zip(first[:-1], length)]
+    length, ranked = ngram_join.prefixes(h, first, sketch, 80)
     sets = [shingle_set(t) for t in texts]
+    least = [len(s) - -(-len(s) * 80 // 100) for s in sets]
+    assert length.tolist() == [n + ngram_join.MAX_MATCH for n in least]
+    part = lambda i, k: set(ranked[first[i]:first[i] + least[i] + k].tolist())
     for i in range(40):
         for j in range(i):
             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
-                assert len(part[i] & part[j]) >= min(need[i], need[j])
+                assert all(len(part(i, a) & part(j, b)) >= min(a, b) for a in (1, 5, 16) for b in (1, 7, 16))
+
+
+def test_matches_follow_cost(spark):
+    """Sets on crowded lists ask for more matches, sets on short ones for one."""
+    rows = [(1, 100, pos, 2) for pos in (0, 30)] + [(2, 100, pos, 30) for pos in range(36)] + [(3, 1, 0, 5)]
+    got = ngram_join.matches_by_cost(spark.createDataFrame(rows, "fp long, n long, pos long, len long"), 80).collect()
+    need = {r["fp"]: r["need"] for r in got}
+    assert need[2] > 3 and need[3] == 1 and 1 <= need[1] <= ngram_join.MAX_MATCH
 
 
 def test_empty_table(spark):
