@@ -17,9 +17,10 @@ many words exceed ``STRONG``.  A logistic curve turns the three into a score in
 
 The models are fitted on a bounded sample of the labelled texts: at most
 ``SAMPLE_ROWS`` rows, and about ``SAMPLE_BYTES`` of text, chosen by a hash of the
-id; four fifths are counted, one fifth calibrates the curve.  The number of
-distinct letter runs, and so the size of the model every task gets, is bounded by
-the sample's bytes.  Every whole text of the table is scored, in one pass without
+id.  The curve is calibrated on evidence that each half of the sample gives about the
+other half; the final counts are those of the whole sample.  The number of distinct
+letter runs, and so the size of the model every task gets, is bounded by the
+sample's bytes.  Every whole text of the table is scored, in one pass without
 a shuffle.
 
 Edge cases: null and empty texts have no words and get the score of no evidence;
@@ -37,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .blocks import KEY_SCHEMA, merge, pack, pack_by_bucket, unpack
 from .ppm import BITS, _mask, symbol_codes
 from .text import U64, KeyIndex, slices, sorted_distinct, string_column, words
 
-ORDER = 5
-DISCOUNT = 0.75
+ORDER = 6
+DISCOUNT = 0.9
 STRONG = 4.0
-SAMPLE_ROWS = 16_000
-SAMPLE_BYTES = 48 << 20
+SAMPLE_ROWS = 10_000
+SAMPLE_BYTES = 32 << 20
+STRIPES = 64
 ALPHABET = 257
 
 
@@ -65,13 +68,14 @@ def distinct_words(col: pa.StringArray):
 
 
 def _gram_counts(batches):
-    """Counts per class of the letter runs in a batch's words."""
+    """Counts of the letter runs in a batch's words, per ``part`` of its rows."""
     for batch in batches:
-        col, toxic = string_column(batch.column("text")), batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        col, part = string_column(batch.column("text")), batch.column("part").to_numpy()
         found = []
-        for label in (False, True):
-            for a, b in slices(col.filter(pa.array(toxic == label))):
-                w, keys, text = distinct_words(col.filter(pa.array(toxic == label)).slice(a, b - a))
+        for k in range(4):
+            own = col.filter(pa.array(part == k))
+            for a, b in slices(own):
+                w, keys, text = distinct_words(own.slice(a, b - a))
                 if not len(keys):
                     continue
                 times = np.bincount(KeyIndex(keys).find(w.hash), minlength=len(keys))
@@ -81,10 +85,19 @@ def _gram_counts(batches):
                 s = codes[order]
                 new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
                 n = np.add.reduceat(weight[order], new)
-                found.append((s[new], n * (not label), n * label))
+                counts = np.zeros((4, len(new)), np.int64)
+                counts[k] = n
+                found.append((s[new], counts))
         if found:
-            k, o, t = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(o.astype(np.int64)), pa.array(t.astype(np.int64))], ["gram", "ordinary", "toxic"])
+            keys, counts = merge(found)
+            yield from pack_by_bucket(0, 0, keys, counts, keys, STRIPES).to_batches()
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """One packed row per stripe with the counts of all tasks."""
+    rows = [(unpack(k, U64), unpack(c, np.uint32)) for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist())]
+    keys, counts = merge([(k, c.reshape(4, -1)) for k, c in rows])
+    return pa.table({"keys": pa.array([pack(keys)], pa.binary()), "counts": pa.array([pack(counts.astype(np.uint32))], pa.binary())})
 
 
 class _Level:
@@ -110,11 +123,28 @@ class _Level:
 
 
 class Model:
-    """The two classes' models and the curve from evidence to score."""
+    """The two classes' models and the curve from evidence to score.  It travels
+    as its packed counts; a worker builds the tables when it first needs them."""
 
     def __init__(self, grams: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray):
         order = np.argsort(grams, kind="stable")
-        grams, ordinary, toxic = grams[order], ordinary[order], toxic[order]
+        self.counts = grams[order], ordinary[order].astype(np.uint32), toxic[order].astype(np.uint32)
+        self.weights, self.constant, self.built = None, 0.0, False
+
+    def __getstate__(self):
+        grams, ordinary, toxic = self.counts
+        return pack(np.diff(grams, prepend=U64(0))), pack(ordinary), pack(toxic), self.weights, self.constant
+
+    def __setstate__(self, state):
+        steps, ordinary, toxic, self.weights, self.constant = state
+        self.counts = np.cumsum(unpack(steps, U64), dtype=U64), unpack(ordinary, np.uint32), unpack(toxic, np.uint32)
+        self.built = False
+
+    def build(self) -> None:
+        if self.built:
+            return
+        grams, ordinary, toxic = self.counts
+        self.built = True
         self.classes = (_Level(grams, ordinary), _Level(grams, toxic))
         self.shared, longer = [], grams
         for k in range(ORDER - 1, -1, -1):
@@ -124,10 +154,10 @@ class Model:
             self.shared.append(_Level(longer, np.diff(np.append(new, len(short)))))
         self.shared.reverse()
         self.shared.append(_Level(grams, ordinary + toxic))
-        self.weights, self.constant = None, 0.0
 
     def evidence(self, grams: np.ndarray) -> np.ndarray:
         """log P(toxic) - log P(ordinary) of each gram's last symbol."""
+        self.build()
         p = np.full(len(grams), 1.0 / ALPHABET)
         for k, level in enumerate(self.shared):
             p = level.blend(grams & _mask(k + 1), p)
@@ -187,20 +217,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     size = sample.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
     if size > sample_bytes:
         sample = sample.filter(F.pmod(F.xxhash64("k_", F.lit(1)), F.lit(1_000_000)) < int(1e6 * sample_bytes / size))
-    fold = F.pmod(F.xxhash64("k_", F.lit(2)), F.lit(5))
-    grams = (sample.filter(fold != 0).select("text", "toxic").mapInArrow(_gram_counts, "gram long, ordinary long, toxic long")
-             .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toPandas())
-    model = Model(grams["gram"].to_numpy().astype(np.int64).view(U64), grams["ordinary"].to_numpy(), grams["toxic"].to_numpy())
-    shared = spark.sparkContext.broadcast(model)
+    half = F.pmod(F.xxhash64("k_", F.lit(2)), F.lit(2)).cast("int")
+    classes = (half * 2 + F.col("toxic")).alias("part")   # half and class of a row
+    grams = (sample.select("text", classes).mapInArrow(_gram_counts, KEY_SCHEMA).groupBy("bucket")
+             .applyInArrow(_merged, "keys binary, counts binary").collect())  # STRIPES rows, bounded by the sample
+    key = np.concatenate([np.zeros(0, U64), *(unpack(r["keys"], U64) for r in grams)])
+    o0, t0, o1, t1 = np.concatenate([np.zeros((4, 0), np.uint32), *(unpack(r["counts"], np.uint32).reshape(4, -1) for r in grams)], axis=1)
+    model = Model(key, o0 + o1, t0 + t1)
+    halves = spark.sparkContext.broadcast([Model(key[o + t > 0], o[o + t > 0], t[o + t > 0]) for o, t in ((o1, t1), (o0, t0))])
 
     def features(batches):
         for batch in batches:
             col = string_column(batch.column("text"))
-            for a, b in slices(col):
-                x = shared.value.features(col.slice(a, b - a))
-                yield pa.RecordBatch.from_arrays([*(pa.array(v) for v in x.T), batch.column("toxic").slice(a, b - a)], ["a", "b", "c", "toxic"])
+            half = batch.column("half").to_numpy()
+            for k in (0, 1):
+                mine = pa.array(half == k)
+                own, toxic = col.filter(mine), batch.column("toxic").filter(mine)
+                for a, b in slices(own):
+                    x = halves.value[k].features(own.slice(a, b - a))  # counted on the other half
+                    yield pa.RecordBatch.from_arrays([*(pa.array(v) for v in x.T), toxic.slice(a, b - a)], ["a", "b", "c", "toxic"])
 
-    x = sample.filter(fold == 0).select("text", "toxic").mapInArrow(features, "a double, b double, c double, toxic int").toPandas()
+    x = sample.select("text", "toxic", half.alias("half")).mapInArrow(features, "a double, b double, c double, toxic int").toPandas()
+    halves.destroy()
     model.calibrate(x[["a", "b", "c"]].to_numpy(), x["toxic"].to_numpy().astype(np.float64))
     return model
 
