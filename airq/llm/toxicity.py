@@ -17,7 +17,9 @@ many words exceed ``STRONG``.  A logistic curve turns the three into a score in
 
 The models are fitted on a bounded sample of the labelled texts: at most
 ``SAMPLE_ROWS`` rows, and about ``SAMPLE_BYTES`` of text, chosen by a hash of the
-id.  The curve is calibrated on evidence that each half of the sample gives about the
+id.  Where the rows' texts exceed those bytes, each label gets half of them, plus what
+the other leaves; a label keeps the texts that fit, in hash order (at least its shortest
+one), and its rows weigh the more in the curve the fewer are kept.  The curve is calibrated on evidence that each half of the sample gives about the
 other half; the final counts are those of the whole sample.  The number of distinct
 letter runs, and so the size of the model every task gets, is bounded by the
 sample's bytes.  Every whole text of the table is scored, in one pass without
@@ -45,8 +47,8 @@ from .text import U64, KeyIndex, slices, sorted_distinct, string_column, words
 ORDER = 6
 DISCOUNT = 0.9
 STRONG = 4.0
-SAMPLE_ROWS = 10_000
-SAMPLE_BYTES = 32 << 20
+SAMPLE_ROWS = 16_000
+SAMPLE_BYTES = 48 << 20
 STRIPES = 64
 ALPHABET = 257
 
@@ -187,8 +189,8 @@ class Model:
             return np.full(len(x), self.constant)
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic regression by Newton steps with a small ridge."""
+    def calibrate(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        """Logistic regression by Newton steps with a small ridge; ``weight`` is per row."""
         if not len(y) or y.min() == y.max():
             self.constant = float(y.mean()) if len(y) else 0.0
             return
@@ -197,13 +199,33 @@ class Model:
         w = np.zeros(4)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge, a.T @ (y - p) - ridge @ w)
+            step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge, a.T @ (weight * (y - p)) - ridge @ w)
             w += step / max(1.0, np.abs(step).max() / 3)
             if np.abs(step).max() < 1e-8:
                 break
         self.weights = w
 
 
+def thinned(sample: DataFrame, size: dict[int, int], sample_bytes: int):
+    """(rows of ``sample`` within ``sample_bytes``, weight per label): each label has
+    half of the bytes and what the other leaves."""
+    h = F.xxhash64("k_", F.lit(1))
+    rows = sample.groupBy(h.alias("h"), "toxic").agg(F.sum(F.octet_length("text").cast("long")).alias("b"),
+                                                     F.count(F.lit(1)).alias("n")).orderBy("h").collect()  # at most a row per id of the sample
+    kept, weight = [], {}
+    for label in size:
+        own, some, left = [r for r in rows if r["toxic"] == label], [], max(sample_bytes // 2, sample_bytes - sum(size.values()) + size[label])
+        for r in own:
+            if r["b"] <= left:
+                some.append(r)
+                left -= r["b"]
+        some = some or [min(own, key=lambda r: r["b"])]
+        kept += [(r["h"],) for r in some]
+        weight[label] = sum(r["n"] for r in own) / sum(r["n"] for r in some)
+    kept = F.broadcast(sample.sparkSession.createDataFrame(kept, "h long"))
+    return sample.join(kept, h == F.col("h"), "left_semi"), weight
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train,
         sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on labelled rows for which ``train`` (a Column over ``id_col``) holds."""
@@ -214,9 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     # at most sample_rows rows of (id, label, hash): a proven bound for the broadcast
     own = docs.select(F.col(id_col).alias("k_"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = own.join(F.broadcast(marks), "k_")
-    size = sample.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
-    if size > sample_bytes:
-        sample = sample.filter(F.pmod(F.xxhash64("k_", F.lit(1)), F.lit(1_000_000)) < int(1e6 * sample_bytes / size))
+    size = {r["toxic"]: r["b"] for r in sample.groupBy("toxic").agg(F.sum(F.octet_length("text").cast("long")).alias("b")).collect()}
+    weight = dict.fromkeys(size, 1.0)
+    if sum(size.values()) > sample_bytes:
+        sample, weight = thinned(sample, size, sample_bytes)
     half = F.pmod(F.xxhash64("k_", F.lit(2)), F.lit(2)).cast("int")
     classes = (half * 2 + F.col("toxic")).alias("part")   # half and class of a row
     grams = (sample.select("text", classes).mapInArrow(_gram_counts, KEY_SCHEMA).groupBy("bucket")
@@ -239,7 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     x = sample.select("text", "toxic", half.alias("half")).mapInArrow(features, "a double, b double, c double, toxic int").toPandas()
     halves.destroy()
-    model.calibrate(x[["a", "b", "c"]].to_numpy(), x["toxic"].to_numpy().astype(np.float64))
+    toxic = x["toxic"].to_numpy()
+    model.calibrate(x[["a", "b", "c"]].to_numpy(), toxic.astype(np.float64), np.array([weight[t] for t in toxic.tolist()], np.float64))
     return model
 
 
