@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .blocks import pack, unpack
@@ -275,6 +275,17 @@ def _compare_chunks(percent: int):
     return run
 
 
+def prefix_lists(rows: DataFrame) -> DataFrame:
+    """(token, fp, len, n, pos): the prefixes of distinct sets, without the shingles
+    that only one has.  Lists are counted by partial sums and their lengths written, so
+    that the join back has a shuffle (or a broadcast) right below either side, which
+    adaptive execution needs to split the list of a hot shingle."""
+    sets = materialize(rows.filter(F.size("tokens") > 0).dropDuplicates(["fp"]).select("fp", "n", "tokens"), "distinct-sets")
+    shared = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("len")).filter("len > 1")
+    return (sets.select("fp", "n", F.posexplode("tokens").alias("pos", "token")).join(materialize(shared, "lengths"), "token")
+            .select("token", "fp", "len", "n", "pos"))
+
+
 def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE, percent: int = PERCENT,
                    list_limit: int = LIST, chunk: int = CHUNK) -> DataFrame:
     """(key, n_shingles, component) of every row of ``docs``."""
@@ -285,13 +296,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str, size: int = SIZE
     rows = materialize(own.mapInArrow(_rows(sketch, size, percent), f"key {key}, n long, fp long, tokens array<long>"), "prefixes")
     sketch.destroy()  # the written table no longer needs it
 
-    # prefix lists of distinct sets, without the shingles that only one set has:
-    # one shuffle by shingle serves the distinct rows, the list lengths and the filter
-    place = F.shiftleft("n", 32) + F.col("pos")
-    found = (rows.select("fp", "n", F.posexplode("tokens").alias("pos", "token")).select("token", "fp", place.alias("place"))
-             .repartition("token").dropDuplicates())
-    found = found.withColumn("len", F.count(F.lit(1)).over(W.partitionBy("token"))).filter("len > 1")
-    lists = materialize(found.select("token", "fp", "len", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("pos")), "lists")
+    lists = materialize(prefix_lists(rows), "lists")
     # with the list lengths known, every set chooses its number of matches and keeps that prefix
     lists = lists.join(matches_by_cost(lists, percent), "fp")
     lists = materialize(lists.filter(F.col("pos") < F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("need")).drop("pos"), "prefix-lists")
