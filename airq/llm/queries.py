@@ -1,4 +1,4 @@
-"""The ten operators' registered queries and their DuckDB SQL.
+"""The operators' registered queries and their DuckDB SQL.
 
 Each query reads its whole table, applies its operator and derives the columns
 its contract names.
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
 from ..sources.tables import table
-from . import curriculum, license_scan, mtree, ngram_join, onebit, pieces, ppm, token_counts, toxicity, warc
+from . import curriculum, license_scan, mtree, ngram_join, onebit, pieces, ppm, token_counts, toxicity, warc, weak_rules
+from .oracles import weak_rules_sql
 
 
 def id_remainder(col: str, n: int):
@@ -125,6 +126,13 @@ def op9_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", F.col("id") % 50 == 0).drop("examined")
 
 
+def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select(F.col("key").alias("doc_id"), *weak_rules.COUNTS, failed.alias("base_failed"),
+                         (~failed & (F.col("quality") >= weak_rules.KEEP_AT)).alias("kept"), F.round("quality", 4).alias("quality"))
+
+
 def curriculum_sql(docs: str) -> str:
     """DuckDB SQL for `curriculum.mix` over a table or subquery."""
     values = ", ".join(f"({i}, {w!r}::DOUBLE, {b!r}::DOUBLE, {e!r}::DOUBLE)" for i, (w, (b, e)) in
@@ -167,10 +175,11 @@ def registered(fn):
     return run
 
 
-QUERIES = {f.__name__: registered(f) for f in (op1_mtree_topk, op2_gumbel_pieces, op3_license_scan, op4_warc_normalise, op5_ppm_score, op6_token_counts, op7_curriculum_mix, op8_toxicity, op9_onebit_ann, op10_ngram_jaccard)}
+QUERIES = {f.__name__: registered(f) for f in (op1_mtree_topk, op2_gumbel_pieces, op3_license_scan, op4_warc_normalise, op5_ppm_score, op6_token_counts, op7_curriculum_mix, op8_toxicity, op9_onebit_ann, op10_ngram_jaccard, op11_weak_rules)}
 ORACLE: dict[str, str] = {
     "op1_mtree_topk": _MTREE_SQL,
     "op4_warc_normalise": _warc_sql(),
+    "op11_weak_rules": weak_rules_sql(),
     "op7_curriculum_mix": "SELECT doc_id, size_ AS size, source_size, target, taken_ AS taken, p1 AS first_position, p2 AS second_position "
                           f"FROM ({curriculum_sql('documents')})",
 }
