@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
 from ..sources.tables import table
-from . import curriculum, license_scan, mtree, ngram_join, onebit, pieces, ppm, token_counts, toxicity, warc, weak_rules
-from .oracles import weak_rules_sql
+from . import curriculum, license_scan, mtree, ngram_join, onebit, pieces, ppm, resampling, spelling, token_counts, toxicity, warc, weak_rules
+from .oracles import resampling_sql, spelling_sql, weak_rules_sql
 
 
 def id_remainder(col: str, n: int):
@@ -133,6 +133,17 @@ def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~failed & (F.col("quality") >= weak_rules.KEEP_AT)).alias("kept"), F.round("quality", 4).alias("quality"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.variants(docs, "doc_id", "text").select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark", "text"), "doc_id", "text", "text")
+    return drawn.select(F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def curriculum_sql(docs: str) -> str:
     """DuckDB SQL for `curriculum.mix` over a table or subquery."""
     values = ", ".join(f"({i}, {w!r}::DOUBLE, {b!r}::DOUBLE, {e!r}::DOUBLE)" for i, (w, (b, e)) in
@@ -175,11 +186,14 @@ def registered(fn):
     return run
 
 
-QUERIES = {f.__name__: registered(f) for f in (op1_mtree_topk, op2_gumbel_pieces, op3_license_scan, op4_warc_normalise, op5_ppm_score, op6_token_counts, op7_curriculum_mix, op8_toxicity, op9_onebit_ann, op10_ngram_jaccard, op11_weak_rules)}
+QUERIES = {f.__name__: registered(f) for f in (op1_mtree_topk, op2_gumbel_pieces, op3_license_scan, op4_warc_normalise, op5_ppm_score, op6_token_counts, op7_curriculum_mix, op8_toxicity, op9_onebit_ann, op10_ngram_jaccard, op11_weak_rules,
+                                                   op12_spelling_variants, op13_importance_draw)}
 ORACLE: dict[str, str] = {
     "op1_mtree_topk": _MTREE_SQL,
     "op4_warc_normalise": _warc_sql(),
     "op11_weak_rules": weak_rules_sql(),
+    "op12_spelling_variants": spelling_sql(),
+    "op13_importance_draw": resampling_sql(),
     "op7_curriculum_mix": "SELECT doc_id, size_ AS size, source_size, target, taken_ AS taken, p1 AS first_position, p2 AS second_position "
                           f"FROM ({curriculum_sql('documents')})",
 }
