@@ -36,10 +36,13 @@ hashed like any value; an empty table gives an empty result; other columns aren'
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -49,7 +52,8 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0
 BLANK = "▁"
-SLICE = 1 << 20
+RAISE = 3.0     # about what a character of a piece costs
+SLICE = 1 << 19
 
 
 def _poly(cp: np.ndarray) -> np.ndarray:
@@ -83,16 +87,16 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces")
         weight = piece_weights(np.array([sp.get_score(i) for i in normal]), sharpness)
         self.longest = max(len(text[i]) for i in normal)
-        self.by_length = []  # per length: hash table, ids, weights
+        # per length: hash table of the pieces' beginnings, and the place of the piece that is one (or -1)
+        self.by_length = []
+        self.piece, self.weight = np.array(normal, np.int32), weight
+        place = {text[i]: k for k, i in enumerate(normal)}
         for size in range(1, self.longest + 1):
-            own = [k for k, i in enumerate(normal) if len(text[i]) == size]
-            if not own:
-                self.by_length.append(None)
-                continue
-            cps = np.frombuffer("".join(text[normal[k]] for k in own).encode("utf-32-le"), np.uint32).reshape(-1, size)
+            begins = sorted({t[:size] for t in place if len(t) >= size})
+            cps = np.frombuffer("".join(begins).encode("utf-32-le"), np.uint32).reshape(-1, size)
             with np.errstate(over="ignore"):
                 h = (_poly(cps) * _BASE ** np.arange(size, dtype=U64)).sum(axis=1, dtype=U64)
-            self.by_length.append((KeyTable(h), np.array([normal[k] for k in own], np.int32), weight[own]))
+            self.by_length.append((KeyTable(h), np.array([place.get(t, -1) for t in begins], np.int32)))
         self.byte_weight = float(weight.min()) - 2.0
         raw = [bytes([int(t[1:-1], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else t.replace(BLANK, " ").encode() for i, t in enumerate(text)]
         self.piece_off = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
@@ -121,62 +125,78 @@ class Lattice:
 
 
 def build(words: list[str], v: Vocabulary) -> Lattice:
-    size = np.array([len(w) for w in words], np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
     cp = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
     base = np.concatenate([[0], np.cumsum(size)])
     word = np.repeat(np.arange(len(words)), size)
     at = np.arange(len(cp))
-    node = at + word                             # one extra node per word for its end
     left = base[word + 1] - at                   # characters up to the word's end
     code = _poly(cp)
-    starts, ends, ids, weights = [], [], [], []
+    widest = min(v.longest, int(size.max(initial=0)))
+    # per character and length: 1 + place of the piece, 0 if there is none
+    found = np.zeros((len(cp), max(1, widest)), np.int32)
     h, power = np.zeros(len(cp), U64), U64(1)
-    single = np.zeros(len(cp), bool)
     live = at
     with np.errstate(over="ignore"):
-        for n in range(1, min(v.longest, int(size.max(initial=0))) + 1):
-            live = live[left[live] >= n]
+        for n in range(1, widest + 1):
+            if n > 1:
+                live = live[left[live] >= n]
             h[live] += code[live + n - 1] * power
             power = power * _BASE
-            if v.by_length[n - 1] is None:
-                continue
-            table, piece, weight = v.by_length[n - 1]
+            table, place = v.by_length[n - 1]
             k = table.find(h[live])
-            hit = k < table.n
-            starts.append(node[live[hit]])
-            ends.append(node[live[hit]] + n)
-            ids.append(piece[k[hit]])
-            weights.append(weight[k[hit]])
-            if n == 1:
-                single[live[hit]] = True
-    odd = np.flatnonzero(~single)
-    utf8 = 1 + (cp[odd] > 0x7F).astype(np.int64) + (cp[odd] > 0x7FF) + (cp[odd] > 0xFFFF)
-    starts.append(node[odd])
-    ends.append(node[odd] + 1)
-    ids.append(-1 - cp[odd].astype(np.int64))
-    weights.append(utf8 * v.byte_weight)
-    start, end, piece, w = (np.concatenate(x) for x in (starts, ends, ids, weights))
-    order = np.argsort(start, kind="stable")
-    start, end, piece, w = start[order], end[order], piece[order], w[order]
+            hit = np.flatnonzero(k < table.n)
+            live = live[hit]                     # the others begin no longer piece
+            found[live, n - 1] = place[k[hit]] + 1
+    odd = np.flatnonzero(found[:, 0] == 0)       # spelt in bytes
+    found[odd, 0] = len(v.piece) + 1
+    flat = np.flatnonzero(found)                 # by start, then by length
+    start = (flat // found.shape[1]).astype(np.int32)
+    n = (flat - start.astype(np.int64) * found.shape[1]).astype(np.int32)
+    k = found.ravel()[flat] - 1
+    del found, flat, h, code
+    spelt = np.flatnonzero(k == len(v.piece))
+    k[spelt] = 0
+    piece, w = v.piece[k].astype(np.int64), v.weight[k]
+    cps = cp[start[spelt]].astype(np.int64)
+    piece[spelt] = -1 - cps
+    w[spelt] = (1 + (cps > 0x7F).astype(np.int64) + (cps > 0x7FF) + (cps > 0xFFFF)) * v.byte_weight
+    node = (at + word).astype(np.int32)          # one extra node per word for its end
+    start = node[start]
+    end = start + n + 1
     nodes = len(cp) + len(words)
     first = np.searchsorted(start, np.arange(nodes + 1))
-    # log-mass from each node to its word's end, all words at once from the back
-    mass = np.zeros(nodes)
-    far = np.zeros(nodes, np.int64)
+    # mass from each node to its word's end, all words at once from the back; weights are raised
+    # per character, so that the masses of usual words stay near 1
+    far = np.zeros(nodes, np.int32)
     far[node] = left
-    by = np.argsort(far[start], kind="stable")
-    steps = np.searchsorted(far[start][by], np.arange(1, int(size.max(initial=0)) + 2))
-    for a, b in zip(steps[:-1], steps[1:]):
-        if a == b:
-            continue
-        e = by[a:b]
-        x, s = w[e] + mass[end[e]], start[e]
-        new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        top = np.maximum.reduceat(x, new)
-        wide = np.diff(np.append(new, len(e)))
-        mass[s[new]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, wide)), new))
-    logp = w + mass[end] - mass[start]
-    prob = np.exp(logp)
+    key = far[start]
+    by = np.argsort(key.astype(np.int16) if len(size) and size.max() < 1 << 15 else key, kind="stable")    # small integers sort in linear time
+    steps = np.searchsorted(key[by], np.arange(1, int(size.max(initial=0)) + 2))
+    raised = np.exp(w + RAISE * (end - start))
+    mass = np.ones(nodes)
+    with np.errstate(over="ignore", under="ignore"):
+        for a, b in zip(steps[:-1], steps[1:]):
+            if a < b:
+                e = by[a:b]
+                s = start[e]
+                new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+                mass[s[new]] = np.add.reduceat(raised[e] * mass[end[e]], new)
+    if mass.min(initial=1) > 1e-250 and mass.max(initial=1) < 1e250:
+        prob = raised * mass[end] / mass[start]
+        logp = np.log(prob)
+    else:                                        # very long or strange words: the same by logarithms
+        mass = np.zeros(nodes)
+        for a, b in zip(steps[:-1], steps[1:]):
+            if a < b:
+                e = by[a:b]
+                x, s = w[e] + mass[end[e]], start[e]
+                new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+                top = np.maximum.reduceat(x, new)
+                wide = np.diff(np.append(new, len(e)))
+                mass[s[new]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, wide)), new))
+        logp = w + mass[end] - mass[start]
+        prob = np.exp(logp)
     total = np.cumsum(prob)
     before = np.concatenate([[0.0], total])[first[start]]
     upto = total - before
@@ -209,12 +229,12 @@ def _draw(lat: Lattice, word: np.ndarray, node: np.ndarray, seed: np.ndarray, pl
         while len(more):
             edge[more] += 1
             more = more[u[more] > lat.upto[edge[more]]]
-        found.append((token, step, edge))
-        node, step = lat.end[edge], step + 1
+        found.append((token.astype(np.int32), step.astype(np.int32), edge.astype(np.int32)))
+        node, step = lat.end[edge].astype(np.int64), step + 1
         live = node < goal[token]
         token, node, step = token[live], node[live], step[live]
     if not found:
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)
         return none, none, none
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -229,7 +249,8 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
     n = len(seed)
     text = np.repeat(np.arange(n), np.diff(first))
     place = np.arange(len(word)) - first[text]
-    all_token = all_edge = all_mask = np.zeros(0, np.int64)   # moves of all paths so far
+    all_token = all_edge = np.zeros(0, np.int32)              # moves of all paths so far
+    all_mask = np.zeros(0, np.int64)
     all_part = np.zeros(0)                                    # largest value of each part
     all_pre = np.zeros(0)                                     # log-probability before the move
     owner = np.zeros(0, np.int64)
@@ -270,12 +291,12 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
             kept_t, kept_e = np.concatenate([kept_t, token]), np.concatenate([kept_e, edge])
             kept_m = np.concatenate([kept_m, used | (1 << pick)])
             # the rest of the origin's token
-            r_tok, r_step, r_edge = _draw(lat, word[token], lat.end[edge], seed[at], splitmix(place[token].astype(U64) * U64(64) + U64(rank)),
+            r_tok, r_step, r_edge = _draw(lat, word[token], lat.end[edge].astype(np.int64), seed[at], splitmix(place[token].astype(U64) * U64(64) + U64(rank)),
                                           np.ones(len(at), np.int64))
             kept_order = np.concatenate([np.zeros(len(kept_t), np.int64), 1 + r_step])
             kept_t = np.concatenate([kept_t, token[r_tok]])
             kept_e = np.concatenate([kept_e, r_edge])
-            kept_m = np.concatenate([kept_m, 1 << (r_edge - lat.first[_start(lat, r_edge)])])
+            kept_m = np.concatenate([kept_m, np.int64(1) << (r_edge - lat.first[_start(lat, r_edge)])])
         else:
             kept_order = np.zeros(0, np.int64)
         size = first[live + 1] - begin
@@ -284,7 +305,7 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
                                 splitmix(place[tokens].astype(U64) * U64(64) + U64(rank)), np.zeros(len(tokens), np.int64))
         t = np.concatenate([kept_t, tokens[tok]])
         e = np.concatenate([kept_e, edge])
-        m = np.concatenate([kept_m, 1 << (edge - lat.first[_start(lat, edge)])])
+        m = np.concatenate([kept_m, np.int64(1) << (edge - lat.first[_start(lat, edge)])])
         order = np.lexsort((np.concatenate([kept_order, step]), t))
         # kept moves share order 0 and are already in path order (the sort is stable)
         t, e, m = t[order], e[order], m[order]
@@ -315,8 +336,13 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
             phi = pre[at] + np.log(rest[at])
             u = uniform(seed[own[at]], rank, 3, at - off[own[at]])
             part[at] = phi - np.log(np.exp(np.minimum(phi - value[own[at]], 700.0)) - np.log(u))
+        if rank == k:      # only kappa is left to find
+            value = np.full(n, -np.inf)
+            np.maximum.at(value, owner, all_part)
+            np.maximum.at(value, own, part)
+            break
         shift = len(all_edge)
-        all_token, all_edge, all_mask = np.concatenate([all_token, t]), np.concatenate([all_edge, e]), np.concatenate([all_mask, m])
+        all_token, all_edge, all_mask = np.concatenate([all_token, t.astype(np.int32)]), np.concatenate([all_edge, e.astype(np.int32)]), np.concatenate([all_mask, m])
         all_part, owner = np.concatenate([all_part, part]), np.concatenate([owner, own])
         start_of = np.concatenate([path_of, shift + off[own]]) if rank > 1 else off[own]
         path_of = start_of
@@ -337,7 +363,7 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
 def _start(lat: Lattice, edge: np.ndarray) -> np.ndarray:
     """Start node of edges."""
     if not hasattr(lat, "_starts"):
-        lat._starts = np.repeat(np.arange(len(lat.first) - 1), np.diff(lat.first))
+        lat._starts = np.repeat(np.arange(len(lat.first) - 1, dtype=np.int32), np.diff(lat.first))
     return lat._starts[edge]
 
 
@@ -352,7 +378,7 @@ def _ids(edges: np.ndarray, off: np.ndarray, lat: Lattice, v: Vocabulary) -> tup
     width[odd] = [len(b) for b in spelt]
     end = np.concatenate([[0], np.cumsum(width)])
     out = np.repeat(piece, width).astype(np.int32)
-    inside = np.concatenate([np.arange(end[i], end[i + 1]) for i in odd])
+    inside = np.repeat(piece < 0, width)
     out[inside] = v.byte_id[np.frombuffer(b"".join(spelt), np.uint8)]
     return out, end[off]
 
@@ -361,9 +387,10 @@ def encode_slice(texts: list[str], seeds: np.ndarray, v: Vocabulary, k: int):
     """Rows (text position, rank, log-probability, value, log inclusion score,
     id offsets, ids) of one slice of texts."""
     units = [v.units((BLANK + t).replace(" ", BLANK)) if t else [] for t in texts]
-    first = np.concatenate([[0], np.cumsum([len(u) for u in units])])
-    names: dict[str, int] = {}
-    word = np.array([names.setdefault(w, len(names)) for u in units for w in u], np.int64)
+    first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))])
+    names: defaultdict[str, int] = defaultdict(count().__next__)
+    word = np.fromiter(map(names.__getitem__, chain.from_iterable(units)), np.int64, int(first[-1]))
+    del units
     lat = build(list(names), v)
     rounds, kappa = [], None
     for live, off, edges, logp, value in sample(lat, word, first, seeds, k):
@@ -382,13 +409,16 @@ def encode_slice(texts: list[str], seeds: np.ndarray, v: Vocabulary, k: int):
 SCHEMA = "rank int, n_pieces int, log_prob double, gumbel double, log_inclusion double, ids array<int>"
 
 
-def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int = SAMPLES, seed: int = 3, keep: dict | None = None) -> DataFrame:
+def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int = SAMPLES, seed: int = 3, keep: dict | None = None,
+           seed_by: tuple[str, ...] = (), round_trip: bool = False) -> DataFrame:
     """(key, *keep, rank, n_pieces, log_prob, gumbel, log_inclusion, ids): up to
     ``samples`` distinct segmentations of every text.  ``keep`` maps names to Columns
-    that each sample carries along.  ``model``: path on every machine."""
+    that each sample carries along; the columns ``seed_by`` seed a row together with its
+    id.  With ``round_trip`` a last column of that name tells whether the ids, decoded in the same pass, give the text
+    back.  ``model``: path on every machine."""
     keep = keep or {}
     own = docs.select(F.col(id_col).alias("key"), *[c.alias(n) for n, c in keep.items()],
-                      F.coalesce(F.col(text_col), F.lit("")).alias("text_"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("seed_"))
+                      F.coalesce(F.col(text_col), F.lit("")).alias("text_"), F.xxhash64(F.lit(seed), F.col(id_col), *map(F.col, seed_by)).alias("seed_"))
     names = ["key", *keep]
 
     def run(batches):
@@ -404,12 +434,13 @@ def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int
                     if at[-1] != len(ids):
                         raise AssertionError("paths of texts that have ended")
                     rows = pa.array(live + a)
+                    same = [pc.equal(decode_rows(ids, at.astype(np.int64), v), col.take(rows))] if round_trip else []
                     yield pa.RecordBatch.from_arrays(
                         [*(batch.column(c).take(rows) for c in names), pa.array(np.full(len(live), rank, np.int32)), pa.array(size.astype(np.int32)),
-                         pa.array(logp), pa.array(value), pa.array(inclusion), pa.ListArray.from_arrays(pa.array(at), pa.array(ids))],
-                        [*names, "rank", "n_pieces", "log_prob", "gumbel", "log_inclusion", "ids"])
+                         pa.array(logp), pa.array(value), pa.array(inclusion), pa.ListArray.from_arrays(pa.array(at), pa.array(ids)), *same], out)
 
-    schema = StructType(own.schema.fields[:len(names)] + StructType.fromDDL(SCHEMA).fields)
+    out = [*names, "rank", "n_pieces", "log_prob", "gumbel", "log_inclusion", "ids"] + ["round_trip"] * round_trip
+    schema = StructType(own.schema.fields[:len(names)] + StructType.fromDDL(SCHEMA + ", round_trip boolean" * round_trip).fields)
     return own.mapInArrow(run, schema)
 
 

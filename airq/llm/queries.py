@@ -40,10 +40,8 @@ def op2_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = public_tokenizers.path(pieces.MODEL)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    drawn = pieces.encode(docs, "doc_id", "text", model, keep={"text_hash": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
-    return pieces.decode(drawn, "ids", model).select(
-        F.col("key").alias("doc_id"), "rank", "n_pieces", "log_prob", "gumbel", "log_inclusion",
-        (F.xxhash64("decoded") == F.col("text_hash")).alias("round_trip"), "ids")
+    return pieces.encode(docs, "doc_id", "text", model, round_trip=True).select(
+        F.col("key").alias("doc_id"), "rank", "n_pieces", "log_prob", "gumbel", "log_inclusion", "round_trip", "ids")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,8 +139,9 @@ def test_pipeline_stages(spark):
         out = stage(spark, docs, SF_SMALL).cache()
         kept.append(out)
         docs = out
-    for out in kept[:-1]:
+    for out in kept[:2]:
         assert out.columns == list(corpus_pipeline.DOCUMENT)
+    assert kept[2].columns == [*corpus_pipeline.DOCUMENT, *corpus_pipeline.ORDER]
     clean = kept[0].collect()
     groups = brute([(r["doc_id"], r["text"]) for r in clean])
     single = kept[1].collect()
@@ -154,6 +155,21 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in ids} == {i for i, _ in times}
 
 
+def test_the_curriculum_survives_to_the_last_stage(spark):
+    """Positions sort the segmentations into the mix's order, and passes differ."""
+    docs = spark.createDataFrame([(i, f"some words of document {i} that are longer ones " * 3, "en", f"src{i % 2}", 9) for i in range(40)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF_SMALL)
+    order = [(r["doc_id"], r["pass"]) for r in mixed.collect()]          # in_training_order sorts
+    assert max(p for _, p in order) == 2
+    rows = corpus_pipeline.segment(spark, mixed.repartition(5), SF_SMALL).collect()
+    first = sorted((r for r in rows if r["rank"] == 1), key=lambda r: (r["position"], r["doc_id"], r["pass"]))
+    assert [(r["doc_id"], r["pass"]) for r in first] == order
+    by = {(r["doc_id"], r["pass"], r["rank"]): r["ids"] for r in rows}
+    twice = [i for i, p in order if p == 2]
+    assert twice and all([by[i, 1, k] for k in (1, 2)] != [by[i, 2, k] for k in (1, 2)] for i in twice)
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.count() > 100 and "ids" in out.columns

@@ -108,3 +108,30 @@ def test_round_trip_and_seeding(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id long, body string")
     assert pieces.decode(pieces.encode(df, "id", "body", MODEL), "ids", MODEL).collect() == []
+
+
+def test_round_trip_in_the_same_pass_equals_decode(spark):
+    texts = ["plain words", "", None, "tabs\tand\nlines  two", "has \u2581 blank mark", "日本語 é ﷽ 𝔘"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = pieces.encode(df, "id", "text", MODEL, round_trip=True, keep={"text": F.coalesce("text", F.lit(""))})
+    back = pieces.decode(rows, "ids", MODEL).collect()
+    assert all(r["round_trip"] == (r["decoded"] == r["text"]) for r in back)
+    assert {r["key"] for r in back if not r["round_trip"]} == {4}
+
+
+def test_seed_columns_change_the_sample_only(spark):
+    df = spark.createDataFrame([(1, "several words to be cut into pieces", p) for p in (1, 2)], "id long, text string, p int")
+    a, b = ([tuple(r["ids"]) for r in pieces.encode(df.filter(f"p = {p}"), "id", "text", MODEL, seed_by=("p",)).sort("rank").collect()] for p in (1, 2))
+    plain = [[tuple(r["ids"]) for r in pieces.encode(df.filter(f"p = {p}"), "id", "text", MODEL).sort("rank").collect()] for p in (1, 2)]
+    assert a != b and plain[0] == plain[1]
+
+
+def test_masses_of_very_long_words_use_logarithms(vocabulary):
+    """Where masses leave the range of doubles, the probabilities are the same by logarithms."""
+    rare, usual = "𝔘𝔫𝔦" * 400, "usual"
+    both, alone = pieces.build(["\u2581" + rare, "\u2581" + usual], vocabulary), pieces.build(["\u2581" + usual], vocabulary)
+    own = slice(both.first[both.node0[1]], None)
+    assert np.allclose(both.prob[own], alone.prob) and np.allclose(both.logp[own], alone.logp)
+    starts = np.repeat(np.arange(len(both.first) - 1), np.diff(both.first))
+    total = np.bincount(starts, both.prob, len(both.first) - 1)
+    assert np.allclose(total[np.unique(starts)], 1.0)
