@@ -7,8 +7,10 @@ read back, so a lost executor costs one stage's work at most.
 1. toxicity       documents scored 0.3 or more go
 2. near_duplicates one document of each group of similar texts stays: the one with
                   the smallest (id, text hash); of equal rows one
-3. mixing         documents the mix takes stay, once per pass, in training order
-4. segmentation   every remaining text as distinct sampled SentencePiece segmentations
+3. mixing         documents the mix takes stay, once per pass, with their training
+                  position and pass as further columns (a Parquet read promises no order)
+4. segmentation   every remaining text as distinct sampled SentencePiece segmentations,
+                  seeded by id and pass, with position and pass
 
 Null ids: such documents pass the first stage by their score; in a group they count as
 smaller than any id.  Null and empty texts pass the first two stages unless their
@@ -25,6 +27,7 @@ from airq.session import materialize
 from airq.sources.tables import table
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+ORDER = ("position", "pass")    # of a mixed document: its training position, and which pass over it this is
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(docs.select(*DOCUMENT), "doc_id", "text", "source")
-    return curriculum.in_training_order(mixed, "doc_id").select(*DOCUMENT)
+    return curriculum.in_training_order(mixed, "doc_id").select(*DOCUMENT, *ORDER)
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +65,10 @@ def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     share_code(spark)
     model = public_tokenizers.path(pieces.MODEL)
-    return pieces.encode(docs, "doc_id", "text", model).withColumnRenamed("key", "doc_id")
+    order = [c for c in ORDER if c in docs.columns]
+    # a second pass over a document draws other segmentations than the first
+    seed_by = tuple(c for c in order if c == "pass")
+    return pieces.encode(docs, "doc_id", "text", model, keep={c: F.col(c) for c in order}, seed_by=seed_by).withColumnRenamed("key", "doc_id")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("mixing", mix_sources), ("segmentation", segment)]
