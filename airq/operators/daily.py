@@ -58,11 +58,15 @@ def daily_aqi(readings: DataFrame, profile: str = "vn_batch", key=STATION_KEY) -
                   F.max("co").alias("co_1h_max"), F.max("o3").alias("o3_1h_max"),
                   F.max("o3_8h").alias("o3_8h_max")))
     # the spine and the rows both read the daily table: written once
-    full = fill_missing_days(materialize(daily, "daily"), key)
+    return daily_index(fill_missing_days(materialize(daily, "daily"), key), profile, key)
+
+
+def daily_index(full: DataFrame, profile: str = "vn_batch", key=STATION_KEY, extra=()) -> DataFrame:
+    """Sub-indices and the daily AQI of rows that hold a day's means and maxima."""
     o3_8 = F.when(~(F.col("o3_8h_max") > 400) | F.col("o3_8h_max").isNull(),
                   sub_index("o3_8h_max", "o3_8h", profile))
     out = full.select(
-        *key, "day",
+        *key, "day", *extra,
         sub_index("pm25_24h", "pm25", profile).alias("aqi_pm2_5"),
         sub_index("pm10_24h", "pm10", profile).alias("aqi_pm10"),
         sub_index("so2_1h_max", "so2", profile).alias("aqi_sulphur_dioxide"),

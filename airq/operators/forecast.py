@@ -1,139 +1,169 @@
-"""24-hour forecast as a Spark ML job.
-
-The original trains a single-machine LSTM on 24-row windows.  Here the same
-task (next 24 hours of the AQI target from the current features) is a
-direct multi-horizon regression on a long table (station, t, horizon):
-one ``LinearRegression`` with the horizon one-hot encoded, fitted on the
-chronological train split, evaluated per horizon on the test split and used
-to score the next 24 hours of every station at once.
+"""24-hour forecast.
+
+The original trains a single-machine LSTM on 24-row windows of 15 features.  Here the
+next 24 hours are forecast by least squares, each hour (horizon) with coefficients of its own,
+in two forms:
+
+* ``window=1``: from the newest row's 15 features, 16 coefficients a horizon;
+* ``window=24``: from the newest 24 rows, flattened to 360 inputs.
+
+Rows are never multiplied by horizons: a row carries its 24 targets as an array, and one
+pass gathers the normal equations of all horizons (`least_squares`).  A model is two
+small tables, the coefficients and the scaling statistics, which are also its saved form.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..functions.labels import ui_level
 from ..sources.adapter import STATION_KEY
-from .clean import clip
+from .clean import clip, future_hours
 from .features import FEATURES
-from .slicing import OWN, RN, SLICE, own_rows, sliced_window, with_row_index, with_slices
+from .least_squares import block_gram, gram, list_matrix, solve
+from .slicing import RN, own_rows, sliced_window, with_slices
 
 HORIZON = 24
-
-
-def horizon_table(feat: DataFrame, target: str = "aqi", horizon: int = HORIZON, key=STATION_KEY,
-                  ep: str = "ep", written: bool = False) -> DataFrame:
-    """(station, t, h, features at t, y = target at row t+h): the 24 leads
-    come from one sliced window pass (rows of the next 24 positions are
-    copied into the slice before), then an unpivot.  ``written``: ``feat``
-    is already a table in the shared folder (the row index reads it as is)."""
-    d = with_slices(with_row_index(feat, key, ep, written=written), RN, fwd=horizon)
-    w = sliced_window(key, RN)
-    leads = own_rows(d.select(*key, ep, "split", *FEATURES, SLICE, OWN,
-                              *[F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)]))
-    pairs = ", ".join(f"{h}, y{h}" for h in range(1, horizon + 1))
-    return (leads.select(*key, ep, "split", *FEATURES, F.expr(f"stack({horizon}, {pairs}) AS (h, y)"))
-            .filter(F.col("y").isNotNull()))
-
-
-def build_pipeline() -> Pipeline:
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="xf", handleInvalid="skip")
-    scale = StandardScaler(inputCol="xf", outputCol="xs", withMean=True, withStd=True)
-    # horizon indicators: h is 1..24 by construction, so a SQL stage (no fit
-    # pass over the data, unlike a one-hot encoder) derives them
-    ind = [f"h_{k}" for k in range(1, HORIZON + 1)]
-    onehot = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CAST(h = {k} AS DOUBLE) AS h_{k}" for k in range(1, HORIZON + 1)) + " FROM __THIS__")
-    both = VectorAssembler(inputCols=["xs", *ind], outputCol="features")
-    # 15 scaled features + 24 horizon indicators: the normal-equation solver
-    # needs one pass over the data (no iterative optimiser jobs)
-    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.01, solver="normal")
-    return Pipeline(stages=[assemble, scale, onehot, both, lr])
-
-
-def fit(train: DataFrame) -> PipelineModel:
-    return build_pipeline().fit(train)
-
-
-def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """MAE and MSE per horizon on held-out rows."""
-    p = model.transform(test)
-    err = F.col("prediction") - F.col("y")
-    return p.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"),
-                              F.avg(err * err).alias("mse"))
-
-
-def score_next_24h(model: PipelineModel, feat: DataFrame, key=STATION_KEY, ep: str = "ep") -> DataFrame:
-    """M4: for every station, its newest feature row x 24 horizons ->
-    clipped prediction (0-300), the hour 'HH:mm' and the level."""
+#: Ridge per window length, as a share of the number of rows (inputs have variance 1).
+RIDGE = {1: 1e-6, 24: 0.1}
+
+
+@dataclass
+class Model:
+    """``scaling``: per feature (mean, population standard deviation) of the training rows;
+    ``coefficients``: (1 + window * features) x horizons, the intercept first."""
+
+    scaling: dict[str, tuple[float, float]]
+    coefficients: np.ndarray
+    window: int
+
+
+def scaling(train: DataFrame, features=FEATURES) -> dict[str, tuple[float, float]]:
+    """Mean and population standard deviation of every feature, in one pass."""
+    aggs = [f(F.col(c).cast("double")) for c in features for f in (F.avg, F.stddev_pop)]
+    row = train.agg(*aggs).first()
+    return {c: (row[2 * k] or 0.0, row[2 * k + 1] or 0.0) for k, c in enumerate(features)}
+
+
+def scaled(stats: dict[str, tuple[float, float]]) -> list[Column]:
+    """The standardised features (a constant feature is 0)."""
+    return [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) if s else F.lit(0.0) for c, (m, s) in stats.items()]
+
+
+def samples(split: DataFrame, stats: dict, window: int = 1, target: str = "aqi", key=STATION_KEY) -> DataFrame:
+    """(split, past, y, z or x): one row per row with 24 rows of its station's split up to it
+    and 24 after it.  ``past``: the 24 values up to now; ``y``: the next 24; ``z``: its
+    standardised features; ``x`` (``window`` > 1): those of the last ``window`` rows, flattened."""
+    d = split.select(*key, "split", (F.col("split_pos") + 1).alias(RN), F.col(target).cast("double").alias("t"), F.array(*scaled(stats)).alias("z"))
+    d = with_slices(d, RN, back=HORIZON - 1, fwd=HORIZON)
+    w = sliced_window([*key, "split"], RN)          # dense positions: range = rows
+    cols = {"past": F.collect_list("t").over(w.rangeBetween(1 - HORIZON, 0)), "y": F.collect_list("t").over(w.rangeBetween(1, HORIZON))}
+    if window > 1:
+        cols["x"] = F.flatten(F.collect_list("z").over(w.rangeBetween(1 - window, 0)))
+    rows = own_rows(d.withColumns(cols)).filter((F.size("y") == HORIZON) & (F.size("past") == HORIZON))
+    return rows.select("split", "past", "y", "x" if window > 1 else "z")
+
+
+def fit(split: DataFrame, window: int = 1, target: str = "aqi", features=FEATURES) -> Model:
+    """Least squares on the rows of ``split`` marked 'train' (`chronological_split`)."""
+    train = split.filter("split = 'train'")
+    stats = scaling(train, features)
+    rows = samples(train, stats, window, target)
+    if window == 1:
+        xx, xy, n = gram(rows, [F.lit(1.0), *[F.get("z", F.lit(i)) for i in range(len(stats))]], [F.get("y", F.lit(h)) for h in range(HORIZON)])
+    else:
+        p = 1 + window * len(stats)
+        xx, xy, n = block_gram(rows.select(F.concat(F.array(F.lit(1.0)), "x").alias("x"), "y"), "x", "y", p, HORIZON)
+    return Model(stats, solve(xx, xy, n, RIDGE[window]), window)
+
+
+def predict(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` (with ``z``, or ``x`` for windows) with ``forecast``: an array of 24 values."""
+    b = model.coefficients
+    if model.window == 1:
+        z = [F.get("z", F.lit(i)) for i in range(len(b) - 1)]
+        hours = []
+        for h in range(HORIZON):
+            v = F.lit(float(b[0, h]))
+            for i, zi in enumerate(z, 1):
+                v = v + F.lit(float(b[i, h])) * zi
+            hours.append(v)
+        return rows.withColumn("forecast", F.array(*hours))
+
+    at, names, matrix = rows.columns.index("x"), [*rows.columns, "forecast"], list_matrix()
+    hours = HORIZON
+
+    def run(batches):
+        for batch in batches:
+            y = b[0] + matrix(batch.column(at), len(b) - 1) @ b[1:]
+            off = pa.array(np.arange(0, (len(batch) + 1) * hours, hours, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(off, pa.array(y.ravel()))], names)
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("forecast", ArrayType(DoubleType()))]))
+
+
+def evaluate(models: dict[str, Model], split: DataFrame, target: str = "aqi") -> DataFrame:
+    """(h, n, and mae and mse per forecast) on the held-out rows: each of ``models`` (by suffix of the
+    column names), the current value carried forward (``_persistence``), and the value one
+    day before the hour forecast (``_seasonal``).  All forecasts are judged on the same rows.
+
+    One row of sums per model, then one row per horizon: nothing is multiplied before."""
+    tables = []
+    for k, (suffix, model) in enumerate(models.items()):
+        rows = predict(samples(split.filter("split = 'test'"), model.scaling, model.window, target), model)
+        guess = {suffix: lambda h: F.get("forecast", F.lit(h))}
+        if not k:
+            guess |= {"_persistence": lambda h: F.element_at("past", -1), "_seasonal": lambda h: F.get("past", F.lit(h))}
+        errors = {f"{m}{s}{h}": f(g(h) - F.get("y", F.lit(h))) for s, g in guess.items() for h in range(HORIZON)
+                  for m, f in (("mae", F.abs), ("mse", lambda e: e * e))}
+        sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(e), 4).alias(c) for c, e in errors.items()])
+        per_hour = [F.struct(F.lit(h + 1).alias("h"), "n", *[F.col(f"{m}{s}{h}").alias(f"{m}{s}") for s in guess for m in ("mae", "mse")]) for h in range(HORIZON)]
+        t = sums.select(F.inline(F.array(*per_hour))).filter("n > 0")
+        tables.append(t if not k else t.drop("n"))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.join(t, "h")      # 24 rows each
+    return out
+
+
+def score_next_24h(model: Model, feat: DataFrame, key=STATION_KEY, ep: str = "ep", ts: str = "event_time") -> DataFrame:
+    """M4: for every station its newest rows -> the next 24 hours, clipped to [0, 300],
+    with the hour 'HH:mm' and the level.  A station with fewer than ``window`` rows has no
+    forecast."""
     w = Window.partitionBy(*key).orderBy(F.col(ep).desc())
-    last = feat.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    grid = last.select("*", F.explode(F.sequence(F.lit(1), F.lit(HORIZON))).alias("h"))
-    p = model.transform(grid)
-    v = clip(F.col("prediction"), 0.0, 300.0)
+    rows = feat.select(*key, ep, ts, F.array(*scaled(model.scaling)).alias("z"))
+    newest = rows.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= model.window).drop("__rn")      # a group limit
+    if model.window == 1:
+        newest = newest.select(*key, ts, "z")
+    else:
+        series = newest.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(ep, ts, "z"))).alias("s")).filter(F.size("s") == model.window)
+        newest = series.select(*key, F.element_at("s", -1)[ts].alias(ts), F.flatten(F.transform("s", lambda r: r["z"])).alias("x"))
+    p = predict(newest, model)
+    p = p.select(*key, F.posexplode(F.arrays_zip(future_hours(F.col(ts), HORIZON).alias("t"), F.col("forecast").alias("v"))).alias("step", "r"))
+    v = clip(F.col("r.v"), 0.0, 300.0)
     lvl = ui_level(v)
-    t = F.col("event_time") + F.make_interval(hours=F.col("h"))
-    return p.select(*key, F.col("h").alias("step"), F.date_format(t, "HH:mm").alias("time"),
+    return p.select(*key, (F.col("step") + 1).alias("step"), F.date_format("r.t", "HH:mm").alias("time"),
                     F.round(v, 2).alias("aqi"), lvl["level"].alias("level"), lvl["color"].alias("color"))
 
 
-# --- one regression per horizon, as aggregates ------------------------------
-
-LEVEL, YESTERDAY = "aqi", "aqi_lag24"
-
-
-def horizon_rows(split: DataFrame, target: str = "aqi", horizon: int = HORIZON, key=STATION_KEY, ep: str = "ep") -> DataFrame:
-    """(split, h, level at t, value 24 rows before t, seasonal value, y): one row
-    per station, t and horizon whose target lies in the same split.  The
-    seasonal value is the target 24 rows before the row forecast."""
-    d = with_slices(split.withColumns({RN: F.col("split_pos") + 1}), RN, back=horizon, fwd=horizon)
-    w = sliced_window([*key, "split"], RN)
-    leads = [F.lead(target, h).over(w).alias(f"y{h}") for h in range(1, horizon + 1)]
-    lags = [F.lag(target, 24 - h).over(w).alias(f"s{h}") for h in range(1, horizon + 1)]
-    wide = own_rows(d.select("split", LEVEL, YESTERDAY, SLICE, OWN, *leads, *lags))
-    rows = ", ".join(f"{h}, y{h}, s{h}" for h in range(1, horizon + 1))
-    return (wide.select("split", F.col(LEVEL).alias("x1"), F.col(YESTERDAY).alias("x2"), F.expr(f"stack({horizon}, {rows}) AS (h, y, seasonal)"))
-            .filter(F.col("y").isNotNull()))
-
-
-def horizon_coefficients(train: DataFrame) -> DataFrame:
-    """(h, a, b, c) of y = a + b * level + c * yesterday by least squares, one
-    line per horizon: the normal equations from one aggregate.  A horizon whose
-    inputs don't vary enough falls back to the mean."""
-    s = train.groupBy("h").agg(
-        F.avg("x1").alias("m1"), F.avg("x2").alias("m2"), F.avg("y").alias("my"), F.var_pop("x1").alias("v1"), F.var_pop("x2").alias("v2"),
-        F.covar_pop("x1", "x2").alias("v12"), F.covar_pop("x1", "y").alias("v1y"), F.covar_pop("x2", "y").alias("v2y"))
-    det = F.col("v1") * F.col("v2") - F.col("v12") * F.col("v12")
-    solve = lambda p, q, r: F.coalesce(F.try_divide(F.col(p) * F.col(q) - F.col(r[0]) * F.col(r[1]), F.col("det")), F.lit(0.0))
-    s = s.withColumn("det", F.when(det > 1e-9 * F.col("v1") * F.col("v2"), det))
-    s = s.withColumns({"b": solve("v1y", "v2", ("v2y", "v12")), "c": solve("v2y", "v1", ("v1y", "v12"))})
-    return s.select("h", (F.col("my") - F.col("b") * F.col("m1") - F.col("c") * F.col("m2")).alias("a"), "b", "c")
-
-
-def evaluate_horizons(split: DataFrame, target: str = "aqi") -> DataFrame:
-    """(h, n, mae, mse, mae_persistence, mse_persistence, mae_seasonal,
-    mse_seasonal) on the test rows: the fitted line per horizon, the current
-    value carried forward, and the value one day before the hour forecast.  Only
-    rows with all three forecasts count, so the columns compare."""
-    from ..session import materialize
-    long = materialize(horizon_rows(split, target), "horizons")
-    fitted = horizon_coefficients(long.filter("split = 'train'"))
-    test = long.filter("split = 'test' AND seasonal IS NOT NULL").join(F.broadcast(fitted), "h")   # one row per horizon
-    guess = {"": F.col("a") + F.col("b") * F.col("x1") + F.col("c") * F.col("x2"), "_persistence": F.col("x1"), "_seasonal": F.col("seasonal")}
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for name, g in guess.items():
-        aggs += [F.round(F.avg(F.abs(g - F.col("y"))), 4).alias(f"mae{name}"), F.round(F.avg((g - F.col("y")) ** 2), 4).alias(f"mse{name}")]
-    return test.groupBy("h").agg(*aggs)
-
-
-def save(model: PipelineModel, path: str) -> None:
-    """M5: model (with its scaling statistics) written with the ML writer."""
-    model.write().overwrite().save(path)
-
-
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save(spark: SparkSession, model: Model, path: str) -> None:
+    """M5: the model as two Parquet tables, ``coefficients`` (a row per horizon) and ``scaling``
+    (a row per feature)."""
+    b = model.coefficients
+    spark.createDataFrame([(h + 1, model.window, float(b[0, h]), b[1:, h].tolist()) for h in range(HORIZON)],
+                          "h int, window int, intercept double, slopes array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
+    spark.createDataFrame([(i, c, float(m), float(s)) for i, (c, (m, s)) in enumerate(model.scaling.items())],
+                          "i int, feature string, mean double, std double").coalesce(1).write.mode("overwrite").parquet(f"{path}/scaling")
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    lines = spark.read.parquet(f"{path}/coefficients").orderBy("h").collect()
+    stats = spark.read.parquet(f"{path}/scaling").orderBy("i").collect()
+    b = np.array([[r["intercept"], *r["slopes"]] for r in lines]).T
+    return Model({r["feature"]: (r["mean"], r["std"]) for r in stats}, b, lines[0]["window"])

@@ -3,12 +3,14 @@
 ``row_number() over (order by ...)`` sends every row to one task.  Here the rows are
 sorted by ranges instead: Spark samples the order, deals the rows to tasks by range and
 sorts each range.  Every row then carries its place within its range, and the small
-table of range sizes (one row per task) gives the offsets by prefix sums.
+table of range sizes (one row per task) gives the offsets by prefix sums, on the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -36,12 +38,11 @@ def with_global_position(df: DataFrame, order, name: str = "position", total: st
     An empty table gives an empty result; nulls stand where the sort puts them."""
     placed = sorted_by_ranges(df, order)
     task: Column = F.shiftright(F.col(_PLACE), _LOCAL_BITS)
-    sizes = placed.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__rows"))    # one row per task
-    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    all_rows = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = sizes.select("__task", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"), F.sum("__rows").over(all_rows).alias("__total"))
+    sizes = sorted(tuple(r) for r in placed.groupBy(task.alias("t")).agg(F.count(F.lit(1))).collect())      # one row per task
+    before = accumulate((n for _, n in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame([(t, b) for (t, _), b in zip(sizes, before)], "__task long, __before long")
     out = placed.withColumn("__task", task).join(offsets, "__task")
     own = F.col(_PLACE).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     cols = [c for c in df.columns if c not in (name, total)]
-    extra = [F.col("__total").alias(total)] if total else []
+    extra = [F.lit(sum(n for _, n in sizes)).cast("long").alias(total)] if total else []
     return out.select(*cols, (F.col("__before") + own + 1).alias(name), *extra)

@@ -83,9 +83,32 @@ def factor_corr(joined: DataFrame, target: str = "pm2_5", factors=FACTORS) -> Da
     return joined.groupingSets([[p, d], []], p, d).agg(*aggs)
 
 
+QUANTILE_ACCURACY = 10_000
+
+
 def factor_bins(joined: DataFrame, target: str = "pm2_5") -> DataFrame:
     """Target statistics per band of humidity (10 %), rain (yes/no),
     wind speed (5 km/h) and wind direction (45 degree sectors)."""
+    return _banded(joined, target).groupBy("factor", "bin").agg(
+        F.count(target).alias("n"), F.round(F.min(target), 6).alias("min"),
+        rounded_avg(target).alias("avg"), F.round(F.max(target), 6).alias("max"))
+
+
+def factor_quantiles(joined: DataFrame, target: str = "pm2_5", shares=(0.5, 0.9), names=("median", "p90"),
+                     accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """Quantiles of the target per band, from one mergeable sketch a band: tasks
+    sketch their rows and the sketches are merged, so a band's values are never sorted in one place.
+
+    A result is a value of the band whose rank lies within n / ``accuracy`` of the
+    exact one (so it is exact for bands of up to ``accuracy`` rows); a sketch holds a number of values
+    that grows with ``accuracy`` and the logarithm of n."""
+    q = F.percentile_approx(target, list(shares), accuracy)
+    return (_banded(joined, target).groupBy("factor", "bin").agg(F.count(target).alias("n"), q.alias("q"))
+            .select("factor", "bin", "n", *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(names)]))
+
+
+def _banded(joined: DataFrame, target: str) -> DataFrame:
+    """(target, factor, bin): each row in its band of every factor."""
     bands = F.array(
         F.struct(F.lit("humidity").alias("factor"),
                  F.floor(F.col("relative_humidity_2m") / 10).cast("long").alias("bin")),
@@ -93,7 +116,4 @@ def factor_bins(joined: DataFrame, target: str = "pm2_5") -> DataFrame:
         F.struct(F.lit("wind").alias("factor"), F.floor(F.col("wind_speed_10m") / 5).cast("long").alias("bin")),
         F.struct(F.lit("direction").alias("factor"),
                  F.floor(F.col("wind_direction_10m") / 45).cast("long").alias("bin")))
-    long = joined.filter(F.col(target).isNotNull()).select(target, F.inline(bands))
-    return long.groupBy("factor", "bin").agg(
-        F.count(target).alias("n"), F.round(F.min(target), 6).alias("min"),
-        rounded_avg(target).alias("avg"), F.round(F.max(target), 6).alias("max"))
+    return joined.filter(present(target).isNotNull()).select(target, F.inline(bands))

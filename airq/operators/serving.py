@@ -18,36 +18,13 @@ def latest_per_station(df: DataFrame, key=STATION_KEY, order=("ep",), tie_break=
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def newest_hours(df: DataFrame, hours: int, key=STATION_KEY, ep: str = "ep") -> DataFrame:
-    """Rows within the newest ``hours`` hours of each station.
-
-    Used before a window whose frame reaches ``hours - 1`` hours back when only
-    each station's newest row is wanted: the window then runs on a few rows
-    per station instead of its whole history.  The per-station newest hour is
-    a small aggregate (partial aggregation first), joined back."""
-    newest = df.groupBy(*key).agg(F.max(ep).alias("__newest"))
-    return (df.join(newest, list(key))
-              .filter(F.col(ep) > F.col("__newest") - F.lit(hours))
-              .drop("__newest"))
-
-
-def newest_rows_with_lookback(df: DataFrame, n: int, lookback: int, key=STATION_KEY,
-                              ep: str = "ep") -> DataFrame:
-    """Each station's newest ``n`` rows plus the ``lookback`` hours before
-    the oldest of them: all a window reaching ``lookback`` hours back needs
-    to score those n rows.  The newest n per station is a group limit
-    (partial top-n before the shuffle), reduced to one start hour per
-    station and joined back."""
-    w = Window.partitionBy(*key).orderBy(F.col(ep).desc())
-    top = df.select(*key, ep).withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
-    start = top.groupBy(*key).agg(F.min(ep).alias("__start"))
-    return (df.join(start, list(key))
-              .filter(F.col(ep) >= F.col("__start") - F.lit(lookback))
-              .drop("__start"))
-
-
 def last_n_per_station(df: DataFrame, n: int = 24, key=STATION_KEY, order: str = "ep") -> DataFrame:
-    """The last n rows of every station."""
+    """The last n rows of every station (a group limit: each task passes on at most n
+    rows of a station).
+
+    Also what goes in front of a window that reaches ``h`` hours back when only the newest
+    ``k`` rows are wanted: times are unique per station, so the k + h newest rows hold
+    every row that such a window can see, without joining a station's newest hour back."""
     w = Window.partitionBy(*key).orderBy(F.col(order).desc())
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 

@@ -20,6 +20,7 @@ from ..operators import features as FE
 from ..operators import profile as P
 from ..operators import rolling as R
 from ..operators import serving as S
+from ..operators.positions import with_global_position
 from ..sources.adapter import POLLUTANT_COLS, hourly_readings, hourly_weather, unmatched_events
 
 HOURLY_OUT = ["province", "district", "region", "lat", "lon", "ep",
@@ -49,11 +50,10 @@ def hourly(spark, sf_dir) -> DataFrame:
 
 
 def latest(spark, sf_dir) -> DataFrame:
-    """Newest enriched row per station.  Its NowCast reaches 11 hours back,
-    so readings (with a PM value, as ``enrich`` keeps them) are first cut to
-    each station's newest 12 hours: the window runs on at most 12 rows per
-    station instead of the whole history."""
-    recent = S.newest_hours(A.with_pm_present(readings_once(spark, sf_dir)), 12)
+    """Newest enriched row per station.  Its NowCast reaches 11 hours back, so the
+    readings (with a PM value, as ``enrich`` keeps them) are first cut to each station's
+    newest 12 rows: a group limit, and the window runs on at most 12 rows per station."""
+    recent = S.last_n_per_station(A.with_pm_present(readings(spark, sf_dir)), 12)
     return S.latest_per_station(A.enrich(recent))
 
 
@@ -111,6 +111,18 @@ def q_aqi_sql_functions(spark, sf_dir):
         FROM airq_readings""")
 
 
+def q_aqi_vn_sql_functions(spark, sf_dir):
+    """All ten VN functions called from Spark SQL (the 8 h ozone one on the 8 h mean)."""
+    sqlfuncs.register(spark)
+    R.ozone_8h(readings(spark, sf_dir)).createOrReplaceTempView("airq_readings_8h")
+    return spark.sql("""
+        WITH s AS (SELECT province, district, ep, airq_vn_o3(o3) AS aqi_o3, airq_vn_o38h(o3_8h) AS aqi_o3_8h, airq_vn_co(co) AS aqi_co,
+                          airq_vn_so2(so2) AS aqi_so2, airq_vn_no2(no2) AS aqi_no2, airq_vn_pm10(pm10) AS aqi_pm10, airq_vn_pm25(pm2_5) AS aqi_pm25
+                   FROM airq_readings_8h),
+             g AS (SELECT *, greatest(aqi_o3, aqi_o3_8h, aqi_co, aqi_so2, aqi_no2, aqi_pm10, aqi_pm25) AS aqi FROM s)
+        SELECT *, airq_vn_category(aqi) AS category, airq_vn_color(aqi) AS color, airq_health_advice(aqi) AS advice FROM g""")
+
+
 # --- rolling ----------------------------------------------------------------
 
 AVG_COLS = ["avg_pm25_24h", "avg_pm10_24h", "avg_o3_1h", "avg_o3_8h", "avg_co_1h", "avg_so2_1h", "avg_no2_1h"]
@@ -198,10 +210,22 @@ def q_station_list(spark, sf_dir):
 def q_last24(spark, sf_dir):
     """Each station's last 24 rows; only those and the 11 hours before
     them feed the NowCast window."""
-    recent = S.newest_rows_with_lookback(A.with_pm_present(readings_once(spark, sf_dir)), 24, 11)
+    recent = S.last_n_per_station(A.with_pm_present(readings(spark, sf_dir)), 24 + 11)
     return S.last_n_per_station(A.enrich(recent), 24).select(*KEY, "ep", "aqi_final")
 
 
+def q_sorted_readings(spark, sf_dir):
+    """K3: the readings in global order (station, hour), each with its place."""
+    return with_global_position(readings_once(spark, sf_dir).select(*KEY, "ep", "pm2_5"), [*KEY, "ep"])
+
+
+def q_global_split(spark, sf_dir):
+    """W11, positional over all stations: the first 80 % of the rows in time order are for
+    training, whatever their station."""
+    r = with_global_position(readings_once(spark, sf_dir).select(*KEY, "ep", "pm2_5"), ["ep", *KEY], total="n")
+    return r.withColumn("split", F.when(F.col("position") <= F.floor(F.col("n") * 0.8), "train").otherwise("test"))
+
+
 # --- profiling --------------------------------------------------------------
 
 def q_station_counts(spark, sf_dir):
@@ -273,6 +297,10 @@ def q_factor_bins(spark, sf_dir):
     return P.factor_bins(joined(spark, sf_dir))
 
 
+def q_factor_quantiles(spark, sf_dir):
+    return P.factor_quantiles(joined(spark, sf_dir))
+
+
 # --- ingestion / shaping ----------------------------------------------------
 
 def _messages(spark, sf_dir) -> DataFrame:
@@ -401,11 +429,19 @@ def q_inverse_scaled(spark, sf_dir):
     return back.select(*KEY, "ep", *_r6(*cols))
 
 
+def split_features(spark, sf_dir) -> DataFrame:
+    """The feature table with its chronological split, written once: fitting,
+    evaluation and scoring all read it."""
+    from ..session import materialize
+    return materialize(FE.chronological_split(features(spark, sf_dir)), "features")
+
+
 def q_forecast_eval(spark, sf_dir):
-    """One regression per horizon against persistence and
-    yesterday's value, MAE and MSE per horizon on held-out rows."""
+    """The models of the newest row and of the newest 24 rows against
+    persistence and yesterday's value, MAE and MSE per horizon on held-out rows."""
     from ..operators import forecast as FC
-    return FC.evaluate_horizons(FE.chronological_split(features(spark, sf_dir)))
+    split = split_features(spark, sf_dir)
+    return FC.evaluate({"": FC.fit(split), "_window": FC.fit(split, 24)}, split)
 
 
 def q_sequence_windows(spark, sf_dir):
@@ -483,40 +519,90 @@ def dedup_replay(spark, src: str, max_files: int = 1000) -> str:
 
 
 def nowcast_replay(spark, src: str, max_files: int = 1000) -> DataFrame:
-    """Replay message files through ``nowcast_stream``; every window's last state."""
+    """Replay message files through the ring NowCast; the upserted table."""
     from ..session import scratch_path
-    from ..streaming import pipeline as SP
-    out, ckpt = scratch_path(spark, "nowcast"), scratch_path(spark, "ckpt")
+    from ..streaming import pipeline as SP, stations as ST
+    from ..streaming.upserts import UpsertTable
+    table = UpsertTable(spark, scratch_path(spark, "nowcast"), [*KEY, "ep"])
+    q = (ST.ring_stream(SP.read_messages(spark, "files", path=src, max_files=max_files)).writeStream.outputMode("update")
+         .foreachBatch(ST.nowcast_sink(table)).option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return table.rows()
+
+
+def daily_replay(spark, src: str, max_files: int = 1000) -> DataFrame:
+    """Replay message files through the daily stream; the upserted table."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP, stations as ST
+    from ..streaming.upserts import UpsertTable
+    table = UpsertTable(spark, scratch_path(spark, "days"), [*KEY, "day"])
     delay = SP.replay_delay(spark.read.schema(C.MESSAGE_SCHEMA).json(src))
-    q = (SP.nowcast_stream(SP.read_messages(spark, "files", path=src, max_files=max_files), delay=delay).writeStream
-         .outputMode("update").foreachBatch(SP.upserts(out)).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = (ST.daily_stream(SP.read_messages(spark, "files", path=src, max_files=max_files), delay).writeStream.outputMode("update")
+         .foreachBatch(ST.daily_sink(table)).option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     _nothing_late(q)
-    return SP.read_upserts(spark, out, [*KEY, "ep"])
+    return table.rows()
 
 
 def q_stream_latest(spark, sf_dir):
-    """Latest row per station kept as streaming state; each micro-batch
-    writes only the stations that changed (update mode)."""
+    """Latest row per station kept as streaming state; each micro-batch upserts
+    only the stations that changed, and the table's log is folded."""
     from ..session import scratch_path
     from ..streaming import pipeline as SP
+    from ..streaming.upserts import UpsertTable
     src = _message_files(spark, sf_dir)
-    out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
-
-    latest_q = SP.latest_stream(SP.enrich_stream(SP.read_messages(spark, "files", path=src)))
-    q = (latest_q.writeStream.outputMode("update").foreachBatch(SP.upserts(out))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    table = UpsertTable(spark, scratch_path(spark, "latest"), KEY, fold_every=2)
+    latest_q = SP.latest_stream(SP.enrich_stream(SP.read_messages(spark, "files", path=src, max_files=1)))
+    q = (latest_q.writeStream.outputMode("update").foreachBatch(table.sink())
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return SP.read_upserts(spark, out, KEY).select(*KEY, "ep", "aqi_final", "aqi_category", "pm2_5")
+    return table.rows().select(*KEY, "ep", "aqi_final", "aqi_category", "pm2_5")
 
 
 def q_stream_nowcast(spark, sf_dir):
-    """Sliding-window NowCast (update mode): every window, also those the
-    watermark hasn't closed at the end of the replay."""
-    out = nowcast_replay(spark, _message_files(spark, sf_dir))
-    # a window anchored on an hour that has a reading equals the batch W3 row
-    return (out.filter(F.col("newest") == F.col("ep"))
-            .select(*KEY, "ep", F.col("nowcast").alias("nowcast_pm25")))
+    """NowCast from a ring of 12 hours a station, every reading scored."""
+    return nowcast_replay(spark, _message_files(spark, sf_dir)).select(*KEY, "ep", F.col("nowcast").alias("nowcast_pm25"))
+
+
+def q_stream_daily(spark, sf_dir):
+    """A5 as a stream: daily indices with the days without readings."""
+    return daily_replay(spark, _message_files(spark, sf_dir)).drop("final")
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """P1 in a stream: messages cut off in transit (every seventh hour) and messages without a
+    readable time (every eleventh) go to quarantine, the others are enriched and written."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src, out, serving, bad, counts, ckpt = (scratch_path(spark, n) for n in ("messages", "history", "serving", "quarantine", "counts", "ckpt"))
+    r = readings(spark, sf_dir).withColumn("timestamp", F.when(F.col("ep") % 11 == 0, "no time").otherwise(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm")))
+    text = F.to_json(F.struct(*[f.name for f in C.MESSAGE_SCHEMA.fields]))
+    r.select(F.when(F.col("ep") % 7 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value")).write.text(src)
+    history = SP.history_writer(out, serving)
+    sink = SP.quarantining(lambda rows, batch_id: history(SP.enrich_parsed(rows), batch_id), bad, counts)
+    q = (SP.read_raw(spark, "files", path=src, max_files=2).writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    total = spark.read.parquet(counts).agg(*[F.sum(c).alias(c) for c in ("n_messages", "n_parsed", "n_bad_json", "n_bad_time")])
+    kept = spark.read.parquet(serving).groupBy("region").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("written"))
+    gone = (spark.read.parquet(bad).groupBy(F.concat(F.lit("quarantine "), "reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("region", F.lit(None).cast("string")))
+    counted = total.select(F.lit(None).cast("string").alias("region"), F.inline(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("n")) for c in total.columns])))
+    return kept.unionByName(gone).unionByName(counted)
+
+
+def q_stream_throughput(spark, sf_dir):
+    """F21 in a stream: messages and bytes as the micro-batches report them, summed; the
+    rates go to the listener."""
+    from ..session import scratch_path
+    from ..streaming import pipeline as SP
+    src, out, ckpt = (scratch_path(spark, n) for n in ("messages", "copy", "ckpt"))
+    _messages(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(src)
+    stream = SP.observed(SP.read_raw(spark, "files", path=src, max_files=2))
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    seen = [p.observedMetrics["throughput"] for p in q.recentProgress if "throughput" in p.observedMetrics]
+    return spark.createDataFrame([(sum(s["n_msgs"] for s in seen), sum(s["n_bytes"] for s in seen))], "n_msgs long, total_bytes long")
 
 
 def q_partitioned_sink(spark, sf_dir):
@@ -578,20 +664,33 @@ def q_snapshot_json(spark, sf_dir):
     return back.select(*KEY, "region", "pm2_5", "pm10", F.col("snapshot_minute").cast("string").alias("snapshot_minute"))
 
 
+def _forecast(spark, sf_dir, window: int) -> DataFrame:
+    from ..operators import forecast as FC
+    from ..session import scratch_path
+    split = split_features(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    FC.save(spark, FC.fit(split, window), path)
+    return FC.score_next_24h(FC.load(spark, path), split)
+
+
 def q_forecast_24h(spark, sf_dir):
-    """M2-M5: fit on the train split, evaluate, save + reload, score the next
-    24 hours of every station."""
+    """M2-M5: 15 slopes a horizon fitted on the train split, saved, reloaded, and
+    the next 24 hours of every station scored from its newest row."""
+    return _forecast(spark, sf_dir, 1)
+
+
+def q_forecast_windows_24h(spark, sf_dir):
+    """M4: the same from each station's newest 24 rows, 360 inputs a horizon."""
+    return _forecast(spark, sf_dir, 24)
+
+
+def q_scaling_stats(spark, sf_dir):
+    """M5: the scaling statistics of a saved model, read back as a table."""
     from ..operators import forecast as FC
-    from ..session import materialize, scratch_path
-    # the feature table feeds both training and scoring: compute it once
-    feat = materialize(FE.chronological_split(features(spark, sf_dir)), "features")
-    # the training table is read by the scaler and the solver: write it once
-    train = materialize(FC.horizon_table(feat, written=True).filter(F.col("split") == "train"), "horizons")
-    model = FC.fit(train)
+    from ..session import scratch_path
     path = scratch_path(spark, "model")
-    FC.save(model, path)
-    model = FC.load(path)
-    return FC.score_next_24h(model, feat)
+    FC.save(spark, FC.fit(split_features(spark, sf_dir)), path)
+    return spark.read.parquet(f"{path}/scaling").select("i", "feature", *_r6("mean", "std"))
 
 
 def q_throughput_metrics(spark, sf_dir):
@@ -610,6 +709,7 @@ CATALOG = {
     "dominant_pollutant": q_dominant_pollutant,
     "aqi_sql_functions": q_aqi_sql_functions,
     "aqi_epa_sql_functions": q_aqi_epa_sql_functions,
+    "aqi_vn_sql_functions": q_aqi_vn_sql_functions,
     "rolling_means": q_rolling_means,
     "ozone_8h": q_ozone_8h,
     "daily_aqi": q_daily_aqi,
@@ -624,6 +724,8 @@ CATALOG = {
     "station_history": q_station_history,
     "station_list": q_station_list,
     "last24": q_last24,
+    "sorted_readings": q_sorted_readings,
+    "global_split": q_global_split,
     "station_counts": q_station_counts,
     "null_profile": q_null_profile,
     "numeric_stats": q_numeric_stats,
@@ -633,6 +735,7 @@ CATALOG = {
     "district_time_join": q_district_time_join,
     "factor_corr": q_factor_corr,
     "factor_bins": q_factor_bins,
+    "factor_quantiles": q_factor_quantiles,
     "json_parse": q_json_parse,
     "json_quarantine": q_json_quarantine,
     "nan_readings": q_nan_readings,
@@ -652,10 +755,15 @@ CATALOG = {
     "stream_dedup": q_stream_dedup,
     "stream_latest": q_stream_latest,
     "stream_nowcast": q_stream_nowcast,
+    "stream_daily": q_stream_daily,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_throughput": q_stream_throughput,
     "partitioned_sink": q_partitioned_sink,
     "csv_roundtrip": q_csv_roundtrip,
     "preamble_csv": q_preamble_csv,
     "snapshot_json": q_snapshot_json,
     "forecast_24h": q_forecast_24h,
+    "forecast_windows_24h": q_forecast_windows_24h,
+    "scaling_stats": q_scaling_stats,
     "throughput_metrics": q_throughput_metrics,
 }

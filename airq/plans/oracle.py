@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .oracle_base import (READINGS_CTES, VN_TABLE, WEATHER_CTES, half_up_rounding, health_advice_sql, nowcast_list_sql,
                           nowcast_sql, seq_window, si, vn_category_sql, vn_color_sql, vn_rgb_sql)
+from .oracle_forecast import evaluation_sql, scaling_sql, scoring_sql
 
 HOURLY_CTES = f"""
 {READINGS_CTES.strip()},
@@ -242,6 +243,12 @@ ORACLE.update({
       s AS (SELECT {KEYS}, ep, {si('pm2_5', 'pm25')} AS aqi_pm25, {si('co', 'co')} AS aqi_co,
                    {si('pm2_5', 'pm25', 'epa_pm25')} AS epa_pm25 FROM readings)
       SELECT *, {vn_category_sql('greatest(aqi_pm25, aqi_co)')} AS category FROM s""",
+    "aqi_vn_sql_functions": f"""WITH {READINGS_CTES.strip()},
+      o AS (SELECT *, {O3_8H} AS o3_8h FROM readings),
+      s AS (SELECT {KEYS}, ep, {si('o3', 'o3_1h')} AS aqi_o3, {si('o3_8h', 'o3_8h')} AS aqi_o3_8h, {si('co', 'co')} AS aqi_co, {si('so2', 'so2')} AS aqi_so2,
+                   {si('no2', 'no2')} AS aqi_no2, {si('pm10', 'pm10')} AS aqi_pm10, {si('pm2_5', 'pm25')} AS aqi_pm25 FROM o),
+      g AS (SELECT *, greatest(aqi_o3, aqi_o3_8h, aqi_co, aqi_so2, aqi_no2, aqi_pm10, aqi_pm25) AS aqi FROM s)
+      SELECT *, {vn_category_sql('aqi')} AS category, {vn_color_sql('aqi')} AS color, {health_advice_sql('aqi')} AS advice FROM g""",
     "rolling_means": f"""WITH {READINGS_CTES.strip()}, {AVG_CTE.strip()}
       SELECT {KEYS}, ep, {", ".join(f"round({c}, 6) AS {c}" for c in [w[0] for w in WH])} FROM avgs""",
     "ozone_8h": f"""WITH {READINGS_CTES.strip()}
@@ -316,6 +323,14 @@ ORACLE.update({
       )
       SELECT factor, bin, count(pm2_5) AS n, round(min(pm2_5), 6) AS min, round(avg(pm2_5::DECIMAL(24,6)), 6) AS avg,
              round(max(pm2_5), 6) AS max FROM l GROUP BY factor, bin""",
+    "factor_quantiles": f"""WITH {READINGS_CTES.strip()}, {ALIGN_CTES.strip()},
+      l AS (
+        SELECT pm2_5, 'humidity' AS factor, CAST(floor(relative_humidity_2m / 10) AS BIGINT) AS bin FROM aw WHERE pm2_5 IS NOT NULL
+        UNION ALL SELECT pm2_5, 'rain', CAST(rain > 0 AS BIGINT) FROM aw WHERE pm2_5 IS NOT NULL
+        UNION ALL SELECT pm2_5, 'wind', CAST(floor(wind_speed_10m / 5) AS BIGINT) FROM aw WHERE pm2_5 IS NOT NULL
+        UNION ALL SELECT pm2_5, 'direction', CAST(floor(wind_direction_10m / 45) AS BIGINT) FROM aw WHERE pm2_5 IS NOT NULL
+      )
+      SELECT factor, bin, count(pm2_5) AS n, quantile_disc(pm2_5, 0.5) AS median, quantile_disc(pm2_5, 0.9) AS p90 FROM l GROUP BY factor, bin""",
     "json_parse": f"""WITH {READINGS_CTES.strip()}
       SELECT {KEYS}, region, epoch_us(event_time) AS event_us, {", ".join(POLS)} FROM readings""",
     "encode_messages": f"""WITH {READINGS_CTES.strip()}
@@ -425,23 +440,10 @@ ORACLE.update({
       FROM events LEFT JOIN customer ON user_id = c_custkey""",
     "inverse_scaled": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()}
       SELECT {KEYS}, ep, {", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in FEATS + ["aqi"])} FROM feat""",
-    "forecast_eval": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()},
-      sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY {KEYS} ORDER BY ep)
-                           <= floor(count(*) OVER (PARTITION BY {KEYS}) * 0.8) THEN 'train' ELSE 'test' END AS split FROM feat),
-      n AS (SELECT *, row_number() OVER (PARTITION BY {KEYS}, split ORDER BY ep) AS rn FROM sp),
-      lng AS (SELECT t.split, h.h, t.aqi AS x1, t.aqi_lag24 AS x2, y.aqi AS y, s.aqi AS seasonal
-              FROM n t JOIN (SELECT unnest(range(1, 25)) AS h) h ON TRUE
-              JOIN n y ON y.province = t.province AND y.district = t.district AND y.split = t.split AND y.rn = t.rn + h.h
-              LEFT JOIN n s ON s.province = t.province AND s.district = t.district AND s.split = t.split AND s.rn = t.rn + h.h - 24),
-      m AS (SELECT h, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS v12,
-                   covar_pop(x1, y) AS v1y, covar_pop(x2, y) AS v2y FROM lng WHERE split = 'train' GROUP BY h),
-      bc AS (SELECT *, CASE WHEN v1 * v2 - v12 * v12 > 1e-9 * v1 * v2 THEN v1 * v2 - v12 * v12 END AS det FROM m),
-      f AS (SELECT *, coalesce((v1y * v2 - v2y * v12) / det, 0.0) AS b, coalesce((v2y * v1 - v1y * v12) / det, 0.0) AS c FROM bc),
-      t AS (SELECT l.*, (my - b * m1 - c * m2) + b * x1 + c * x2 AS p FROM lng l JOIN f USING (h) WHERE split = 'test' AND seasonal IS NOT NULL)
-      SELECT h::INT AS h, count(*) AS n, round(avg(abs(p - y)), 4) AS mae, round(avg((p - y) * (p - y)), 4) AS mse,
-             round(avg(abs(x1 - y)), 4) AS mae_persistence, round(avg((x1 - y) * (x1 - y)), 4) AS mse_persistence,
-             round(avg(abs(seasonal - y)), 4) AS mae_seasonal, round(avg((seasonal - y) * (seasonal - y)), 4) AS mse_seasonal
-      FROM t GROUP BY h""",
+    "forecast_eval": evaluation_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS),
+    "forecast_24h": scoring_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS, 1),
+    "forecast_windows_24h": scoring_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS, 24),
+    "scaling_stats": scaling_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS),
 })
 
 STREAM_CTES = f"""
@@ -470,6 +472,23 @@ ORACLE.update({
       l AS (SELECT *, {nowcast_list_sql('pm2_5')} AS __l_pm2_5 FROM readings),
       n AS (SELECT *, {nowcast_sql('pm2_5')} AS nowcast_pm25 FROM l)
       SELECT {KEYS}, ep, nowcast_pm25 FROM n""",
+    "stream_daily": DAILY_SQL,
+    "stream_quarantine": f"""WITH {READINGS_CTES.strip()},
+      r AS (SELECT *, CASE WHEN ep % 7 = 0 THEN 'n_bad_json' WHEN ep % 11 = 0 THEN 'n_bad_time' ELSE 'n_parsed' END AS fate FROM readings)
+      SELECT region, count(*) AS n, 'written' AS kind FROM r WHERE fate = 'n_parsed' AND (pm2_5 IS NOT NULL OR pm10 IS NOT NULL) GROUP BY region
+      UNION ALL SELECT NULL, count(*), CASE fate WHEN 'n_bad_json' THEN 'quarantine json' ELSE 'quarantine time' END FROM r WHERE fate <> 'n_parsed' GROUP BY fate
+      UNION ALL SELECT NULL, count(*), fate FROM r GROUP BY fate UNION ALL SELECT NULL, count(*), 'n_messages' FROM r""",
+    "stream_throughput": f"""WITH {READINGS_CTES.strip()}
+      SELECT count(*) AS n_msgs, CAST(sum(strlen(CAST(to_json({{'province': province, 'district': district,
+               'region': region, 'lat': lat, 'lon': lon, 'timestamp': strftime(event_time, '%Y-%m-%dT%H:%M'),
+               'pm2_5': pm2_5, 'pm10': pm10, 'o3': o3, 'no2': no2, 'so2': so2, 'co': co}}) AS VARCHAR))) AS BIGINT)
+             AS total_bytes
+      FROM readings""",
+    "sorted_readings": f"""WITH {READINGS_CTES.strip()}
+      SELECT {KEYS}, ep, pm2_5, row_number() OVER (ORDER BY province, district, ep) AS position FROM readings""",
+    "global_split": f"""WITH {READINGS_CTES.strip()}, p AS (
+        SELECT {KEYS}, ep, pm2_5, row_number() OVER (ORDER BY ep, province, district) AS position, count(*) OVER () AS n FROM readings)
+      SELECT *, CASE WHEN position <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS split FROM p""",
     "throughput_metrics": f"""WITH {READINGS_CTES.strip()}
       SELECT count(*) AS n_msgs, CAST(sum(strlen(CAST(to_json({{'province': province, 'district': district,
                'region': region, 'lat': lat, 'lon': lon, 'timestamp': strftime(event_time, '%Y-%m-%dT%H:%M'),

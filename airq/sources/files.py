@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,28 +68,49 @@ def read_station_files(spark: SparkSession, paths, schema: T.StructType | None =
                            "city": F.regexp_extract(name, r"_([^_]*)$", 1)})
 
 
+def _without_first_lines(n: int, file: str, offset: str):
+    """A function over Arrow batches that drops the first ``n`` lines of every file.
+
+    Rows of a split come in file order, and a split at offset 0 begins with its file's first
+    lines; a task may read several splits, one after the other.  (Made here, it travels
+    to the workers by value.)"""
+    def run(batches):
+        split, left = None, 0
+        for batch in batches:
+            path, start = batch.column(file), batch.column(offset)
+            size = len(batch)
+            if not size:
+                continue
+            code = pc.dictionary_encode(path).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            at = start.to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((code[1:] != code[:-1]) | (at[1:] != at[:-1])) + 1
+            keep = np.ones(size, bool)
+            for a, b in zip([0, *turns], [*turns, size]):
+                own = (path[int(a)].as_py(), int(at[a]))
+                if own != split:
+                    split, left = own, n if own[1] == 0 else 0
+                k = min(left, b - a)
+                keep[a:a + k] = False
+                left -= k
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
 def read_preamble_csv(spark: SparkSession, path: str, header_index: int, schema: T.StructType) -> DataFrame:
     """CSV files whose header sits at line ``header_index`` after some
     metadata lines; the lines after the header are the rows.
 
-    Read line by line, in parallel (large files are split like any text
-    file).  A line's position is its ``monotonically_increasing_id``, which
-    counts consecutively within a partition; the metadata lines sit at the
-    start of each file, i.e. in its split at offset 0.  One small aggregate
-    (a row per file) gives each file's first position; lines up to the header
-    are dropped, the rest are parsed with ``from_csv``.  Partition folders
-    (``key=value``) under ``path`` come back as columns."""
+    One scan, line by line and in parallel (large files are split like any text
+    file).  Every line knows its split's file and offset; the metadata lines and the header are the
+    first lines of the split at offset 0 (which must hold them all) and are dropped as the lines
+    pass, the rest is parsed with ``from_csv``.  Partition folders (``key=value``) under
+    ``path`` come back as columns."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    lines = (spark.read.text(path)
-             .withColumns({"__file": F.col("_metadata.file_path"),
-                           "__first_split": F.col("_metadata.file_block_start") == 0,
-                           "__pos": F.monotonically_increasing_id()}))
-    starts = (lines.filter("__first_split").groupBy("__file")
-              .agg(F.min("__pos").alias("__start")))
-    body = (lines.join(starts, "__file", "left")
-            .filter(~F.col("__first_split") | (F.col("__pos") > F.col("__start") + header_index))
-            .filter(F.length("value") > 0))
-    extra = [c for c in body.columns if c not in ("value", "__file", "__first_split", "__pos", "__start")]
+    lines = spark.read.text(path)
+    extra = [c for c in lines.columns if c != "value"]
+    lines = lines.select("value", *extra, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__offset"))
+    body = lines.mapInArrow(_without_first_lines(header_index + 1, "__file", "__offset"), lines.schema).filter(F.length("value") > 0)
     return body.select(F.from_csv("value", ddl).alias("__r"), *extra).select("__r.*", *extra)
 
 

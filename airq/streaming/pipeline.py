@@ -7,12 +7,15 @@ part of the local image, so tests replay the same JSON messages from files
 
 from __future__ import annotations
 
+import time
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import aqi as A
 from ..operators import clean as C
-from ..operators.rolling import nowcast_12h_expr
 from ..sources.adapter import STATION_KEY, epoch_hour
 
 
@@ -56,14 +59,65 @@ def read_messages(spark: SparkSession, kind: str, **opts) -> DataFrame:
     raise ValueError(kind)
 
 
+def read_raw(spark: SparkSession, kind: str, **opts) -> DataFrame:
+    """The same source before parsing: the message text as ``value``."""
+    if kind == "kafka":
+        return spark.readStream.format("kafka").options(**opts).load().select("value")
+    if kind == "files":
+        return spark.readStream.option("maxFilesPerTrigger", opts.get("max_files", 1000)).text(opts["path"])
+    raise ValueError(kind)
+
+
+def quarantining(writer, quarantine_path: str, counts_path: str):
+    """A foreachBatch function over raw messages.  Messages that are no JSON object
+    (reason 'json') or have no readable time ('time') go to a quarantine folder with
+    their text; ``writer(parsed rows with event_time, batch id)`` gets the others.  One row per batch
+    counts all three, so no message is lost without a count.  A batch that runs again replaces
+    what it wrote."""
+    def write(batch: DataFrame, batch_id: int):
+        text = F.col("value").cast("string")
+        no_json = F.try_parse_json(text).isNull() | ~F.coalesce(text.startswith("{"), F.lit(False))
+        d = batch.select(text.alias("raw"), no_json.alias("no_json"), F.from_json(text, C.MESSAGE_SCHEMA).alias("d"))
+        d = d.withColumn("event_time", F.col("d.timestamp").try_cast("timestamp_ntz"))
+        d = d.withColumn("reason", F.when(F.col("no_json"), "json").when(F.col("event_time").isNull(), "time")).persist()
+        try:
+            bad = d.filter(F.col("reason").isNotNull()).select("raw", "reason")
+            bad.coalesce(FILES).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+            (d.agg(F.count(F.lit(1)).alias("n_messages"), F.count_if(F.col("reason").isNull()).alias("n_parsed"),
+                   F.count_if(F.col("reason") == "json").alias("n_bad_json"), F.count_if(F.col("reason") == "time").alias("n_bad_time"))
+             .write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}"))
+            writer(d.filter(F.col("reason").isNull()).select("d.*", "event_time").drop("timestamp"), batch_id)
+        finally:
+            d.unpersist()
+
+    return write
+
+
 def enrich_stream(msgs: DataFrame) -> DataFrame:
     """Parse time, keep rows with a PM value, passthrough NowCast (W6),
     sub-indices, overall index, labels, ingestion stamp (P15)."""
-    df = C.parse_event_time(msgs).drop("timestamp")
+    return enrich_parsed(C.parse_event_time(msgs).drop("timestamp"))
+
+
+def enrich_parsed(df: DataFrame) -> DataFrame:
+    """`enrich_stream` behind the time parse."""
     df = A.enrich(df, nowcast="passthrough")
     return df.withColumn("ep", epoch_hour("event_time")).withColumn("ingested_at", F.current_timestamp())
 
 
+FILES = 4   # files a batch writes into one day's folder, at most
+
+
+def clustered(df: DataFrame, *folders: str) -> DataFrame:
+    """``df`` dealt by its output folders, each to ``FILES`` tasks by station, so that a
+    batch writes a few files a folder (not one per task) and a full folder still has
+    several writers."""
+    return df.repartition(*folders, F.pmod(F.xxhash64(*STATION_KEY), F.lit(FILES)))
+
+
+DAY_FOLDERS = ("region", "year", "month", "day")
+
+
 def history_writer(out_path: str, serving_path: str):
     """One foreachBatch feeding both sinks.
 
@@ -78,8 +132,8 @@ def history_writer(out_path: str, serving_path: str):
                 return
             hist = b.withColumns({"year": F.year("event_time"), "month": F.month("event_time"),
                                   "day": F.dayofmonth("event_time")})
-            (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("region", "year", "month", "day", "batch_id").parquet(out_path))
+            (clustered(hist, *DAY_FOLDERS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*DAY_FOLDERS, "batch_id").parquet(out_path))
             # serving copy (the JDBC table in production; see sources.jdbc)
             (b.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(serving_path))
@@ -118,22 +172,6 @@ def late_rows(query) -> int:
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
-def upserts(path: str):
-    """foreachBatch sink for update mode: every micro-batch adds its changed rows
-    under its own batch id, and a replayed batch replaces its own files."""
-    def write(batch: DataFrame, epoch_id: int):
-        (batch.withColumn("batch_id", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-    return write
-
-
-def read_upserts(spark: SparkSession, path: str, key) -> DataFrame:
-    """The newest version of every key that ``upserts`` has written."""
-    df = spark.read.parquet(path)
-    cols = [c for c in df.columns if c not in (*key, "batch_id")]
-    return df.groupBy(*key).agg(F.max_by(F.struct(*cols), "batch_id").alias("r")).select(*key, "r.*")
-
-
 def dedup_stream(msgs: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Drop repeated (station, hour) messages, keeping the state of ``delay``.
 
@@ -145,28 +183,6 @@ def dedup_stream(msgs: DataFrame, delay: str = "2 hours") -> DataFrame:
             .drop("event_ts"))
 
 
-def nowcast_stream(msgs: DataFrame, src: str = "pm2_5", delay: str = "2 hours") -> DataFrame:
-    """12-hour NowCast per station over sliding event-time windows
-    (12 h long, 1 h slide) -- the stateful form of W3, no Python state.
-
-    A window [s, s+12h) scores its newest hour s+11h; the 2-of-3 rule is
-    applied to the three newest hours of the window.  A window's state is the
-    set of its distinct (hour, value) readings, so repeated messages add
-    nothing; of several readings of one hour the largest counts.  Meant for
-    update mode (``upserts``): a window is emitted when it changes, none waits
-    for the watermark."""
-    df = with_event_ts(C.parse_event_time(msgs)).withColumn("ep", epoch_hour("event_time"))
-    v = C.present(src)
-    pt = F.when(v.isNotNull(), F.struct(F.col("ep").alias("e"), v.alias("v")))
-    g = (df.withWatermark("event_ts", delay)
-         .groupBy(*STATION_KEY, F.window("event_ts", "12 hours", "1 hour").alias("w"))
-         .agg(F.collect_set(pt).alias("pts"), F.max("ep").alias("newest")))
-    t = epoch_hour(F.col("w.end").cast("timestamp_ntz")) - 1
-    pts = F.sort_array("pts", asc=False)
-    one = F.filter(pts, lambda p, i: (i == 0) | (F.get(pts, i - 1)["e"] != p["e"]))
-    return g.select(*STATION_KEY, t.alias("ep"), "newest", nowcast_12h_expr(one, t).alias("nowcast"))
-
-
 def latest_stream(enriched: DataFrame) -> DataFrame:
     """Live latest row per station (``max_by`` keeps one row per key in
     state; ties on time are broken by ingestion time)."""
@@ -189,8 +205,8 @@ def run_two_queries(spark: SparkSession, src: str, out_path: str, serving_path:
             return
         hist = batch.withColumns({"batch_id": F.lit(epoch_id), "year": F.year("event_time"),
                                   "month": F.month("event_time"), "day": F.dayofmonth("event_time")})
-        (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("region", "year", "month", "day", "batch_id").parquet(out_path))
+        (clustered(hist, *DAY_FOLDERS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*DAY_FOLDERS, "batch_id").parquet(out_path))
 
     def serving(batch, epoch_id):
         if batch.isEmpty():
@@ -208,3 +224,58 @@ def run_two_queries(spark: SparkSession, src: str, out_path: str, serving_path:
 def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
     """T5: block until any active query stops (or the timeout passes)."""
     return spark.streams.awaitAnyTermination(timeout_s) if timeout_s else spark.streams.awaitAnyTermination()
+
+
+def run_on_clock(stream: DataFrame, sink, ckpt: str, every: str):
+    """``stream`` into a foreachBatch sink, a micro-batch every ``every`` (e.g. '60 seconds')."""
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(processingTime=every).start()
+
+
+def stop_gracefully(query, timeout_s: float = 60.0, poll_s: float = 0.1) -> bool:
+    """Stop a query between two micro-batches: wait until it has nothing to do, at most
+    ``timeout_s``.  True if it was idle; either way the checkpoint says where to go on."""
+    end = time.monotonic() + timeout_s
+    idle = False
+    while query.isActive and not idle and time.monotonic() < end:
+        s = query.status
+        idle = not s["isTriggerActive"] and not s["isDataAvailable"]
+        if not idle:
+            time.sleep(poll_s)
+    query.stop()
+    return idle
+
+
+def observed(df: DataFrame, name: str = "throughput", value_col: str = "value") -> DataFrame:
+    """counts messages and bytes of every micro-batch as they pass, without a job of its own."""
+    return df.observe(name, F.count(F.lit(1)).alias("n_msgs"), F.coalesce(F.sum(F.octet_length(value_col)), F.lit(0)).alias("n_bytes"))
+
+
+class RateListener(StreamingQueryListener):
+    """a row (query id, batch id, messages, bytes, seconds, messages a second, MB a second)
+    per micro-batch of every query that passes through `observed`.  ``keep`` rows are
+    held for inspection; ``report`` gets each one."""
+
+    def __init__(self, name: str = "throughput", report=None, keep: int = 1000):
+        self.name, self.report, self.rows = name, report, deque(maxlen=keep)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        seen = p.observedMetrics.get(self.name)
+        if seen is None or not seen["n_msgs"]:
+            return
+        seconds = p.batchDuration / 1000
+        rate = lambda x: x / seconds if seconds else None
+        row = {"query": str(p.id), "batch_id": p.batchId, "n_msgs": seen["n_msgs"], "n_bytes": seen["n_bytes"], "seconds": seconds,
+               "msgs_per_second": rate(seen["n_msgs"]), "mb_per_second": rate(seen["n_bytes"] / 1e6)}
+        self.rows.append(row)
+        if self.report:
+            self.report(row)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from airq.functions.labels import vn_rgb
 from airq.operators import clean as C
 from airq.operators import features as FE
-from airq.operators import forecast as FC
 from airq.operators import profile as P
 from airq.operators import rolling as R
 
@@ -69,20 +68,3 @@ def test_inverse_scaling(spark):
     df = spark.createDataFrame([(float(i), 4.0) for i in range(5)], "x double, k double")
     back = FE.inverse_standardize(FE.standardize(df, ["x", "k"], "_z").drop("x", "k"), df, {"x_z": "x", "k_z": "k"})
     assert sorted((round(r.x, 9), r.k) for r in back.collect()) == [(float(i), 4.0) for i in range(5)]
-
-
-def test_horizons_have_their_own_lines(spark):
-    """y(t + h) of a daily cycle: each horizon gets its own slopes, and the
-    fitted lines beat persistence and match yesterday's value."""
-    rows = [("p", "d", t, 50 + 40 * math.sin(2 * math.pi * t / 24), 50 + 40 * math.sin(2 * math.pi * (t - 24) / 24)) for t in range(24 * 60)]
-    split = FE.chronological_split(spark.createDataFrame(rows, "province string, district string, ep long, aqi double, aqi_lag24 double"))
-    fitted = FC.horizon_coefficients(FC.horizon_rows(split).filter("split = 'train'")).collect()
-    assert len(fitted) == 24
-    noisy = split.withColumn("aqi", F.col("aqi") + F.pmod(F.xxhash64("ep"), F.lit(100)) / 50)
-    noisy = noisy.withColumn("aqi_lag24", F.col("aqi_lag24") + F.pmod(F.xxhash64(F.col("ep") - 24), F.lit(100)) / 50)
-    ev = {r.h: r for r in FC.evaluate_horizons(noisy).collect()}
-    assert len(ev) == 24
-    slopes = {round(r.b + r.c, 3) for r in FC.horizon_coefficients(FC.horizon_rows(noisy).filter("split = 'train'")).collect()}
-    assert len(slopes) > 5
-    assert all(r.mae <= r.mae_persistence + 1e-6 for r in ev.values()) and ev[12].mae < 0.7 * ev[12].mae_persistence
-    assert ev[24].mae_seasonal == ev[24].mae_persistence

@@ -13,11 +13,11 @@ from airq.plans.plan_report import final_plan, nodes
 from .conftest import SF_SMALL
 
 BAD = ["BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"]
-REPLAYS = {"stream_enrich", "stream_dedup", "stream_latest", "stream_nowcast"}
+REPLAYS = {"stream_enrich", "stream_dedup", "stream_latest", "stream_nowcast", "stream_daily", "stream_quarantine", "stream_throughput"}
 # the air and weather stand-ins are two aggregations of events (two sources in a
 # real deployment): these queries read events once for each
 TWO_SOURCES = {"single_station_join", "district_time_join", "factor_corr", "factor_bins", "air_weather_join", "lag_features", "scaled_features",
-               "inverse_scaled", "sequence_windows", "naive_forecast_error", "future_spine", "forecast_24h", "forecast_eval"}
+               "inverse_scaled", "sequence_windows", "naive_forecast_error", "future_spine", "forecast_24h", "forecast_eval", "forecast_windows_24h", "scaling_stats", "factor_quantiles"}
 
 
 @pytest.fixture

@@ -60,6 +60,33 @@ def test_station_files_and_preamble(spark, tmpdir_path):
     assert (got.district, got.city) == ("Ba Dinh", "Ha Noi")
 
 
+def test_preamble_files_in_many_splits(spark, tmpdir_path):
+    """Files cut into splits, several splits in a task: each file loses its own first lines, in one scan."""
+    import re
+
+    d = os.path.join(tmpdir_path, "long")
+    os.makedirs(d)
+    want = []
+    for k in range(3):
+        rows = [(f"t{i}", float(1000 * k + i)) for i in range(400 if k else 2)]
+        want += rows
+        with open(os.path.join(d, f"s{k}.csv"), "w") as f:
+            f.write("latitude,longitude\n21.0,105.8\n\ntime,pm10\n" + "".join(f"{t},{v}\n" for t, v in rows))
+    schema = T.StructType([T.StructField("time", T.StringType()), T.StructField("pm10", T.DoubleType())])
+    for size, cost in (("600", "0"), ("2000", "100"), ("128m", "4m")):
+        old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        try:
+            df = FS.read_preamble_csv(spark, d, 3, schema)
+            assert sorted(map(tuple, df.collect())) == sorted(want)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall("FileScan text", plan)) == 1 and "monotonically" not in plan
+        finally:
+            for c, v in old.items():
+                spark.conf.set(c, v)
+
+
 def test_sampled_schema_and_parse(spark):
     # A NULL field in the sample infers as STRING, an integral as BIGINT
     sample = json.dumps({"district": "A", "pm2_5": None, "k": 3})

@@ -40,11 +40,11 @@ def test_two_queries_and_await_any(spark):
 
 
 def test_stream_nowcast_ignores_repeated_messages(spark):
-    """Every message delivered twice: the windows see one reading per
+    """Every message delivered twice: the ring sees one reading per
     station-hour, so the NowCast equals the single-delivery run."""
     def run(copies):
         out = CAT.nowcast_replay(spark, CAT._message_files(spark, SF_SMALL, copies=copies))
-        return sorted(tuple(r) for r in out.select("province", "district", "ep", "newest", "nowcast").collect())
+        return sorted((tuple(r) for r in out.select("province", "district", "ep", "nowcast").collect()), key=repr)
     once = run(1)
     assert once and run(2) == once
 
@@ -55,7 +55,7 @@ def test_replays_keep_every_row_whatever_the_files(spark):
     spark.read.text(CAT._message_files(spark, SF_SMALL)).repartition(16).write.text(src)
     n = CAT.readings(spark, SF_SMALL).count()
     assert spark.read.parquet(CAT.dedup_replay(spark, src, max_files=4)).count() == n
-    got = CAT.nowcast_replay(spark, src, max_files=4).filter("newest = ep").select("province", "district", "ep", "nowcast")
+    got = CAT.nowcast_replay(spark, src, max_files=4).select("province", "district", "ep", "nowcast")
     want = CAT.q_nowcast_pm25(spark, SF_SMALL).select("province", "district", "ep", "nowcast_pm25")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
