@@ -28,13 +28,3 @@ def round_binary_half_even(x: Column, digits: int) -> Column:
            .otherwise(F.when(F.pmod(fl, F.lit(2.0)) == 0, fl).otherwise(fl + 1)))
     r = F.when(frac > 0.5, fl + 1).when(frac < 0.5, fl).otherwise(tie)
     return F.when(x.isNull() | F.isnan(x), x).otherwise(r / s)
-
-
-def round_binary_half_even_sql(x: str, digits: int) -> str:
-    """DuckDB form: exact decimal expansion of the double, then half-even."""
-    d = f"CAST(format('{{:.30f}}', ({x})::DOUBLE) AS DECIMAL(38,30))"
-    t = f"({d} * {10 ** digits})"
-    fl = f"floor({t})"
-    return (f"(CASE WHEN ({x}) IS NULL THEN NULL ELSE CAST(CASE WHEN {t} - {fl} > 0.5 THEN {fl} + 1 "
-            f"WHEN {t} - {fl} < 0.5 THEN {fl} WHEN {fl} % 2 = 0 THEN {fl} ELSE {fl} + 1 END AS DOUBLE) "
-            f"/ {float(10 ** digits)} END)")

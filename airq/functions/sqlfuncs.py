@@ -18,8 +18,8 @@ def definitions() -> dict:
         rtype = "INT" if PROFILES[prof].rounding == "int" else "DOUBLE"
         for pol in PROFILES[prof].pollutants:
             name = f"airq_{short}_{pol.replace('_1h', '').replace('_8h', '8h')}"
-            defs[name] = ("c DOUBLE", rtype, sub_index_sql("c", pol, prof, dialect="spark"))
-    defs["airq_epa_pm25_cont"] = ("c DOUBLE", "DOUBLE", sub_index_sql("c", "pm25", "epa_pm25", dialect="spark"))
+            defs[name] = ("c DOUBLE", rtype, sub_index_sql("c", pol, prof))
+    defs["airq_epa_pm25_cont"] = ("c DOUBLE", "DOUBLE", sub_index_sql("c", "pm25", "epa_pm25"))
     defs["airq_vn_category"] = ("a INT", "STRING", vn_category_sql("a"))
     defs["airq_vn_color"] = ("a INT", "STRING", vn_color_sql("a"))
     defs["airq_health_advice"] = ("a INT", "STRING", health_advice_sql("a"))

@@ -2,8 +2,7 @@
 
 ``sub_index(col, pollutant, profile)`` returns a Spark Column built from a
 ``when`` chain, so it stays inside whole-stage codegen (no Python worker).
-``sub_index_sql`` renders the very same rule as SQL text; it is used to
-register SQL functions in Spark and by the DuckDB oracle.
+``sub_index_sql`` renders the same rule as SQL text, for SQL functions in Spark.
 """
 
 from __future__ import annotations
@@ -81,52 +80,50 @@ def overall_index(*cols) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# SQL rendering (Spark SQL functions and the DuckDB oracle share it)
+# SQL rendering, for Spark SQL functions
 # ---------------------------------------------------------------------------
 
-def _dbl(v: float, dialect: str) -> str:
-    text = repr(float(v))
-    return f"{text}D" if dialect == "spark" else f"CAST('{text}' AS DOUBLE)"
+def _dbl(v: float) -> str:
+    return f"{float(v)!r}D"
 
 
-def _sql_round(x: str, rounding: str | None, dialect: str) -> str:
-    fn = "bround" if dialect == "spark" else "round_even"
+def _sql_round(x: str, rounding: str | None) -> str:
     if rounding == "int":
-        return f"CAST({fn}({x}, 0) AS INT)"
+        return f"CAST(bround({x}, 0) AS INT)"
     if rounding == "float":
-        return f"{fn}({x}, 0)"
+        return f"bround({x}, 0)"
     return x
 
 
-def _sql_lit(v, rounding, dialect):
+def _sql_lit(v, rounding):
     if v is None:
         return "CAST(NULL AS INT)" if rounding == "int" else "CAST(NULL AS DOUBLE)"
-    return str(int(v)) if rounding == "int" else _dbl(v, dialect)
+    return str(int(v)) if rounding == "int" else _dbl(v)
 
 
-def sub_index_sql(c: str, pollutant: str, profile: str = "vn_stream", dialect: str = "duckdb") -> str:
+def sub_index_sql(c: str, pollutant: str, profile: str = "vn_stream") -> str:
     if profile == "epa_pm25":
         parts = []
         for hi, num, den, c0, i0 in EPA_PM25_CASCADE:
-            val = f"{_dbl(num / den, dialect)} * ({c} - {_dbl(c0, dialect)}) + {_dbl(i0, dialect)}"
-            parts.append(f"WHEN {c} <= {_dbl(hi, dialect)} THEN {val}")
+            val = f"{_dbl(num / den)} * ({c} - {_dbl(c0)}) + {_dbl(i0)}"
+            parts.append(f"WHEN {c} <= {_dbl(hi)} THEN {val}")
         return (f"(CASE WHEN {c} IS NULL THEN CAST(NULL AS DOUBLE) {' '.join(parts)} "
-                f"ELSE {_dbl(EPA_PM25_TOP_VALUE, dialect)} END)")
+                f"ELSE {_dbl(EPA_PM25_TOP_VALUE)} END)")
     p = PROFILES[profile]
     r = p.rounding
-    parts = [f"WHEN {c} IS NULL THEN {_sql_lit(p.null, r, dialect)}"]
+    parts = [f"WHEN {c} IS NULL THEN {_sql_lit(p.null, r)}"]
     if p.zero is not None:
-        parts.append(f"WHEN {c} = 0 THEN {_sql_lit(p.zero, r, dialect)}")
+        parts.append(f"WHEN {c} = 0 THEN {_sql_lit(p.zero, r)}")
     if p.negative != "segments":
-        parts.append(f"WHEN {c} < 0 THEN {_sql_lit(p.negative, r, dialect)}")
+        parts.append(f"WHEN {c} < 0 THEN {_sql_lit(p.negative, r)}")
     for s in segments_for(profile, pollutant):
-        lo, hi = _dbl(s.lo, dialect), _dbl(s.hi, dialect)
+        lo, hi = _dbl(s.lo), _dbl(s.hi)
         if p.closed == "left":
-            val = (f"({c} - {lo}) * {_dbl(s.ihi - s.ilo, dialect)} / {_dbl(s.hi - s.lo, dialect)}"
-                   f" + {_dbl(s.ilo, dialect)}")
+            val = (f"({c} - {lo}) * {_dbl(s.ihi - s.ilo)} / {_dbl(s.hi - s.lo)}"
+                   f" + {_dbl(s.ilo)}")
             cond = f"{c} >= {lo} AND {c} < {hi}"
         else:
-            val = f"{_dbl(s.slope, dialect)} * ({c} - {lo}) + {_dbl(s.ilo, dialect)}"
+            val = f"{_dbl(s.slope)} * ({c} - {lo}) + {_dbl(s.ilo)}"
             cond = f"{c} >= {lo} AND {c} <= {hi}"
-        parts.append(f"WHEN {cond} THEN {_sql_round(val, r, dialect)}")
-    return f"(CASE {' '.join(parts)} ELSE {_sql_lit(p.above, r, dialect)} END)"
+        parts.append(f"WHEN {cond} THEN {_sql_round(val, r)}")
+    return f"(CASE {' '.join(parts)} ELSE {_sql_lit(p.above, r)} END)"

@@ -58,7 +58,7 @@ def infer_schema(msgs: DataFrame, value_col: str = "value", fraction: float = 1.
     if not text or not text.startswith("OBJECT<"):
         return T.StructType()
     ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", text.replace("OBJECT<", "STRUCT<"))
-    return T._parse_datatype_string(re.sub(r"\bVOID\b|\bVARIANT\b", "STRING", ddl))
+    return T.StructType.fromDDL(re.sub(r"\bVOID\b|\bVARIANT\b", "STRING", ddl))
 
 
 def parse_event_time(df: DataFrame, src: str = "timestamp", out: str = "event_time") -> DataFrame:

@@ -420,13 +420,15 @@ def q_scaled_features(spark, sf_dir):
 
 
 def q_inverse_scaled(spark, sf_dir):
-    """standardised and turned back."""
+    """features standardised and turned back, and a forecast made in standardised
+    units (the mean of the values one and 24 rows before) turned back to the target's."""
     from ..session import materialize
     feat = materialize(features(spark, sf_dir), "features")
     cols = [*FE.FEATURES, "aqi"]
-    z = FE.standardize(feat, cols, suffix="_z")
+    z = FE.standardize(feat, cols, suffix="_z").withColumn("forecast_z", (F.col("aqi_lag1_z") + F.col("aqi_lag24_z")) / 2)
     back = FE.inverse_standardize(z, feat, {f"{c}_z": c for c in cols})
-    return back.select(*KEY, "ep", *_r6(*cols))
+    target = FE.inverse_standardize(z.select(*KEY, "ep", "forecast_z"), feat, {"forecast_z": "aqi"}).withColumnRenamed("aqi", "forecast")
+    return back.join(target, [*KEY, "ep"]).select(*KEY, "ep", *_r6(*cols, "forecast"))
 
 
 def split_features(spark, sf_dir) -> DataFrame:

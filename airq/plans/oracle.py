@@ -438,8 +438,11 @@ ORACLE.update({
       SELECT {KEYS}, day, ep, pm2_5 FROM m WHERE pm2_5 = top""",
     "unmatched_events": """SELECT count(*) AS n_events, count(CASE WHEN c_custkey IS NULL THEN 1 END) AS n_unmatched
       FROM events LEFT JOIN customer ON user_id = c_custkey""",
-    "inverse_scaled": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()}
-      SELECT {KEYS}, ep, {", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in FEATS + ["aqi"])} FROM feat""",
+    "inverse_scaled": f"""WITH {READINGS_CTES.strip()}, {FEATURE_CTES.strip()},
+      st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in ("aqi_lag1", "aqi_lag24", "aqi"))} FROM feat)
+      SELECT {KEYS}, ep, {", ".join(f"round({c}::DOUBLE, 6) AS {c}" for c in FEATS + ["aqi"])},
+        round(((aqi_lag1 - m_aqi_lag1) / s_aqi_lag1 + (aqi_lag24 - m_aqi_lag24) / s_aqi_lag24) / 2 * s_aqi + m_aqi, 6) AS forecast
+      FROM feat, st""",
     "forecast_eval": evaluation_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS),
     "forecast_24h": scoring_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS, 1),
     "forecast_windows_24h": scoring_sql(READINGS_CTES.strip(), FEATURE_CTES.strip(), FEATS, KEYS, 24),
