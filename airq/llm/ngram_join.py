@@ -246,13 +246,13 @@ def _compare_chunks(percent: int):
         index, of = np.unique(index[common], return_inverse=True)[1], of[common]
         left = np.flatnonzero(own == i)
         right = left if i == j else np.flatnonzero(own == j)
-        shared = np.zeros((len(left), len(right)), np.float32)
+        shared = np.zeros((len(left), len(right)), np.int64)
         width = int(index.max()) + 1 if len(index) else 0
         for a in range(0, width, 4096):
             part = (index >= a) & (index < a + 4096)
             x = np.zeros((len(fp), min(4096, width - a)), np.float32)
             x[of[part], index[part] - a] = 1
-            shared += x[left] @ x[right].T
+            shared += (x[left] @ x[right].T).astype(np.int64)    # counts up to 4096 are exact in float32
         ok = _linked(shared, n[left][:, None], n[right][None, :], percent)
         comp = table["comp"].to_numpy()
         group = {}

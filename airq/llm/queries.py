@@ -175,6 +175,18 @@ def share_code(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(p for p in (root, env.get("PYTHONPATH")) if p)
 
 
+ARROW_BYTES = 8 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to and from Python workers in Arrow batches of about ``ARROW_BYTES`` (Spark's
+    default of 10,000 rows and 64 MB is held several times over, in the JVM and in
+    the worker).  A limit that the application was configured with stays."""
+    if not spark.sparkContext.getConf().contains(_ARROW_LIMIT):
+        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+
+
 def registered(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):

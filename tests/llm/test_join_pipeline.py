@@ -180,3 +180,19 @@ def test_pipeline_on_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.collect() == []
+
+
+def test_shares_of_very_large_sets_are_exact():
+    """Sets of more than 170,000 shingles on either side of the threshold."""
+    import numpy as np
+    import pyarrow as pa
+
+    n, shared = 225_000, 199_999        # one more makes exactly 80 %
+    a = np.arange(n, dtype=np.int64)
+    b = np.concatenate([np.arange(shared), 10 ** 7 + np.arange(n - shared)])
+    for extra, linked in ((0, 100 * shared >= 80 * (2 * n - shared)), (1, 100 * (shared + 1) >= 80 * (2 * n - shared - 1))):
+        b[shared:shared + extra] = a[shared:shared + extra]
+        off = np.array([0, n, 2 * n], np.int32)
+        t = pa.table({"fp": pa.array([1, 2]), "i": pa.array([0, 0]), "j": pa.array([0, 0]), "own": pa.array([0, 0]), "comp": pa.array([1, 2]),
+                      "tokens": pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([a, b])))})
+        assert (ngram_join._compare_chunks(80)(t).num_rows == 1) == linked
