@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airq.llm import curriculum, ngram_join, pieces, toxicity
-from airq.llm.queries import TOXIC_AT, id_remainder, share_code
+from airq.llm.queries import TOXIC_AT, id_remainder, share_code, small_batches
 from airq.session import materialize
 from airq.sources.tables import table
 
@@ -32,6 +32,7 @@ ORDER = ("position", "pass")    # of a mixed document: its training position, an
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_code(spark)
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.fit(docs, labels, "doc_id", "text", "toxic", id_remainder("doc_id", 4) != 2)
     return toxicity.score(docs.select(*DOCUMENT), "text", model).filter(F.col("score") < TOXIC_AT).drop("score")
@@ -39,6 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_code(spark)
+    small_batches(spark)
     h = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     # a document is its id and text: ids may repeat with other texts
     keyed = docs.select(F.struct("doc_id", h.alias("h")).alias("id"), "text")
@@ -64,6 +66,7 @@ def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     share_code(spark)
+    small_batches(spark)
     model = public_tokenizers.path(pieces.MODEL)
     order = [c for c in ORDER if c in docs.columns]
     # a second pass over a document draws other segmentations than the first
