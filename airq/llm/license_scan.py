@@ -1,21 +1,23 @@
-"""License scans by word alignment and conditional compression.
+"""License scans by conditional compression, confirmed by wording.
 
 1. **Candidate blocks.**  A text's lines and sentences that hold a licensing word, with
    ``GAP`` more units on both sides, are joined where they touch.  Whole texts are
    searched; a text without any such word is passed over by a JVM-side test.
-2. **Alignment.**  Every template of which a block holds enough words for ``min_share``
-   (an exact bound, whatever the block's length) is aligned with every stretch of it:
-   a word found in order counts ``FOUND``, a word of the template left out ``-LOST``, a
-   word put in ``-EXTRA``, a word in place of fill-ins ``-FILL``.  A notice is a
+2. **Stretches.**  Every template of which a block holds enough words for ``min_share``
+   (an exact bound, whatever the block's length) is aligned with it: a word found in
+   order counts ``FOUND``, a word of the template left out ``-LOST``, a
+   word put in ``-EXTRA``, a word in place of fill-ins ``-FILL``.  A stretch that can be the template's notice is a
    best alignment with a count above 0 and at least ``min_share`` of the template's words
    found, so its other words are fewer than twice the words found less those left out.
    Long blocks are aligned in windows that overlap by the longest possible notice.
-3. **Choice.**  Where alignments overlap, the one that counts most is taken; then what is
+   A template keeps its best stretches that don't overlap.
+3. **Conditional compression.**  Every stretch is compressed with zstandard alone, and with
+   its template as a raw-content dictionary.  The bytes that the template saves rank all
+   stretches of the block, and decide between templates where stretches overlap: a template that
+   holds a stretch's wording as it stands saves more than one that shares its words.
+4. **Confirmation.**  Winners are taken in that order, with their exact differences; then what is
    left between the notices is searched again, until nothing more is confirmed.  Every
    notice of a block is a row with its own span.
-4. **Conditional compression.**  The notice is compressed with zstandard alone, and with
-   its template as a raw-content dictionary.  The relative size reduction says how much
-   of the notice the template already contains.
 
 A run of fill-in words of a template (``<year> <owner>``) matches any non-empty run of
 words: up to ``FOUND / FILL`` words for every template word found less those left out.
@@ -24,7 +26,7 @@ The exact differences (words left out, put in, or replaced) are reported.
 The templates are short public notices and can be replaced.
 
 Edge cases: null and empty texts have no blocks; a block that no template explains
-gives no row; ties go to the larger size reduction, then to the template that comes
+gives no row; equal savings go to the larger count, then to the template that comes
 first; repeated rows give repeated results; null ids are kept; an empty table gives an
 empty result; other columns aren't read.
 """
@@ -120,9 +122,10 @@ class Templates:
         self.given = [zstandard.ZstdCompressor(compression_params=plain, dict_data=zstandard.ZstdCompressionDict(
             t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for t in templates.values()]
 
-    def reduction(self, notice: str, i: int) -> float:
+    def sizes(self, notice: str, i: int) -> tuple[int, int]:
+        """Compressed bytes of a notice alone and given template ``i``."""
         data = notice.lower().encode("utf-8", "surrogatepass")
-        return 1 - len(self.given[i].compress(data)) / len(self.alone.compress(data))
+        return len(self.alone.compress(data)), len(self.given[i].compress(data))
 
     def align(self, i: int, have: np.ndarray) -> list[np.ndarray]:
         """Best alignments of the template's first words that end before each word:
@@ -198,17 +201,21 @@ class Templates:
         parts, out = [(0, len(words))], []
         while parts:
             lo, hi = parts.pop()
-            taken, used = [], np.zeros(hi - lo, bool)
-            for _, same in groupby(self.candidates(have[lo:hi], min_share), lambda c: c[0]):
-                same = [(i, spans[lo + a][0], spans[lo + b - 1][1], lo + a, lo + b, found) for _, i, a, b, found in same]
-                if len({c[0] for c in same}) > 1:
-                    same.sort(key=lambda c: (-self.reduction(block[c[1]:c[2]], c[0]), c[0]))
-                for i, begin, end, a, b, found in same:
-                    if not used[a - lo:b - lo].any():
-                        used[a - lo:b - lo] = True
-                        taken.append((a, b))
-                        out.append((self.names[i], begin, end, self.reduction(block[begin:end], i),
-                                    found / len(self.words[i]), self.differences(i, words[a:b])))
+            taken, ranked = [], []
+            for i, own in groupby(sorted(self.candidates(have[lo:hi], min_share), key=lambda c: c[1]), lambda c: c[1]):
+                used = np.zeros(hi - lo, bool)          # a template's best stretches, larger counts first
+                for count, _, a, b, found in own:
+                    if not used[a:b].any():
+                        used[a:b] = True
+                        begin, end = spans[lo + a][0], spans[lo + b - 1][1]
+                        alone, given = self.sizes(block[begin:end], i)
+                        ranked.append((given - alone, count, i, a, b, begin, end, found, 1 - given / alone))
+            used = np.zeros(hi - lo, bool)
+            for _, _, i, a, b, begin, end, found, reduction in sorted(ranked):       # most bytes saved first
+                if not used[a:b].any():
+                    used[a:b] = True
+                    taken.append((lo + a, lo + b))
+                    out.append((self.names[i], begin, end, reduction, found / len(self.words[i]), self.differences(i, words[lo + a:lo + b])))
             if taken:  # what is left is searched again
                 edges = [lo, *(x for pair in sorted(taken) for x in pair), hi]
                 parts += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
