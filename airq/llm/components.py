@@ -2,8 +2,8 @@
 
 Alternating large-star and small-star steps: every node tells its neighbours the
 smallest node it knows, until the edges no longer change; each component is then a
-star around its smallest node.  Every step is two aggregations and a join; edges
-never leave the executors.  Each round is written to the shared checkpoint folder,
+star around its smallest node.  Every step is two aggregations and two joins whose
+hot keys are split; edges never leave the executors.  Each round is written to the shared checkpoint folder,
 so lineage stays short and a lost executor costs one round at most.
 """
 
@@ -17,8 +17,10 @@ ROUNDS = 60
 
 
 def _star(edges: DataFrame) -> DataFrame:
-    """Every node with its smallest neighbour (itself included)."""
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    """Every node with its smallest neighbour (itself included), from partial minima.
+    Written, so that the join back has a shuffle right below either side and
+    adaptive execution can split the links of a hub."""
+    return materialize(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "stars")
 
 
 def _large(edges: DataFrame) -> DataFrame:
