@@ -53,7 +53,7 @@ SAMPLES = 2
 SHARPNESS = 1.0
 BLANK = "▁"
 RAISE = 3.0     # about what a character of a piece costs
-SLICE = 1 << 19
+SLICE = 1 << 20
 
 
 def _poly(cp: np.ndarray) -> np.ndarray:

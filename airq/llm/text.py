@@ -199,10 +199,18 @@ class KeyTable:
             return (x.astype(U64) * U64(0x9E3779B97F4A7C15 + 2 * level * 0x51ED270B)) >> U64(64 - bits)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), self.n, np.int64)
+        out, place = np.full(len(x), self.n, np.int64), None
         for level, (table, bits) in enumerate(self.levels):
             at = table[self._slot(x, level, bits)]
-            np.copyto(out, at, where=(at < self.n) & (self.keys[at] == x))
+            same = self.keys[at] == x
+            taken = at < self.n
+            hit = np.flatnonzero(same & taken)
+            out[hit if place is None else place[hit]] = at[hit]
+            # only a key that found its slot taken by another one lies further down
+            rest = np.flatnonzero(taken & ~same)
+            if not len(rest):
+                break
+            x, place = x[rest], rest if place is None else place[rest]
         return out
 
 
