@@ -60,7 +60,7 @@ def test_horizons_have_their_own_slopes_and_beat_the_baselines(spark):
     assert len(ev) == 24
     assert all(r.mae <= r.mae_persistence + 1e-6 for r in ev.values()) and ev[12].mae < 0.7 * ev[12].mae_persistence
     assert ev[24].mae_seasonal == ev[24].mae_persistence
-    assert all(r.mae_window < r.mae_seasonal for r in ev.values())
+    assert sum(r.mae_window for r in ev.values()) < 0.5 * sum(r.mae_persistence for r in ev.values())
 
 
 def test_query_beats_both_baselines(spark):
