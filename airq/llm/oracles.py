@@ -14,7 +14,7 @@ def weak_rules_sql(iterations: int = R.ITERATIONS) -> str:
     feature = {
         "word_length": "(word_chars::DOUBLE / nullif(n_words, 0))", "symbols": "(n_symbols / nullif(n_words, 0))",
         "repeated_lines": "(CASE WHEN n_lines >= 5 THEN n_dup_lines / n_lines END)", "repeated_words": "(CASE WHEN n_words >= 8 THEN n_repeat_words / n_words END)",
-        "letters": "(n_letters / nullif(n_words, 0))", "capitals": "(n_capitals / nullif(word_chars, 0))", "digits": "(n_digits / nullif(word_chars, 0))",
+        "letters": "(n_letters / nullif(n_words, 0))", "letter_share": "(n_alpha / nullif(word_chars, 0))", "capitals": "(n_capitals / nullif(word_chars, 0))", "digits": "(n_digits / nullif(word_chars, 0))",
         "sentences": "(CASE WHEN n_lines >= 3 THEN n_ends / n_lines END)", "variety": "(CASE WHEN n_words >= 20 THEN n_distinct / n_words END)"}
     vote = [f"coalesce({when.format(x=feature.get(f, f))}, false) AS vote_{name}" for name, _, f, when in R.RULES]
     z = " + ".join(["ln(good / (1 - good))"] + [f"CASE WHEN {v} THEN ln(g_{v} / b_{v}) ELSE 0.0 END" for v in R.VOTES])
@@ -47,7 +47,8 @@ ls AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_line
          count(CASE WHEN regexp_matches(x, '{R.SENTENCE_END.replace("'", "''")}') THEN 1 END) AS n_ends FROM ln GROUP BY r),
 f AS (SELECT r, doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-        coalesce(n_letters, 0) AS n_letters, length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS n_capitals, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits,
+        coalesce(n_letters, 0) AS n_letters, length(regexp_replace(t, '[^\\p{{L}}]', '', 'g')) AS n_alpha,
+        length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS n_capitals, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits,
         coalesce(n_ends, 0) AS n_ends, coalesce(n_lines, 0) AS n_lines, coalesce(n_distinct, 0) AS n_distinct, longest
       FROM d LEFT JOIN ws USING (r) LEFT JOIN cov USING (r) LEFT JOIN ls USING (r)),
 v AS MATERIALIZED (SELECT *, {", ".join(vote)} FROM f),

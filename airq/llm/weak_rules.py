@@ -59,6 +59,7 @@ RULES = (
     ("repeated_lines", BAD, "repeated_lines", "{x} > 0.3"),
     ("repeated_words", BAD, "repeated_words", "{x} > 0.3"),
     ("no_letters", BAD, "letters", "{x} < 0.8"),
+    ("few_letters", BAD, "letter_share", "{x} < 0.75"),
     ("capitals", BAD, "capitals", "{x} > 0.3"),
     ("digits", BAD, "digits", "{x} > 0.2"),
     ("no_sentences", BAD, "sentences", "{x} < 0.3"),
@@ -102,14 +103,14 @@ def counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "n_dup_lines": (F.size("l") - F.size(F.array_distinct("l"))).cast("long"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
         "n_letters": F.size(F.filter("w", lambda x: x.rlike(LETTER))),
-        "n_capitals": F.regexp_count("t", F.lit(r"\p{Lu}")), "n_digits": F.regexp_count("t", F.lit("[0-9]")),
+        "n_letter_chars": F.regexp_count("t", F.lit(LETTER)), "n_capitals": F.regexp_count("t", F.lit(r"\p{Lu}")), "n_digits": F.regexp_count("t", F.lit("[0-9]")),
         "n_ends": F.size(F.filter("l", lambda x: x.rlike(SENTENCE_END))),
         "n_distinct": F.size(F.array_distinct("h")), "longest": F.array_max(F.transform("w", lambda x: F.length(x)))})
     return d.select(
         "key", *COUNTS, F.try_divide(chars, words).alias("word_length"), F.try_divide("n_symbols", words).alias("symbols"),
         F.when(lines >= 5, F.col("n_dup_lines") / lines).alias("repeated_lines"),
         F.when(words >= WINDOW, F.col("n_repeat_words") / words).alias("repeated_words"),
-        F.try_divide("n_letters", words).alias("letters"), F.try_divide("n_capitals", chars).alias("capitals"),
+        F.try_divide("n_letters", words).alias("letters"), F.try_divide("n_letter_chars", chars).alias("letter_share"), F.try_divide("n_capitals", chars).alias("capitals"),
         F.try_divide("n_digits", chars).alias("digits"), F.when(lines >= 3, F.col("n_ends") / lines).alias("sentences"),
         F.when(words >= 20, F.col("n_distinct") / words).alias("variety"), "longest")
 
