@@ -36,9 +36,7 @@ hashed like any value; an empty table gives an empty result; other columns aren'
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from dataclasses import dataclass
-from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .text import U64, KeyTable, slices, splitmix, string_column
+from .text import U64, KeyIndex, KeyTable, range_hashes, raw, returning_memory, slices, sorted_distinct, splitmix, string_column
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
@@ -54,6 +52,8 @@ SHARPNESS = 1.0
 BLANK = "▁"
 RAISE = 3.0     # about what a character of a piece costs
 SLICE = 1 << 20
+NEAR = 12.0     # parts behind beginnings of at least this log-probability are always valued
+HIGHEST = 38.0  # no perturbation is larger: numbers in (0, 1) have 53 bits
 
 
 def _poly(cp: np.ndarray) -> np.ndarray:
@@ -76,9 +76,9 @@ class Vocabulary:
         crossing = [text[i] for i in normal if re.search(f"[^{BLANK}]{BLANK}", text[i])]
         if crossing:
             raise ValueError(f"pieces that cross blanks aren't supported: {crossing[:3]}")
-        # runs of blanks and what follows; line breaks and tabs that no longer piece holds stand alone
-        alone = "".join(c for c in "\n\t\r" if not any(c in text[i] and len(text[i]) > 1 for i in normal))
-        self.units = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" + (f"|[{alone}]" if alone else "")).findall
+        # line breaks and tabs that no longer piece holds stand alone
+        self.alone = np.zeros(256, bool)
+        self.alone[[ord(c) for c in "\n\t\r" if not any(c in text[i] and len(text[i]) > 1 for i in normal)]] = True
         self.byte_id = np.full(256, -1, np.int32)
         for i in range(n):
             if sp.is_byte(i):
@@ -97,6 +97,14 @@ class Vocabulary:
             with np.errstate(over="ignore"):
                 h = (_poly(cps) * _BASE ** np.arange(size, dtype=U64)).sum(axis=1, dtype=U64)
             self.by_length.append((KeyTable(h), np.array([place.get(t, -1) for t in begins], np.int32)))
+        # the same for single characters, by code point (the last entry: characters beyond)
+        top = max(ord(t[0]) for t in place) + 1
+        self.single, self.begins = np.full(top + 1, -1, np.int32), np.zeros(top + 1, bool)
+        for t in place:
+            self.begins[ord(t[0])] = True
+            if len(t) == 1:
+                self.single[ord(t)] = place[t]
+        self.raised = np.exp(weight + RAISE * np.array([len(text[i]) for i in normal]))
         self.byte_weight = float(weight.min()) - 2.0
         raw = [bytes([int(t[1:-1], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else t.replace(BLANK, " ").encode() for i, t in enumerate(text)]
         self.piece_off = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
@@ -125,84 +133,98 @@ class Lattice:
 
 
 def build(words: list[str], v: Vocabulary) -> Lattice:
-    size = np.fromiter(map(len, words), np.int64, len(words))
     cp = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return lattice(cp, np.fromiter(map(len, words), np.int64, len(words)), v)
+
+
+def lattice(cp: np.ndarray, size: np.ndarray, v: Vocabulary) -> Lattice:
+    """The lattices of words given by their code points and lengths."""
     base = np.concatenate([[0], np.cumsum(size)])
-    word = np.repeat(np.arange(len(words)), size)
+    word = np.repeat(np.arange(len(size)), size)
     at = np.arange(len(cp))
     left = base[word + 1] - at                   # characters up to the word's end
     code = _poly(cp)
-    widest = min(v.longest, int(size.max(initial=0)))
-    # per character and length: 1 + place of the piece, 0 if there is none
-    found = np.zeros((len(cp), max(1, widest)), np.int32)
-    h, power = np.zeros(len(cp), U64), U64(1)
-    live = at
+    longest = int(size.max(initial=0))
+    clipped = np.minimum(cp, len(v.single) - 1)
+    single = v.single[clipped]
+    # per length: where pieces of it start, which, and how many shorter ones start there
+    found, many = [], np.ones(len(cp), np.int32)
+    live = np.flatnonzero(v.begins[clipped])
+    h, power = code[live], U64(1)
     with np.errstate(over="ignore"):
-        for n in range(1, widest + 1):
-            if n > 1:
-                live = live[left[live] >= n]
-            h[live] += code[live + n - 1] * power
-            power = power * _BASE
+        for n in range(2, min(v.longest, longest) + 1):
+            more = np.flatnonzero(left[live] >= n)
+            live, power = live[more], power * _BASE
+            h = h[more] + code[live + n - 1] * power
             table, place = v.by_length[n - 1]
-            k = table.find(h[live])
+            k = table.find(h)
             hit = np.flatnonzero(k < table.n)
-            live = live[hit]                     # the others begin no longer piece
-            found[live, n - 1] = place[k[hit]] + 1
-    odd = np.flatnonzero(found[:, 0] == 0)       # spelt in bytes
-    found[odd, 0] = len(v.piece) + 1
-    flat = np.flatnonzero(found)                 # by start, then by length
-    start = (flat // found.shape[1]).astype(np.int32)
-    n = (flat - start.astype(np.int64) * found.shape[1]).astype(np.int32)
-    k = found.ravel()[flat] - 1
-    del found, flat, h, code
-    spelt = np.flatnonzero(k == len(v.piece))
+            live, h = live[hit], h[hit]          # the others begin no longer piece
+            k = place[k[hit]]
+            whole = np.flatnonzero(k >= 0)
+            s = live[whole]
+            found.append((s, k[whole], many[s]))
+            many[s] += 1
+    del code, h, clipped
+    off = np.concatenate([[0], np.cumsum(many)])  # edges by start, then by length
+    k, n = np.zeros(off[-1], np.int32), np.ones(off[-1], np.int32)
+    k[off[:-1]] = single
+    slots = []
+    for size_, (s, place, before) in enumerate(found, 2):
+        slot = off[s] + before
+        k[slot], n[slot] = place, size_
+        slots.append(slot)
+    del found
+    odd = np.flatnonzero(single < 0)             # spelt in bytes
+    spelt = off[odd]
     k[spelt] = 0
-    piece, w = v.piece[k].astype(np.int64), v.weight[k]
-    cps = cp[start[spelt]].astype(np.int64)
+    piece, raised = v.piece[k], v.raised[k]
+    cps = cp[odd].astype(np.int64)
     piece[spelt] = -1 - cps
-    w[spelt] = (1 + (cps > 0x7F).astype(np.int64) + (cps > 0x7FF) + (cps > 0xFFFF)) * v.byte_weight
+    spelt_w = (1 + (cps > 0x7F).astype(np.int64) + (cps > 0x7FF) + (cps > 0xFFFF)) * v.byte_weight
+    raised[spelt] = np.exp(spelt_w + RAISE)
     node = (at + word).astype(np.int32)          # one extra node per word for its end
-    start = node[start]
-    end = start + n + 1
-    nodes = len(cp) + len(words)
-    first = np.searchsorted(start, np.arange(nodes + 1))
+    nodes = len(cp) + len(size)
+    degree = np.zeros(nodes + 1, np.int64)
+    degree[node + 1] = many
+    first = np.cumsum(degree)
+    end = np.repeat(node, many) + n
     # mass from each node to its word's end, all words at once from the back; weights are raised
     # per character, so that the masses of usual words stay near 1
-    far = np.zeros(nodes, np.int32)
-    far[node] = left
-    key = far[start]
-    by = np.argsort(key.astype(np.int16) if len(size) and size.max() < 1 << 15 else key, kind="stable")    # small integers sort in linear time
-    steps = np.searchsorted(key[by], np.arange(1, int(size.max(initial=0)) + 2))
-    raised = np.exp(w + RAISE * (end - start))
+    back = np.argsort(left.astype(np.int16) if longest < 1 << 15 else left, kind="stable")     # small integers sort in linear time
+    steps = np.searchsorted(left[back], np.arange(1, longest + 2))
+    wide = many[back]
+    new = np.concatenate([[0], np.cumsum(wide)])
+    e = np.arange(off[-1]) + np.repeat(off[back] - new[:-1], wide)
+    e_end, e_raised, e_node = end[e], raised[e], node[back]
     mass = np.ones(nodes)
     with np.errstate(over="ignore", under="ignore"):
         for a, b in zip(steps[:-1], steps[1:]):
             if a < b:
-                e = by[a:b]
-                s = start[e]
-                new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-                mass[s[new]] = np.add.reduceat(raised[e] * mass[end[e]], new)
+                x, y = new[a], new[b]
+                mass[e_node[a:b]] = np.add.reduceat(e_raised[x:y] * mass[e_end[x:y]], new[a:b] - x)
+    del e_raised
     if mass.min(initial=1) > 1e-250 and mass.max(initial=1) < 1e250:
-        prob = raised * mass[end] / mass[start]
+        prob = raised * mass[end] / np.repeat(mass[node], many)
         logp = np.log(prob)
     else:                                        # very long or strange words: the same by logarithms
+        w = v.weight[k]
+        w[spelt] = spelt_w
         mass = np.zeros(nodes)
         for a, b in zip(steps[:-1], steps[1:]):
             if a < b:
-                e = by[a:b]
-                x, s = w[e] + mass[end[e]], start[e]
-                new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-                top = np.maximum.reduceat(x, new)
-                wide = np.diff(np.append(new, len(e)))
-                mass[s[new]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, wide)), new))
-        logp = w + mass[end] - mass[start]
+                x, y = new[a], new[b]
+                z, s = w[e[x:y]] + mass[e_end[x:y]], new[a:b] - x
+                top = np.maximum.reduceat(z, s)
+                mass[e_node[a:b]] = top + np.log(np.add.reduceat(np.exp(z - np.repeat(top, wide[a:b])), s))
+        logp = w + mass[end] - np.repeat(mass[node], many)
         prob = np.exp(logp)
-    total = np.cumsum(prob)
-    before = np.concatenate([[0.0], total])[first[start]]
-    upto = total - before
-    last = first[1:][np.diff(first) > 0] - 1
-    upto[last] = 1.0
-    node0 = base[:-1] + np.arange(len(words))
+    del e, e_end
+    upto = prob.copy()
+    for slot in slots:                           # shorter edges of a node come first
+        upto[slot] += upto[slot - 1]
+    upto[off[1:] - 1] = 1.0
+    node0 = base[:-1] + np.arange(len(size))
     return Lattice(node0, node0 + size, first, end, prob, upto, logp, piece)
 
 
@@ -211,31 +233,36 @@ def uniform(*parts) -> np.ndarray:
     h = U64(0)
     for p in parts:
         h = splitmix(h ^ np.asarray(p).astype(U64))
+    return _unit(h)
+
+
+def _unit(h: np.ndarray) -> np.ndarray:
     return ((h >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-def _draw(lat: Lattice, word: np.ndarray, node: np.ndarray, seed: np.ndarray, place: np.ndarray, step: np.ndarray):
-    """Random walks of word tokens from ``node`` to the words' ends.  Returns
-    (token positions, steps, edges) of all moves."""
+def _draw(lat: Lattice, word: np.ndarray, node: np.ndarray, noise: np.ndarray, step: int):
+    """Random walks of word tokens from ``node`` to the words' ends; ``noise`` is a hash per
+    token.  Returns (token positions, edges) of all moves, ordered by step, then by token."""
     token = np.arange(len(word))
     goal = lat.node1[word]
-    live = node < goal
-    token, node, step = token[live], node[live], step[live]
+    live = np.flatnonzero(node < goal)
+    if len(live) < len(token):
+        token, node, goal, noise = token[live], node[live], goal[live], noise[live]
     found = []
     while len(token):
-        u = uniform(seed[token], place[token], step)
-        edge = lat.first[node].copy()
+        u = _unit(splitmix(noise ^ U64(step)))
+        edge = lat.first[node]
         more = np.flatnonzero(u > lat.upto[edge])
         while len(more):
             edge[more] += 1
             more = more[u[more] > lat.upto[edge[more]]]
-        found.append((token.astype(np.int32), step.astype(np.int32), edge.astype(np.int32)))
-        node, step = lat.end[edge].astype(np.int64), step + 1
-        live = node < goal[token]
-        token, node, step = token[live], node[live], step[live]
+        found.append((token.astype(np.int32), edge.astype(np.int32)))
+        node, step = lat.end[edge], step + 1
+        live = np.flatnonzero(node < goal)
+        token, node, goal, noise = token[live], node[live], goal[live], noise[live]
     if not found:
         none = np.zeros(0, np.int32)
-        return none, none, none
+        return none, none
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -252,14 +279,16 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
     all_token = all_edge = np.zeros(0, np.int32)              # moves of all paths so far
     all_mask = np.zeros(0, np.int64)
     all_part = np.zeros(0)                                    # largest value of each part
-    all_pre = np.zeros(0)                                     # log-probability before the move
     owner = np.zeros(0, np.int64)
     live = np.arange(n)
+    seed = seed.astype(U64)
+    mixed = splitmix(seed)
+    noise = lambda tokens, rank: splitmix(mixed[text[tokens]] ^ splitmix(place[tokens].astype(U64) * U64(64) + U64(rank)))
     value = -np.log(-np.log(uniform(seed, 0, 1)))
     origin = np.full(n, -1, np.int64)                         # the move whose part is taken, -1: all paths
     path0 = np.zeros(n, np.int64)                             # where the origin's path starts among all moves
     for rank in range(1, k + 1):
-        kept_t, kept_e, kept_m, kept_pre = (np.zeros(0, np.int64) for _ in range(4))
+        kept_t, kept_e, kept_m = (np.zeros(0, np.int64) for _ in range(3))
         whole = origin[live] < 0
         # tokens to draw from their start: all, or those after the origin's token
         begin = first[live].copy()
@@ -291,24 +320,18 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
             kept_t, kept_e = np.concatenate([kept_t, token]), np.concatenate([kept_e, edge])
             kept_m = np.concatenate([kept_m, used | (1 << pick)])
             # the rest of the origin's token
-            r_tok, r_step, r_edge = _draw(lat, word[token], lat.end[edge].astype(np.int64), seed[at], splitmix(place[token].astype(U64) * U64(64) + U64(rank)),
-                                          np.ones(len(at), np.int64))
-            kept_order = np.concatenate([np.zeros(len(kept_t), np.int64), 1 + r_step])
+            r_tok, r_edge = _draw(lat, word[token], lat.end[edge], noise(token, rank), 1)
             kept_t = np.concatenate([kept_t, token[r_tok]])
             kept_e = np.concatenate([kept_e, r_edge])
-            kept_m = np.concatenate([kept_m, np.int64(1) << (r_edge - lat.first[_start(lat, r_edge)])])
-        else:
-            kept_order = np.zeros(0, np.int64)
+            kept_m = np.concatenate([kept_m, np.full(len(r_edge), -1)])
         size = first[live + 1] - begin
         tokens = np.arange(size.sum()) + np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        tok, step, edge = _draw(lat, word[tokens], lat.node0[word[tokens]], seed[text[tokens]],
-                                splitmix(place[tokens].astype(U64) * U64(64) + U64(rank)), np.zeros(len(tokens), np.int64))
+        tok, edge = _draw(lat, word[tokens], lat.node0[word[tokens]], noise(tokens, rank), 0)
         t = np.concatenate([kept_t, tokens[tok]])
-        e = np.concatenate([kept_e, edge])
-        m = np.concatenate([kept_m, np.int64(1) << (edge - lat.first[_start(lat, edge)])])
-        order = np.lexsort((np.concatenate([kept_order, step]), t))
-        # kept moves share order 0 and are already in path order (the sort is stable)
-        t, e, m = t[order], e[order], m[order]
+        # a token's moves are in path order already (the sort is stable)
+        order = np.argsort(t, kind="stable")
+        t, e = t[order], np.concatenate([kept_e, edge])[order]
+        m = np.concatenate([kept_m, np.full(len(edge), -1)])[order]       # edges taken out at the move's node, -1: its own
         own = text[t]
         off = np.searchsorted(own, np.arange(n + 1))
         lp = lat.logp[e]
@@ -317,40 +340,51 @@ def sample(lat: Lattice, word: np.ndarray, first: np.ndarray, seed: np.ndarray,
         logp = run[off[1:]] - run[off[:-1]]
         yield live, off, e, logp, value.copy()
         # parts of the region without this path
-        node = _start(lat, e)
-        gone = lat.prob[e].copy()
-        extra = np.flatnonzero((m & (m - 1)) != 0)
-        if len(extra):
-            gone[extra] = 0
-            for j in range(int((lat.first[node[extra] + 1] - lat.first[node[extra]]).max())):
-                bit = extra[(m[extra] >> j) & 1 == 1]
-                gone[bit] += lat.prob[lat.first[node[bit]] + j]
-        rest = 1.0 - gone
-        full = np.zeros(len(e), bool)
-        wide = lat.first[node + 1] - lat.first[node]
-        full[m == (1 << wide) - 1] = True
-        ok = (m != 0) & ~full & (rest > 1e-13)
-        part = np.full(len(e), -np.inf)
-        at = np.flatnonzero(ok)
-        if len(at):
-            phi = pre[at] + np.log(rest[at])
+        part, mask = np.full(len(e), -np.inf), np.zeros(len(e), np.int64)
+
+        def cut(at):
+            node, gone, out = _start(lat, e[at]), lat.prob[e[at]], m[at]
+            fresh = np.flatnonzero(out < 0)
+            out[fresh] = np.int64(1) << (e[at[fresh]] - lat.first[node[fresh]])
+            extra = np.flatnonzero((out & (out - 1)) != 0)
+            if len(extra):
+                gone[extra] = 0
+                for j in range(int((lat.first[node[extra] + 1] - lat.first[node[extra]]).max())):
+                    bit = extra[(out[extra] >> j) & 1 == 1]
+                    gone[bit] += lat.prob[lat.first[node[bit]] + j]
+            mask[at], rest = out, 1.0 - gone
+            full = out == (1 << (lat.first[node + 1] - lat.first[node])) - 1
+            ok = np.flatnonzero((out != 0) & ~full & (rest > 1e-13))
+            at, rest = at[ok], rest[ok]
+            phi, its = pre[at] + np.log(rest), value[own[at]]
             u = uniform(seed[own[at]], rank, 3, at - off[own[at]])
-            part[at] = phi - np.log(np.exp(np.minimum(phi - value[own[at]], 700.0)) - np.log(u))
+            part[at] = phi - np.log(np.exp(np.minimum(phi - its, 700.0)) - np.log(u))
+            return at
+
+        # a part's value is below its log-mass plus HIGHEST, and so below the text's k best where
+        # the path's beginning up to it is improbable: those parts can never be taken
+        near = cut(np.flatnonzero(pre > -NEAR))
+        low = np.full(n, np.inf)
+        np.minimum.at(low, own[near], part[near])
+        low[np.bincount(own[near], minlength=n) < k] = -np.inf
+        cut(np.flatnonzero((pre <= -NEAR) & (pre + HIGHEST >= low[own])))
         if rank == k:      # only kappa is left to find
             value = np.full(n, -np.inf)
-            np.maximum.at(value, owner, all_part)
-            np.maximum.at(value, own, part)
+            for of, p in ((owner, all_part), (own, part)):
+                some = np.flatnonzero(p > -np.inf)
+                np.maximum.at(value, of[some], p[some])
             break
         shift = len(all_edge)
-        all_token, all_edge, all_mask = np.concatenate([all_token, t.astype(np.int32)]), np.concatenate([all_edge, e.astype(np.int32)]), np.concatenate([all_mask, m])
+        all_token, all_edge, all_mask = np.concatenate([all_token, t.astype(np.int32)]), np.concatenate([all_edge, e.astype(np.int32)]), np.concatenate([all_mask, mask])
         all_part, owner = np.concatenate([all_part, part]), np.concatenate([owner, own])
         start_of = np.concatenate([path_of, shift + off[own]]) if rank > 1 else off[own]
         path_of = start_of
         # the next region of each text: its part with the largest value
         value = np.full(n, -np.inf)
-        np.maximum.at(value, owner, all_part)
+        some = np.flatnonzero(all_part > -np.inf)
+        np.maximum.at(value, owner[some], all_part[some])
         live = np.flatnonzero(value > -np.inf)
-        hit = np.flatnonzero((all_part == value[owner]) & (all_part > -np.inf))
+        hit = some[all_part[some] == value[owner[some]]]
         origin = np.full(n, -1, np.int64)
         origin[owner[hit[::-1]]] = hit[::-1]
         path0 = np.where(origin >= 0, path_of[np.maximum(origin, 0)] if len(path_of) else 0, 0)
@@ -383,15 +417,39 @@ def _ids(edges: np.ndarray, off: np.ndarray, lat: Lattice, v: Vocabulary) -> tup
     return out, end[off]
 
 
-def encode_slice(texts: list[str], seeds: np.ndarray, v: Vocabulary, k: int):
+def units(col: pa.StringArray, v: Vocabulary):
+    """The distinct words of texts (a run of blanks and what follows it; a blank is put before
+    the first) as code points and lengths, the word of each token, and token offsets per text."""
+    if pc.any(pc.match_substring(col, BLANK)).as_py():
+        col = pc.replace_substring(col, BLANK, " ")
+    lead = pc.if_else(pc.equal(col, pa.scalar("", col.type)), pa.scalar("", col.type), pa.scalar(" ", col.type))
+    buf, off = raw(pc.binary_join_element_wise(lead, col, pa.scalar("", col.type)))
+    blank, alone = buf == 0x20, v.alone[buf]
+    begins = alone.copy()
+    begins[1:] |= alone[:-1] | (blank[1:] & ~blank[:-1])
+    begins[off[:-1][np.diff(off) > 0]] = True
+    start = np.flatnonzero(begins)
+    end = np.append(start[1:], len(buf))[:len(start)]
+    first = np.searchsorted(start, off)
+    h = range_hashes(buf, start, end)
+    keys = sorted_distinct(h)
+    word = KeyIndex(keys).find(h)
+    one = np.zeros(len(keys), np.int64)
+    one[word] = np.arange(len(word))             # any occurrence of each
+    size = (end - start)[one]
+    edge = np.concatenate([[0], np.cumsum(size)])
+    text = buf[np.arange(edge[-1]) + np.repeat(start[one] - edge[:-1], size)]
+    cp = np.frombuffer(text.tobytes().decode().encode("utf-32-le"), np.uint32).copy()
+    cp[cp == 0x20] = ord(BLANK)
+    chars = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
+    return cp, np.diff(chars[edge]), word, first
+
+
+def encode_slice(texts: list[str] | pa.StringArray, seeds: np.ndarray, v: Vocabulary, k: int):
     """Rows (text position, rank, log-probability, value, log inclusion score,
     id offsets, ids) of one slice of texts."""
-    units = [v.units((BLANK + t).replace(" ", BLANK)) if t else [] for t in texts]
-    first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))])
-    names: defaultdict[str, int] = defaultdict(count().__next__)
-    word = np.fromiter(map(names.__getitem__, chain.from_iterable(units)), np.int64, int(first[-1]))
-    del units
-    lat = build(list(names), v)
+    cp, size, word, first = units(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), v)
+    lat = lattice(cp, size, v)
     rounds, kappa = [], None
     for live, off, edges, logp, value in sample(lat, word, first, seeds, k):
         if live is None:
@@ -421,6 +479,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int
                       F.coalesce(F.col(text_col), F.lit("")).alias("text_"), F.xxhash64(F.lit(seed), F.col(id_col), *map(F.col, seed_by)).alias("seed_"))
     names = ["key", *keep]
 
+    @returning_memory
     def run(batches):
         v = None
         for batch in batches:
@@ -428,7 +487,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, model: str, samples: int
             col = string_column(batch.column("text_"))
             seeds = batch.column("seed_").to_numpy().view(U64)
             for a, b in slices(col, SLICE):
-                for live, rank, logp, value, inclusion, off, ids in encode_slice(col.slice(a, b - a).to_pylist(), seeds[a:b], v, samples):
+                for live, rank, logp, value, inclusion, off, ids in encode_slice(col.slice(a, b - a), seeds[a:b], v, samples):
                     size = off[live + 1] - off[live]
                     at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                     if at[-1] != len(ids):

@@ -8,6 +8,8 @@ per word.  A word is a maximal run of bytes other than 0x20 and 0x09-0x0D
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +53,20 @@ def _powers(kind: str, base, n: int) -> np.ndarray:
     return _POW[kind][:n]
 
 
+def returning_memory(run):
+    """``run`` (batches to batches) that gives freed memory back to the system when it ends: Spark
+    keeps its Python workers, and what one stage's arrays took would count on into the next."""
+
+    @functools.wraps(run)
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+            trim(0)
+
+    return tidy
+
+
 def string_column(col) -> pa.StringArray:
     """An Arrow string column as one array without nulls (null becomes empty)."""
     if isinstance(col, pa.ChunkedArray):
@@ -122,12 +138,17 @@ def words(col: pa.StringArray, lower: bool = True) -> Words:
     start = np.flatnonzero(begins)
     end = np.flatnonzero(ends) + 1
     first = np.searchsorted(start, off)
+    return Words(buf, off, start, end, first, range_hashes(buf, start, end))
+
+
+def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range [start, end)."""
+    n = len(buf)
     with np.errstate(over="ignore"):
         acc = np.zeros(n + 1, U64)
         np.cumsum(_BYTE_CODE[buf] * _powers("b", _B, n), dtype=U64, out=acc[1:])
         h = (acc[end] - acc[start]) * _powers("i", _B_INV, n + 1)[start]
-        h = splitmix(h ^ ((end - start).astype(U64) << U64(48)))
-    return Words(buf, off, start, end, first, h)
+        return splitmix(h ^ ((end - start).astype(U64) << U64(48)))
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

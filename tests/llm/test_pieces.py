@@ -135,3 +135,38 @@ def test_masses_of_very_long_words_use_logarithms(vocabulary):
     starts = np.repeat(np.arange(len(both.first) - 1), np.diff(both.first))
     total = np.bincount(starts, both.prob, len(both.first) - 1)
     assert np.allclose(total[np.unique(starts)], 1.0)
+
+
+def test_units_are_runs_of_blanks_with_what_follows(vocabulary):
+    """Words by byte positions are those of the plain pattern, each distinct one once."""
+    import re
+
+    import pyarrow as pa
+
+    alone = "".join(chr(c) for c in np.flatnonzero(vocabulary.alone))
+    pattern = f"{pieces.BLANK}*[^{pieces.BLANK}{alone}]+|{pieces.BLANK}+" + (f"|[{alone}]" if alone else "")
+    texts = ["", "a b  a", " ", "\n", "x\n\ny\tz \n ", "", "日本 é\u2581\u2581b ", "  a b", "\r\n a"]
+    cp, size, word, first = pieces.units(pa.array(texts, pa.string()), vocabulary)
+    off = np.concatenate([[0], np.cumsum(size)])
+    names = ["".join(map(chr, cp[a:b].tolist())) for a, b in zip(off[:-1], off[1:])]
+    got = [[names[w] for w in word[a:b].tolist()] for a, b in zip(first[:-1], first[1:])]
+    assert got == [re.findall(pattern, (pieces.BLANK + t).replace(" ", pieces.BLANK)) if t else [] for t in texts]
+    assert len(set(names)) == len(names)
+
+
+def test_only_parts_that_can_be_taken_are_valued(vocabulary, monkeypatch):
+    """A long text's parts behind improbable beginnings are left out, and the samples are those of valuing all."""
+    text = ["several plain words that are cut into pieces " * 200, "of", "a b"]
+    plain, counted = pieces.uniform, []
+    monkeypatch.setattr(pieces, "uniform", lambda *parts: (counted.append(np.size(parts[0])), plain(*parts))[1])
+    few = drawn(text, [3, 4, 5], vocabulary, 3)
+    n, moves = sum(counted), sum(len(rows[0][0]) for rows in few.values())
+    monkeypatch.setattr(pieces, "NEAR", np.inf)
+    assert drawn(text, [3, 4, 5], vocabulary, 3) == few
+    assert n < moves
+
+
+def test_a_words_lattice_does_not_depend_on_the_others(vocabulary):
+    many, alone = pieces.build([f"\u2581word{i}" for i in range(3000)] + ["\u2581usual"], vocabulary), pieces.build(["\u2581usual"], vocabulary)
+    own = slice(many.first[many.node0[-1]], None)
+    assert (many.upto[own] == alone.upto).all() and (many.prob[own] == alone.prob).all()
