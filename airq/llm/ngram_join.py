@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialize
 from .blocks import pack, unpack
 from .components import components
-from .text import U64, shingles, slices, splitmix, string_column, words
+from .text import U64, returning_memory, shingles, slices, splitmix, string_column, words
 
 SIZE = 5
 PERCENT = 80
@@ -79,6 +79,7 @@ def list_size_sketch(own: DataFrame, size: int) -> np.ndarray:
     """log2 of how many texts hold a shingle of each of ``CELLS`` cells, in eighths:
     one byte per cell, whatever the corpus."""
 
+    @returning_memory
     def count(batches):
         total, rows = np.zeros(CELLS, np.uint16), 0
         for batch in batches:
@@ -117,6 +118,7 @@ def bloom(wanted: DataFrame) -> np.ndarray:
     """A Bloom filter of fixed size over a column ``fp``; what it lets through by
     chance is dropped by a join later."""
 
+    @returning_memory
     def mark(batches):
         bits, some = np.zeros(1 << BLOOM_BITS, bool), False
         for batch in batches:
@@ -179,6 +181,7 @@ def _rows(sketch, size: int, percent: int):
     """Per text: set size, fingerprint, needed matches and prefix.  Of texts with
     equal sets only the first that a task meets carries its prefix."""
 
+    @returning_memory
     def run(batches):
         met: set[int] = set()
         for batch in batches:
@@ -204,6 +207,7 @@ def _rows(sketch, size: int, percent: int):
 def _sets(size: int, wanted):
     """Whole shingle sets of the texts whose fingerprint may be wanted."""
 
+    @returning_memory
     def run(batches):
         for batch in batches:
             col = string_column(batch.column("text"))

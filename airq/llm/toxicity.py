@@ -41,8 +41,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .blocks import KEY_SCHEMA, merge, pack, pack_by_bucket, unpack
-from .ppm import BITS, _mask, symbol_codes
-from .text import U64, KeyIndex, slices, sorted_distinct, string_column, words
+from .ppm import BITS, _find, _mask, symbol_codes
+from .text import U64, KeyIndex, returning_memory, slices, sorted_distinct, string_column, words
 
 ORDER = 6
 DISCOUNT = 0.9
@@ -69,6 +69,7 @@ def distinct_words(col: pa.StringArray):
     return w, keys, text
 
 
+@returning_memory
 def _gram_counts(batches):
     """Counts of the letter runs in a batch's words, per ``part`` of its rows."""
     for batch in batches:
@@ -113,14 +114,15 @@ class _Level:
         new = np.concatenate([[True], ctx[1:] != ctx[:-1]]) if len(ctx) else np.zeros(0, bool)
         of = np.cumsum(new) - 1
         total = np.bincount(of, weights=counts, minlength=int(new.sum()))
-        self.grams, self.share = KeyIndex(grams), (counts - DISCOUNT) / total[of] if len(of) else counts
-        self.ctx, self.rest = KeyIndex(ctx[new]), DISCOUNT * np.bincount(of, minlength=len(total)) / total if len(of) else total
+        # sorted arrays without hash tables: every worker holds the model, and queries come sorted
+        self.grams, self.share = grams, (counts - DISCOUNT) / total[of] if len(of) else counts
+        self.ctx, self.rest = ctx[new], DISCOUNT * np.bincount(of, minlength=len(total)) / total if len(of) else total
 
     def blend(self, query: np.ndarray, below: np.ndarray) -> np.ndarray:
-        """P(symbol | context), given the next shorter order's ``below``."""
+        """P(symbol | context) of sorted grams, given the next shorter order's ``below``."""
         if not len(self.share):
             return below
-        g, c = self.grams.find(query, missing=True), self.ctx.find(query >> BITS, missing=True)
+        g, c = _find(self.grams, query), _find(self.ctx, query >> BITS)
         return np.where(c >= 0, np.where(g >= 0, self.share[g], 0.0) + self.rest[c] * below, below)
 
 
@@ -158,11 +160,13 @@ class Model:
         self.shared.append(_Level(grams, ordinary + toxic))
 
     def evidence(self, grams: np.ndarray) -> np.ndarray:
-        """log P(toxic) - log P(ordinary) of each gram's last symbol."""
+        """log P(toxic) - log P(ordinary) of each gram's last symbol; grams are sorted and distinct."""
         self.build()
-        p = np.full(len(grams), 1.0 / ALPHABET)
+        shorter, p = np.zeros(1, U64), np.full(1, 1.0 / ALPHABET)
         for k, level in enumerate(self.shared):
-            p = level.blend(grams & _mask(k + 1), p)
+            query = grams if k == ORDER else sorted_distinct(grams & _mask(k + 1))
+            p = level.blend(query, p[KeyIndex(shorter).find(query & _mask(k))])
+            shorter = query
         o, t = (level.blend(grams, p) for level in self.classes)
         return np.log(t) - np.log(o)
 
@@ -249,6 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     model = Model(key, o0 + o1, t0 + t1)
     halves = spark.sparkContext.broadcast([Model(key[o + t > 0], o[o + t > 0], t[o + t > 0]) for o, t in ((o1, t1), (o0, t0))])
 
+    @returning_memory
     def features(batches):
         for batch in batches:
             col = string_column(batch.column("text"))
@@ -275,6 +280,7 @@ def score(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
     own = docs.select(*keep)
     at = keep.index(text_col)
 
+    @returning_memory
     def run(batches):
         for batch in batches:
             col = string_column(batch.column(at))
